@@ -336,8 +336,8 @@ def csv_roundtrip(spark, sf_dir):
 @query
 def partitioned_roundtrip(spark, sf_dir):
     lake = scratch_path(spark, "gold")
-    M.write_gold(V.staffing(spark, sf_dir), lake, "staffing_metrics")
-    return read_gold(spark, lake, "staffing_metrics")
+    M.write_gold(V.facility(spark, sf_dir), lake, "facility_metrics")
+    return read_gold(spark, lake, "facility_metrics")
 
 
 @query
@@ -427,9 +427,16 @@ def silver_survey_dates(spark, sf_dir):
     return spark.read.parquet(f"{lake}/silver/{S.SURVEY_DATES}")
 
 
+_LAKES = {}
+
+
 def _lake(spark, sf_dir):
-    lake = scratch_path(spark, "lake")
-    return M.run_all(spark, _raw_files(spark, sf_dir), lake, RAW_FOLDERS)
+    """Gold folder of one raw-to-gold run, made once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        raw = _raw_files(spark, sf_dir)
+        _LAKES[key] = M.run_all(spark, raw, scratch_path(spark, "lake"), RAW_FOLDERS)
+    return _LAKES[key]
 
 
 @query

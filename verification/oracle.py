@@ -296,7 +296,7 @@ ORACLE = {
         for i, (c, t) in enumerate(_LINEITEM.items(), start=1)),
     "require_columns": _facility,
     "csv_roundtrip": _pbj,
-    "partitioned_roundtrip": _staffing,
+    "partitioned_roundtrip": _facility,
     "partitioned_csv_roundtrip": _quality,
     "table_roundtrip": _facility,
     "facility_projection": _with(FACILITY, "SELECT " + ", ".join(

@@ -1,6 +1,7 @@
 """File listings, headered CSV and Parquet datasets."""
 
-from urllib.parse import quote
+import posixpath
+import re
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,16 +21,23 @@ def file_manifest(spark, root, pattern="*.csv"):
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    anchor = quote(root.rstrip("/"), safe="/:") + "/"
-    start = F.locate(anchor, F.col("path")) + F.lit(len(anchor))
+    name = F.element_at(F.split("path", "/"), -1)
+    anchor = _below(root)
+    start = F.locate(anchor, F.col("path"))
+    relative = F.substring(F.col("path"), start + F.lit(len(anchor)), F.length("path"))
     return listed.select(
-        F.substring(F.col("path"), start, F.length("path")).alias("relative_path"),
-        F.element_at(F.split("path", "/"), -1).alias("file_name"),
+        F.when(start > 0, relative).otherwise(name).alias("relative_path"),
+        name.alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modification_time"),
     )
 
 
+def _below(root):
+    """The part of a listed path that stands for ``root``, without its scheme."""
+    return posixpath.normpath(re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root)) + "/"
+
+
 def csv_text_schema(spark, path):
     """All columns of a headered CSV as text. Reads one header, runs no
     inference."""
@@ -55,9 +63,10 @@ def read_csv(spark, path, schema=None):
 
 def with_lineage(df):
     """Add the source file name and the load time."""
+    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
     return df.select(
         "*",
-        F.col("_metadata.file_name").alias(SOURCE_FILE),
+        F.url_decode(encoded).alias(SOURCE_FILE),
         F.current_timestamp().alias(INGESTED_AT),
     )
 
