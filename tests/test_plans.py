@@ -1,6 +1,7 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from verification import views as V
 from verification.catalogue import QUERIES
@@ -43,6 +44,42 @@ def test_days_are_reduced_before_any_shuffle(spark, large_tables):
     assert "partial_sum" in depth[-1]
 
 
+def test_flat_days_are_reduced_before_the_second_shuffle(spark, large_tables):
+    """A join on PROVNUM would leave a hot facility in one task."""
+    text = plan(QUERIES["staffing_metrics_flat"](spark, SF_DIR)).split("partial_sum")[0]
+    assert "Exchange hashpartitioning(PROVNUM" in text
+
+
+def test_a_hot_facility_is_split_in_the_flat_join(spark, large_tables, tmp_path):
+    """A third of all days in one facility: adaptive execution splits its join."""
+    settings = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    sf_dir = "/root/testdata/sf0.01"
+    for name in ("supplier", "nation"):
+        V.table(spark, sf_dir, name).write.parquet(str(tmp_path / f"{name}.parquet"))
+    hot = V.table(spark, sf_dir, "lineitem").withColumn("l_suppkey", F.expr(
+        "CASE WHEN l_orderkey % 3 = 0 THEN 7L ELSE l_suppkey END"))
+    hot.repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        flat = QUERIES["staffing_metrics_flat"](spark, str(tmp_path))
+        rows = flat.collect()
+        assert "skew=true" in plan(flat)
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+    assert sorted(rows) == sorted(QUERIES["staffing_metrics"](spark, str(tmp_path)).collect())
+
+
 def test_scan_reads_only_what_the_figure_needs(spark):
     text = plan(D.staffing_heatmap(V.staffing(spark, SF_DIR)).select("STATE", "RN_HOURS"))
     days = next(line for line in text.split("\n") if "lineitem.parquet" in line)

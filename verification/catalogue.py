@@ -70,12 +70,6 @@ def top_patient_volume(spark, sf_dir):
 
 # --- serving -----------------------------------------------------------------
 
-def _flat_staffing(spark, sf_dir, state):
-    """Staffing of one state: the filter reaches the facilities before the days
-    are joined, so only that state's days are aggregated."""
-    return D.in_state(staffing_metrics_flat(spark, sf_dir), state)
-
-
 @query
 def kpi_cards(spark, sf_dir):
     return D.kpi_cards(
@@ -86,13 +80,13 @@ def kpi_cards(spark, sf_dir):
 def kpi_cards_state(spark, sf_dir):
     return D.kpi_cards(
         D.in_state(V.facility(spark, sf_dir), STATE),
-        _flat_staffing(spark, sf_dir, STATE),
+        V.staffing(spark, sf_dir, STATE),
         D.in_state(V.quality(spark, sf_dir), STATE))
 
 
 @query
 def state_filter(spark, sf_dir):
-    return _flat_staffing(spark, sf_dir, STATE)
+    return V.staffing(spark, sf_dir, STATE)
 
 
 @query
@@ -159,8 +153,13 @@ def top_volume_in_state(spark, sf_dir):
 @query
 def state_top_volume(spark, sf_dir):
     """The top ten of the state."""
-    days = D.in_state(V.pbj(spark, sf_dir), STATE)
-    return D.top_volume(G.patient_volume(G.prepare_daily(days)))
+    return D.top_volume(V.volume(spark, sf_dir, STATE))
+
+
+@query
+def state_filter_flat(spark, sf_dir):
+    """The filter set on the finished table: Spark moves it to the facilities."""
+    return D.in_state(staffing_metrics_flat(spark, sf_dir), STATE)
 
 
 @query

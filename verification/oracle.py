@@ -227,6 +227,7 @@ ORACLE = {
     "kpi_cards": _with(FACILITY, _cards()),
     "kpi_cards_state": _with(FACILITY, _cards(_IN_STATE)),
     "state_filter": _staffing + _IN_STATE,
+    "state_filter_flat": _staffing + _IN_STATE,
     "state_filter_all": _facility,
     "state_list": _with(PROVIDER, "SELECT DISTINCT STATE FROM provider ORDER BY STATE"),
     "hours_by_staff_type": _with(STAFFING, _as_rows(

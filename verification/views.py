@@ -7,23 +7,32 @@ from pyspark.sql import functions as F
 
 from wardstat import schemas as S
 from wardstat.plans import gold as G
+from wardstat.plans.serving import in_state
+
+
+_SCHEMAS = {}
 
 
 def table(spark, sf_dir, name):
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """One generated table. Its schema is looked up once, not per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
+def _suppliers_with_state(spark, sf_dir):
+    states = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("STATE"))
+    return table(spark, sf_dir, "supplier").join(
+        states, F.col("s_nationkey") == F.col("n_nationkey"))
 
 
 def facilities(spark, sf_dir):
     """PROVNUM, PROVNAME, STATE: one row per supplier."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("STATE"))
-    return (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("s_suppkey").cast("string").alias("PROVNUM"),
-            F.col("s_name").alias("PROVNAME"),
-            "STATE",
-        )
+    return _suppliers_with_state(spark, sf_dir).select(
+        F.col("s_suppkey").cast("string").alias("PROVNUM"),
+        F.col("s_name").alias("PROVNAME"),
+        "STATE",
     )
 
 
@@ -55,15 +64,26 @@ def days(spark, sf_dir):
 
 
 def pbj(spark, sf_dir):
-    """The daily file as delivered: facility name and state in every row."""
-    flat = days(spark, sf_dir).join(facilities(spark, sf_dir), "PROVNUM")
+    """The daily file as delivered: facility name and state in every row.
+
+    The join is on the number, PROVNUM is made from it afterwards. Were PROVNUM
+    itself the join key, Spark would aggregate in place after a shuffled join
+    and a hot facility would stay whole in one task. This way it may split the
+    hot side of the join, and it reduces before it shuffles again. The lines
+    travel as they are; the day columns are made after the join.
+    """
+    named = table(spark, sf_dir, "lineitem").join(
+        _suppliers_with_state(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+    flat = named.select(
+        F.col("s_suppkey").cast("string").alias("PROVNUM"),
+        F.col("s_name").alias("PROVNAME"),
+        "STATE", *[c.alias(n) for n, c in _day_columns().items()])
     return flat.select(*S.FACILITY_KEYS, S.WORK_DATE, *S.PBJ_NUMBERS)
 
 
 def provider_rows(spark, sf_dir):
     """Provider model rows with repeated facilities (other bed count) and with
     facilities that have no staffing days."""
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", F.col("n_name").alias("STATE"))
     copies = F.expr("""
         CASE WHEN s_suppkey % 10 = 0
              THEN array(struct(s_suppkey AS k, 0 AS dup), struct(s_suppkey AS k, 1 AS dup))
@@ -72,8 +92,7 @@ def provider_rows(spark, sf_dir):
                         struct(s_suppkey + 1000000L AS k, 0 AS dup))
              ELSE array(struct(s_suppkey AS k, 0 AS dup)) END""")
     return (
-        table(spark, sf_dir, "supplier")
-        .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+        _suppliers_with_state(spark, sf_dir)
         .select("s_name", "STATE", F.inline(copies))
         .selectExpr(
             "cast(k AS string) AS PROVNUM",
@@ -113,16 +132,18 @@ def daily(spark, sf_dir):
     return G.prepare_daily(days(spark, sf_dir))
 
 
-def rollup(spark, sf_dir):
-    return G.monthly_rollup(daily(spark, sf_dir), facilities(spark, sf_dir))
+def rollup(spark, sf_dir, state=None):
+    named = in_state(facilities(spark, sf_dir), state)
+    return G.monthly_rollup(daily(spark, sf_dir), named)
 
 
-def staffing(spark, sf_dir):
-    return G.staffing_metrics(rollup(spark, sf_dir))
+def staffing(spark, sf_dir, state=None):
+    return G.staffing_metrics(rollup(spark, sf_dir, state))
 
 
-def volume(spark, sf_dir):
-    return G.patient_volume(daily(spark, sf_dir), facilities(spark, sf_dir))
+def volume(spark, sf_dir, state=None):
+    named = in_state(facilities(spark, sf_dir), state)
+    return G.patient_volume(daily(spark, sf_dir), named)
 
 
 def providers(spark, sf_dir):

@@ -8,6 +8,8 @@ from pyspark.sql import types as T
 PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
+EIGHT_DIGITS = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+
 
 def to_double(col):
     return col.try_cast("double")
@@ -27,4 +29,5 @@ def to_work_date(col, data_type=None):
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     text = F.trim(col.cast("string"))
-    return F.coalesce(F.try_to_date(text, "yyyyMMdd"), text.try_cast("date"))
+    dashed = F.regexp_replace(text, EIGHT_DIGITS, "$1-$2-$3")
+    return dashed.try_cast("date")
