@@ -7,6 +7,7 @@ from verification import views as V
 from verification.catalogue import QUERIES
 from wardstat.plans import gold as G
 from wardstat.plans import serving as D
+from wardstat.sources.sinks import session_settings
 
 SF_DIR = "/root/testdata/sf0.001"
 DIRECT = [
@@ -64,19 +65,10 @@ def test_a_hot_facility_is_split_in_the_flat_join(spark, large_tables, tmp_path)
     hot = V.table(spark, sf_dir, "lineitem").withColumn("l_suppkey", F.expr(
         "CASE WHEN l_orderkey % 3 = 0 THEN 7L ELSE l_suppkey END"))
     hot.repartition(6).write.parquet(str(tmp_path / "lineitem.parquet"))
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
+    with session_settings(spark, settings):
         flat = QUERIES["staffing_metrics_flat"](spark, str(tmp_path))
         rows = flat.collect()
         assert "skew=true" in plan(flat)
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
     assert sorted(rows) == sorted(QUERIES["staffing_metrics"](spark, str(tmp_path)).collect())
 
 

@@ -38,6 +38,11 @@ def staffing_metrics_flat(spark, sf_dir):
     return G.staffing_metrics(G.monthly_rollup(G.prepare_daily(V.pbj(spark, sf_dir))))
 
 
+@query
+def monthly_rollup(spark, sf_dir):
+    return V.rollup(spark, sf_dir)
+
+
 @query
 def facility_avg_ratio(spark, sf_dir):
     return V.mean_ratios(spark, sf_dir)
@@ -418,24 +423,48 @@ def incremental_bronze_load(spark, sf_dir):
     return loaded.drop(S.SOURCE_FILE, S.INGESTED_AT)
 
 
-@query
-def silver_survey_dates(spark, sf_dir):
-    lake = scratch_path(spark, "silver")
-    M.run_bronze(spark, _raw_files(spark, sf_dir), f"{lake}/bronze", RAW_FOLDERS)
-    M.run_silver(spark, f"{lake}/bronze", f"{lake}/silver")
-    return spark.read.parquet(f"{lake}/silver/{S.SURVEY_DATES}")
+_SILVER = {}
+_GOLD = {}
 
 
-_LAKES = {}
+def _silver(spark, sf_dir):
+    """Silver folder of one raw-to-silver run, made once per session and input."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SILVER:
+        lake = scratch_path(spark, "lake")
+        M.run_bronze(spark, _raw_files(spark, sf_dir), f"{lake}/bronze", RAW_FOLDERS)
+        M.run_silver(spark, f"{lake}/bronze", f"{lake}/silver")
+        _SILVER[key] = f"{lake}/silver"
+    return _SILVER[key]
 
 
 def _lake(spark, sf_dir):
-    """Gold folder of one raw-to-gold run, made once per session and input."""
+    """Gold folder on top of it, likewise made once."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        raw = _raw_files(spark, sf_dir)
-        _LAKES[key] = M.run_all(spark, raw, scratch_path(spark, "lake"), RAW_FOLDERS)
-    return _LAKES[key]
+    if key not in _GOLD:
+        silver = _silver(spark, sf_dir)
+        _GOLD[key] = M.run_gold(spark, silver, silver.removesuffix("silver") + "gold")
+    return _GOLD[key]
+
+
+@query
+def silver_provider(spark, sf_dir):
+    return spark.read.parquet(f"{_silver(spark, sf_dir)}/{S.PROVIDER}")
+
+
+@query
+def silver_pbj(spark, sf_dir):
+    return spark.read.parquet(f"{_silver(spark, sf_dir)}/{S.PBJ}")
+
+
+@query
+def silver_survey_dates(spark, sf_dir):
+    return spark.read.parquet(f"{_silver(spark, sf_dir)}/{S.SURVEY_DATES}")
+
+
+@query
+def silver_state_averages(spark, sf_dir):
+    return spark.read.parquet(f"{_silver(spark, sf_dir)}/{S.STATE_AVERAGES}")
 
 
 @query

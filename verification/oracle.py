@@ -218,6 +218,11 @@ _pbj = _with(PBJ, f"SELECT {', '.join(PBJ_COLUMNS)} FROM pbj")
 ORACLE = {
     "staffing_metrics": _staffing,
     "staffing_metrics_flat": _staffing,
+    "monthly_rollup": _with(
+        STAFFING + f", census AS (SELECT {KEYS}, cast(year(WorkDate) AS int) AS YEAR, "
+                   "cast(month(WorkDate) AS int) AS MONTH, sum(MDScensus) AS CENSUS_DAYS "
+                   "FROM pbj GROUP BY ALL)",
+        f"SELECT * FROM monthly JOIN census USING ({KEYS}, YEAR, MONTH)"),
     "facility_avg_ratio": _with(f"{STAFFING}, {MEANS}", "SELECT * FROM means"),
     "facility_metrics": _facility,
     "quality_metrics": _quality,
@@ -318,6 +323,10 @@ ORACLE = {
         UNION ALL SELECT 'NH_StateUSAverages_Oct2024', count(DISTINCT c_nationkey) FROM customer
         UNION ALL SELECT 'NH_SurveyDates_Oct2024', count(*) FROM orders"""),
     "incremental_bronze_load": _with(PROVIDER, _file(_same, text=True)),
+    "silver_provider": _with(PROVIDER, _file(_same, kept=False)),
+    "silver_pbj": _pbj,
+    "silver_state_averages": """SELECT cast(c_nationkey AS varchar) AS "State (number)",
+        cast(count(*) AS varchar) AS "Facilities, counted" FROM customer GROUP BY c_nationkey""",
     "silver_survey_dates": """SELECT cast(o_orderkey AS varchar) AS "Survey Number",
         cast(cast(o_orderdate AS date) AS varchar) AS "Survey Date (first)" FROM orders""",
     "staffing_from_raw": _staffing,

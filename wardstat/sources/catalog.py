@@ -3,6 +3,7 @@
 from wardstat.functions.names import column, quoted
 from wardstat.schemas import GOLD_TABLES
 from wardstat.sources.files import read_gold
+from wardstat.sources.sinks import PARTITIONED_WRITE, session_settings
 
 # The columns serving asks of the facility table, in its order.
 FACILITY_VIEW = (
@@ -25,7 +26,8 @@ def save_table(df, name, partition_by=()):
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(name)
+    with session_settings(df.sparkSession, PARTITIONED_WRITE if partition_by else {}):
+        writer.saveAsTable(name)
     return name
 
 

@@ -1,5 +1,27 @@
 """Dataset writers."""
 
+from contextlib import contextmanager
+
+# Opening a file costs more than a few rows in it: small partitions are spread
+# over the cores instead of being merged into one task that opens them in turn.
+PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
+
+@contextmanager
+def session_settings(spark, settings):
+    """Settings for the duration of one action."""
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
 
 def write_dataset(df, path, fmt="parquet", partition_by=(), mode="overwrite",
                   replace_partitions_only=False, single_file=False):
@@ -23,5 +45,6 @@ def write_dataset(df, path, fmt="parquet", partition_by=(), mode="overwrite",
         writer = writer.partitionBy(*partition_by)
         overwrite = "dynamic" if replace_partitions_only else "static"
         writer = writer.option("partitionOverwriteMode", overwrite)
-    writer.save(path)
+    with session_settings(df.sparkSession, PARTITIONED_WRITE if partition_by else {}):
+        writer.save(path)
     return path
