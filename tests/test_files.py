@@ -60,8 +60,10 @@ def test_bronze_lands_every_file_under_its_name(spark, tmp_path):
     raw, bronze = tmp_path / "raw", tmp_path / "bronze"
     put(raw / "one.csv", "a,b c\n1,x\n2,\n")
     put(raw / "deep" / "two.csv", "k\n1\n")
+    put(raw / "x [1].csv", "k\n1\n2\n3\n")
     report = M.run_bronze(spark, str(raw), str(bronze))
-    assert rows(report) == [("deep/two", "two.csv", 1), ("one", "one.csv", 2)]
+    assert rows(report) == [
+        ("deep/two", "two.csv", 1), ("one", "one.csv", 2), ("x [1]", "x [1].csv", 3)]
     landed = spark.read.parquet(str(bronze / "one"))
     assert landed.columns == ["a", "b c", S.SOURCE_FILE, S.INGESTED_AT]
     assert rows(landed.drop(S.INGESTED_AT)) == [("1", "x", "one.csv"), ("2", None, "one.csv")]

@@ -1,6 +1,8 @@
 import datetime as dt
 import math
+import random
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,11 +37,25 @@ def test_number_coercion(spark, either_mode):
     good = {" 12 ": 12.0, "1e3": 1000.0, "-0.5": -0.5, "+5.": 5.0, ".5": 0.5, "1E-2": 0.01,
             "\t7\n": 7.0, "inf": math.inf, "-Infinity": -math.inf}
     bad = ["abc", "1d", "1f", "2.D", "1_000", "NaN", "1,000", "0x10", "0x1p3", "", " ", "1e", "--1",
-           None]
+           "1e400", "+ 1", "1 2", None]
     df = texts(spark, [*good, *bad])
     assert column_of(df.select(to_number(F.col("s")))) == [*good.values()] + [None] * len(bad)
 
 
+def test_number_coercion_agrees_with_pandas(spark):
+    """Short texts made of the characters that numbers are made of."""
+    rng = random.Random(3)
+    letters = "0123456789.+-eE dDfF_xX,nai\t"
+    values = list({"".join(rng.choices(letters, k=rng.randint(1, 6))) for _ in range(4000)})
+    expected = [pd.to_numeric(pd.Series([v], dtype=object), errors="coerce").iloc[0] for v in values]
+    got = column_of(texts(spark, values).select(to_number(F.col("s"))))
+    for value, ours, theirs in zip(values, got, expected):
+        if pd.isna(theirs):
+            assert ours is None, value
+        else:
+            assert ours == pytest.approx(float(theirs), rel=1e-12), value
+
+
 def test_number_coercion_of_numbers(spark, either_mode):
     df = spark.sql("SELECT 1 AS i, 2.5BD AS d, double('NaN') AS n")
     row = df.select([to_number(F.col(f.name), f.dataType).alias(f.name) for f in df.schema]).first()

@@ -77,16 +77,14 @@ def top_patient_volume(spark, sf_dir):
 
 @query
 def kpi_cards(spark, sf_dir):
-    return D.kpi_cards(
-        V.facility(spark, sf_dir), V.staffing(spark, sf_dir), V.quality(spark, sf_dir))
+    staffing, facility, quality = V.served(spark, sf_dir)
+    return D.kpi_cards(facility, staffing, quality)
 
 
 @query
 def kpi_cards_state(spark, sf_dir):
-    return D.kpi_cards(
-        D.in_state(V.facility(spark, sf_dir), STATE),
-        V.staffing(spark, sf_dir, STATE),
-        D.in_state(V.quality(spark, sf_dir), STATE))
+    staffing, facility, quality = V.served(spark, sf_dir, STATE)
+    return D.kpi_cards(facility, staffing, quality)
 
 
 @query
@@ -401,6 +399,15 @@ def file_manifest_of_raw(spark, sf_dir):
     return file_manifest(spark, _raw_files(spark, sf_dir))
 
 
+@query
+def file_manifest_bytes(spark, sf_dir):
+    """Bytes of the survey rows by the manifest, less one header per file."""
+    raw = _raw_files(spark, sf_dir)
+    header = ",".join(read_csv(spark, f"{raw}/{S.SURVEY_DATES}").columns) + "\n"
+    files = file_manifest(spark, f"{raw}/{S.SURVEY_DATES}")
+    return files.agg((F.sum("length") - F.count(F.lit(1)) * len(header)).alias("row_bytes"))
+
+
 @query
 def bronze_load(spark, sf_dir):
     raw = _raw_files(spark, sf_dir)

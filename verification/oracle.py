@@ -316,6 +316,9 @@ ORACLE = {
             ("quality_metrics", "quality"), ("top_patient_volume", "top_volume")))),
     "profile_saved_table": _with(
         PROVIDER, _nulls("provider", {_clean(h): c for h, c in _FILE_CELLS.items()})),
+    "file_manifest_bytes": """SELECT cast(sum(length(cast(o_orderkey AS varchar)) + 12 +
+        CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS bigint)
+        AS row_bytes FROM orders""",
     "bronze_load": _with(PROVIDER, _file(_same, text=True)),
     "bronze_row_counts": _with(f"{PBJ}, {PROVIDER}", """
         SELECT 'PBJ_Daily_Nurse_Staffing_Q2_2024' AS dataset, count(*) AS row_count FROM pbj

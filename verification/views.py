@@ -160,3 +160,10 @@ def facility(spark, sf_dir):
 
 def quality(spark, sf_dir):
     return G.quality_metrics(providers(spark, sf_dir))
+
+
+def served(spark, sf_dir, state=None):
+    """Staffing, facility and quality tables built on the same two inputs."""
+    monthly, unique = staffing(spark, sf_dir, state), providers(spark, sf_dir)
+    facility_table = G.facility_metrics(unique, G.facility_mean_ratio(monthly))
+    return tuple(in_state(t, state) for t in (monthly, facility_table, G.quality_metrics(unique)))

@@ -16,12 +16,15 @@ def to_double(col):
 
 
 def to_number(col, data_type=None):
-    """Coerce to double the way serving does: whatever is no number is null."""
+    """Coerce to double the way serving does: what is no number, or is too large
+    for a double, is null."""
     if isinstance(data_type, T.NumericType):
         value = col.cast("double")
         return F.when(~F.isnan(value), value)
     text = col.cast("string")
-    return F.when(text.rlike(PLAIN_NUMBER) | text.rlike(INFINITE), text.try_cast("double"))
+    value = text.try_cast("double")
+    finite = text.rlike(PLAIN_NUMBER) & (F.abs(value) < float("inf"))
+    return F.when(finite | text.rlike(INFINITE), value)
 
 
 def to_work_date(col, data_type=None):

@@ -13,7 +13,7 @@ from wardstat.operators.columns import (
 from wardstat.operators.profiling import most_nulls_first, null_summary
 from wardstat.plans import gold as G
 from wardstat.sources.catalog import save_table
-from wardstat.sources.files import file_manifest, read_csv, with_lineage
+from wardstat.sources.files import file_manifest, literal_path, read_csv, with_lineage
 from wardstat.sources.sinks import write_dataset
 
 
@@ -31,7 +31,7 @@ def landed_datasets(spark, raw_dir):
     files pass ``run_bronze`` globs instead, one per dataset.
     """
     names = file_manifest(spark, raw_dir).select("relative_path").toLocalIterator()
-    return {n.relative_path.removesuffix(".csv"): n.relative_path for n in names}
+    return {n.relative_path.removesuffix(".csv"): literal_path(n.relative_path) for n in names}
 
 
 def load_bronze(spark, raw_path):
@@ -54,7 +54,7 @@ def run_bronze(spark, raw_dir, bronze_dir, datasets=None):
 def bronze_report(spark, bronze_dir, names):
     """``dataset, source_file, row_count``; reads the file-name column only."""
     parts = [
-        spark.read.parquet(_under(bronze_dir, name))
+        spark.read.parquet(_under(bronze_dir, literal_path(name)))
         .groupBy(F.col(S.SOURCE_FILE).alias("source_file"))
         .agg(F.count(F.lit(1)).alias("row_count"))
         .select(F.lit(name).alias("dataset"), "source_file", "row_count")

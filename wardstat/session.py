@@ -15,14 +15,19 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+# Can only be given when a session is started. Recording the Python line behind
+# every column expression makes building a plan several times slower.
+START_DEFAULTS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def build_session(app_name="wardstat", master=None, **conf):
     """Get or create a session. Keyword names use ``__`` for the dots."""
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), str(value))
+    named = {key.replace("__", "."): str(value) for key, value in conf.items()}
+    for key, value in {**START_DEFAULTS, **named}.items():
+        builder = builder.config(key, value)
     spark = builder.getOrCreate()
     for key, value in DEFAULTS.items():
         if spark.conf.get(key, None) is None:

@@ -38,6 +38,11 @@ def _below(root):
     return posixpath.normpath(re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root)) + "/"
 
 
+def literal_path(path):
+    """The path with glob characters escaped."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def csv_text_schema(spark, path):
     """All columns of a headered CSV as text. Reads one header, runs no
     inference."""
