@@ -6,6 +6,7 @@ The generated tables hold no nulls, so nulls come from rules on the keys.
 from pyspark.sql import functions as F
 
 from wardstat import schemas as S
+from wardstat.operators.joins import prefilter_by_keys
 from wardstat.plans import gold as G
 from wardstat.plans.serving import in_state
 
@@ -132,9 +133,18 @@ def daily(spark, sf_dir):
     return G.prepare_daily(days(spark, sf_dir))
 
 
+def _days_and_facilities(spark, sf_dir, state):
+    """Prepared days and named facilities. For one state the days are thinned to
+    its facilities while they are scanned."""
+    named = facilities(spark, sf_dir)
+    if state is None:
+        return daily(spark, sf_dir), named
+    named = in_state(named, state)
+    return G.prepare_daily(prefilter_by_keys(days(spark, sf_dir), named, "PROVNUM")), named
+
+
 def rollup(spark, sf_dir, state=None):
-    named = in_state(facilities(spark, sf_dir), state)
-    return G.monthly_rollup(daily(spark, sf_dir), named)
+    return G.monthly_rollup(*_days_and_facilities(spark, sf_dir, state))
 
 
 def staffing(spark, sf_dir, state=None):
@@ -142,8 +152,7 @@ def staffing(spark, sf_dir, state=None):
 
 
 def volume(spark, sf_dir, state=None):
-    named = in_state(facilities(spark, sf_dir), state)
-    return G.patient_volume(daily(spark, sf_dir), named)
+    return G.patient_volume(*_days_and_facilities(spark, sf_dir, state))
 
 
 def providers(spark, sf_dir):
@@ -163,7 +172,8 @@ def quality(spark, sf_dir):
 
 
 def served(spark, sf_dir, state=None):
-    """Staffing, facility and quality tables built on the same two inputs."""
+    """Staffing, facility and quality tables built on the same two inputs. Here a
+    facility never changes its state, so its ratio needs the days of one."""
     monthly, unique = staffing(spark, sf_dir, state), providers(spark, sf_dir)
     facility_table = G.facility_metrics(unique, G.facility_mean_ratio(monthly))
     return tuple(in_state(t, state) for t in (monthly, facility_table, G.quality_metrics(unique)))

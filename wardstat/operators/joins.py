@@ -1,0 +1,25 @@
+"""Join helpers."""
+
+from pyspark.sql import functions as F
+
+from wardstat.functions.names import column
+
+# Bounds of a set of keys that is sent to every executor.
+BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 8 << 20
+
+
+def prefilter_by_keys(df, keys, key, max_rows=BROADCAST_ROWS, max_bytes=BROADCAST_BYTES):
+    """Drop rows of ``df`` early whose ``key`` is not in ``keys``, if that is cheap.
+
+    The keys are counted first, up to the bound. Within it they are broadcast
+    and ``df`` is thinned where it is scanned; beyond it ``df`` is returned as it
+    is. A later join on ``key`` gives the same result either way.
+    """
+    wanted = keys.select(column(key))
+    size = wanted.limit(max_rows + 1).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.sum(F.octet_length(column(key).cast("string"))).alias("n_bytes")).first()
+    if size.n_rows > max_rows or (size.n_bytes or 0) > max_bytes:
+        return df
+    return df.join(F.broadcast(wanted), key, "left_semi")
