@@ -6,7 +6,7 @@ from wardstat.plans import medallion as M
 from wardstat.session import scratch_path
 from wardstat.sources import catalog
 from wardstat.sources.files import file_manifest, read_csv, read_gold
-from wardstat.sources.sinks import write_dataset
+from wardstat.sources.sinks import session_settings, write_dataset
 from wardstat.streaming.bronze import incremental_bronze
 
 
@@ -126,6 +126,25 @@ def test_a_partition_is_one_file(spark, tmp_path):
     assert len(list(tmp_path.rglob("*.parquet"))) == 1
 
 
+def test_a_partition_is_one_file_without_adaptive_execution(spark, tmp_path):
+    df = gold_rows(spark, *[(str(i), s, 2024, 4) for i in range(100) for s in ("TX", "AL")])
+    with session_settings(spark, {"spark.sql.adaptive.enabled": "false"}):
+        M.write_gold(df.repartition(8), str(tmp_path), "staffing_metrics")
+    assert len(list(tmp_path.rglob("*.parquet"))) == 2
+
+
+def test_a_hot_partition_is_split(spark, tmp_path):
+    """Most rows in one state: several tasks share its folder, no row is lost."""
+    df = spark.range(0, 200000, numPartitions=8).selectExpr(
+        "sha2(cast(id AS string), 256) AS PROVNUM",
+        "CASE WHEN id % 3 < 2 THEN 'TX' ELSE concat('S', id % 40) END AS STATE")
+    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m"}):
+        write_dataset(df, str(tmp_path / "t"), partition_by=["STATE"])
+    assert len(list((tmp_path / "t" / "STATE=TX").glob("*.parquet"))) > 4
+    assert len(list((tmp_path / "t" / "STATE=S2").glob("*.parquet"))) == 1
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 200000
+
+
 def test_replacing_some_partitions_only(spark, tmp_path):
     first = gold_rows(spark, ("1", "TX", 2024, 4), ("1", "TX", 2024, 5))
     M.write_gold(first, str(tmp_path), "staffing_metrics")

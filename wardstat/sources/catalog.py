@@ -3,7 +3,7 @@
 from wardstat.functions.names import column, quoted
 from wardstat.schemas import GOLD_TABLES
 from wardstat.sources.files import read_gold
-from wardstat.sources.sinks import PARTITIONED_WRITE, session_settings
+from wardstat.sources.sinks import PARTITIONED_WRITE, gathered, session_settings
 
 # The columns serving asks of the facility table, in its order.
 FACILITY_VIEW = (
@@ -22,7 +22,7 @@ def create_database(spark, name, location=None):
 def save_table(df, name, partition_by=()):
     """Replace a managed table, its schema included."""
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = gathered(df, partition_by)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

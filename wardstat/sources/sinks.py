@@ -23,6 +23,17 @@ def session_settings(spark, settings):
                 spark.conf.set(key, value)
 
 
+def gathered(df, partition_by):
+    """Rows of one partition brought together, hot partitions split.
+
+    Without adaptive execution the hint would be ignored; rows are then simply
+    hashed by the partition columns.
+    """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+        return df.hint("rebalance", *partition_by)
+    return df.repartition(*partition_by)
+
+
 def write_dataset(df, path, fmt="parquet", partition_by=(), mode="overwrite",
                   replace_partitions_only=False, single_file=False):
     """Write a directory of files.
@@ -35,7 +46,7 @@ def write_dataset(df, path, fmt="parquet", partition_by=(), mode="overwrite",
     text from a null; use Parquet between layers.
     """
     if partition_by:
-        df = df.hint("rebalance", *partition_by)
+        df = gathered(df, partition_by)
     elif single_file:
         df = df.coalesce(1)
     writer = df.write.mode(mode).format(fmt)
