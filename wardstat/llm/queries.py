@@ -3,7 +3,8 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from wardstat.llm import byte_bpe, exact_dedup, token_file, warc
+from wardstat.llm import (
+    byte_bpe, decontaminate, exact_dedup, ngrams, quality, simhash, token_file, toxicity, warc)
 from wardstat.llm.blocks import ship
 
 
@@ -11,12 +12,26 @@ def table(spark, sf_dir, name):
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_simhash(spark, sf_dir):
+    return simhash.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op3_warc_dictionary(spark, sf_dir):
     pages = warc.roles(table(spark, sf_dir, "pages"))
     records = warc.read_archives(warc.write_archives(pages))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op4_quality(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return quality.quality_scores(docs, model).select("doc_id", "held_out", "score", "predicted")
+
+
+def op5_ngrams(spark, sf_dir):
+    return ngrams.perplexity_scores(table(spark, sf_dir, "documents"))
+
+
 def op6_exact_dedup(spark, sf_dir):
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -30,12 +45,22 @@ def op7_byte_bpe(spark, sf_dir):
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op8_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    tagger = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.toxicity_scores(docs, tagger).select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_token_files(spark, sf_dir):
     manifest = token_file.write_tokens(
         table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
     return token_file.read_tokens(manifest).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+def op10_decontamination(spark, sf_dir):
+    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {name: made for name, made in globals().copy().items() if name.startswith("op")}
 
 ORACLE = {
@@ -45,4 +70,17 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(body) AS text_sha256
         FROM t JOIN g USING (body)""",
+    # Every pair of equal tokens of a document and an item, and the most on one diagonal
+    # among 13 tokens of the item in a row.
+    "op10_decontamination": """
+        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
+        dt AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM d),
+        bt AS (SELECT item_id, len(w) AS size, unnest(w) AS token, generate_subscripts(w, 1) AS j
+               FROM b WHERE len(w) >= 8),
+        hit AS (SELECT doc_id, item_id, least(13, size) AS span, count(*) OVER (
+                    PARTITION BY doc_id, item_id, i - j ORDER BY j RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n
+                FROM dt JOIN bt USING (token))
+        SELECT doc_id, item_id, max(span)::INTEGER AS "window", max(n)::INTEGER AS matched FROM hit
+        WHERE n >= CASE WHEN span < 13 THEN span ELSE 11 END GROUP BY ALL""",
 }
