@@ -15,7 +15,7 @@ from pyarrow import fs
 
 from wardstat.session import scratch_path
 
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
 
 
 SHIPPED = set()

@@ -25,42 +25,47 @@ CLASSES = np.array([
     else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK
     for b in range(256)], np.uint8)
 ODD_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-ENTRIES = 800_000
+ENTRIES = 250_000
 
 
 class Encoder:
-    """Ids of texts; remembers at most ``ENTRIES`` pieces and the longest block's distinct ones."""
+    """Ids of texts; remembers at most ``ENTRIES`` pieces."""
 
     def __init__(self, tokenizer, whole=(), lower=False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tokenizer
         self.whole = "|".join([ODD_SPACE, *whole])
         self.lower = lower
-        self.clear()
-
-    def clear(self):
         self.known = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
         self.lengths = np.zeros(0, np.int64)
 
     def learn(self, pieces):
-        """Rows of ``starts`` and ``lengths`` for each of the pieces."""
-        if len(self.known) > ENTRIES:
-            self.clear()
-        new = [p for p in pieces if p not in self.known]
+        """Place of each of the pieces, and starts, lengths and ids to read there.
+
+        The first ``ENTRIES`` distinct pieces are remembered, the frequent ones
+        among them; others are encoded anew for each block.
+        """
+        known, room = self.known, ENTRIES - len(self.known)
+        new = [p for p in pieces if p not in known]
         lists = []
-        for at in range(0, len(new), 20_000):
+        for at in range(0, len(new), 5_000):
             lists += [np.array(e.ids, np.uint32) for e in
-                      self.tokenizer.encode_batch_fast(new[at:at + 20_000], add_special_tokens=False)]
-        if new:
-            lengths = np.array([len(x) for x in lists], np.int64)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.ids = np.concatenate([self.ids, *lists])
-            first = len(self.known)
-            self.known.update((p, first + i) for i, p in enumerate(new))
-        return np.fromiter((self.known[p] for p in pieces), np.int64, len(pieces))
+                      self.tokenizer.encode_batch_fast(new[at:at + 5_000], add_special_tokens=False)]
+        lengths = np.array([len(x) for x in lists], np.int64)
+        starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
+        lengths = np.concatenate([self.lengths, lengths])
+        ids = np.concatenate([self.ids, *lists])
+        first = len(known)
+        place = {p: first + i for i, p in enumerate(new)}
+        row = np.fromiter((known[p] if p in known else place[p] for p in pieces), np.int64, len(pieces))
+        if room > 0 and new:
+            known.update((p, place[p]) for p in new[:room])
+            kept = len(known)
+            self.starts, self.lengths = starts[:kept].copy(), lengths[:kept].copy()
+            self.ids = ids[:self.starts[-1] + self.lengths[-1]].copy()
+        return row, starts, lengths, ids
 
     def __call__(self, column):
         """Number of ids of each text of a column from ``text_column``, and all ids in order."""
@@ -91,9 +96,10 @@ class Encoder:
         cells = pa.LargeStringArray.from_buffers(
             len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = cells.dictionary_encode()
-        row = self.learn(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-        lengths = self.lengths[row]
-        ids = self.ids[ranges(self.starts[row], lengths)]
+        row, starts, lengths, ids = self.learn(coded.dictionary.to_pylist())
+        row = row[np.asarray(coded.indices)]
+        lengths = lengths[row]
+        ids = ids[ranges(starts[row], lengths)]
         totals = np.concatenate([[0], np.cumsum(lengths)])
         ends = np.cumsum(pieces)
         return totals[ends] - totals[ends - pieces], ids
