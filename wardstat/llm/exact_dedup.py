@@ -40,6 +40,8 @@ def recipes(docs, id_col="doc_id", text_col="text"):
         "doc_id", F.transform(chunks("text"), lambda c: F.xxhash64(c)).alias("recipe"),
         F.sha2("text", 256).alias("text_sha256")), "recipes")
     doubtful = saved(shared_identifiers(texts), "shared-identifiers")
+    if doubtful.isEmpty():
+        return listed.withColumn("tie", F.lit(""))
     unsure = (listed.select("recipe", F.explode("recipe").alias("identifier"))
               .join(doubtful, "identifier", "left_semi").select("recipe").distinct()
               .select("recipe", F.lit(True).alias("unsure")))
