@@ -11,15 +11,13 @@ of texts, so a model may be far larger than a worker.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyarrow import fs
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import crc_fold, new_file, open_file, saved, slices, store
+from wardstat.llm.arrays import SortedTable, mapped, write_arrays
+from wardstat.llm.blocks import crc_fold, saved, slices
 from wardstat.llm.words import word_cells
 from wardstat.session import scratch_path
 
@@ -38,70 +36,6 @@ def word_hash(word):
 END_HASH = int(word_hash(END))
 
 
-class SortedFile:
-    """Arrays of equal length in one file, the first of them sorted."""
-
-    def __init__(self, path, rows, kinds, extra=0):
-        self.path, self.rows, self.kinds, self.extra = path, rows, kinds, extra
-
-    @staticmethod
-    def write(folder, arrays, extra=b""):
-        path, out = new_file(folder, ".arrays")
-        for array in arrays:
-            out.write(np.ascontiguousarray(array).tobytes())
-        out.write(extra)
-        out.close()
-        return path
-
-
-@lru_cache(100_000)
-def _mapped(path, rows, kinds, extra):
-    system, inner = store(path)
-    size = sum(np.dtype(k).itemsize for k in kinds) * rows + extra
-    if not size:
-        return [np.zeros(0, k) for k in kinds], b""
-    if isinstance(system, fs.LocalFileSystem):  # a mounted folder
-        data = np.memmap(inner, np.uint8, "r")
-    else:
-        with open_file(path) as file:
-            data = np.frombuffer(file.read(), np.uint8)
-    arrays, at = [], 0
-    for kind in kinds:
-        end = at + np.dtype(kind).itemsize * rows
-        arrays.append(data[at:end].view(kind))
-        at = end
-    return arrays, data[at:]
-
-
-class SortedTable:
-    """Sorted arrays over several files in ascending ranges; ``files`` are (path, rows, first key, extra bytes)."""
-
-    def __init__(self, files, kinds):
-        self.files = sorted((f for f in files if f[1]), key=lambda f: f[2])
-        self.kinds = tuple(kinds)
-        self.firsts = np.array([f[2] for f in self.files], np.int64)
-        self.before = np.concatenate([[0], np.cumsum([f[1] for f in self.files])]).astype(np.int64)
-
-    def __len__(self):
-        return int(self.before[-1])
-
-    def find(self, keys, wanted=()):
-        """Place of each of the sorted keys, -1 if it is not there, and the wanted arrays' values (0 then)."""
-        place = np.full(len(keys), -1, np.int64)
-        values = [np.zeros(len(keys), self.kinds[i]) for i in wanted]
-        bounds = np.append(np.searchsorted(keys, self.firsts), len(keys))
-        for i in np.flatnonzero(np.diff(bounds)):
-            path, rows, _, extra = self.files[i]
-            arrays, _ = _mapped(path, rows, self.kinds, extra)
-            some = keys[bounds[i]:bounds[i + 1]]
-            at = np.minimum(np.searchsorted(arrays[0], some), rows - 1)
-            hit = np.flatnonzero(arrays[0][at] == some)
-            place[bounds[i] + hit] = self.before[i] + at[hit]
-            for value, k in zip(values, wanted):
-                value[bounds[i] + hit] = arrays[k][at[hit]]
-        return place, values
-
-
 class Bigrams(SortedTable):
     """Counts of bigrams, a byte each; those of ``MOST`` or more are in the extra part."""
 
@@ -112,7 +46,7 @@ class Bigrams(SortedTable):
         count = self.find(keys, (1,))[1][0].astype(np.int64)
         for i in np.flatnonzero(count == MOST):
             file = self.files[int(np.searchsorted(self.firsts, keys[i], "right")) - 1]
-            large = _mapped(file[0], file[1], self.kinds, file[3])[1].view("<i8").reshape(2, -1)
+            large = mapped(file[0], file[1], self.kinds, file[3])[1].view("<i8").reshape(2, -1)
             count[i] = large[1][np.searchsorted(large[0], keys[i])]
         return count
 
@@ -152,7 +86,7 @@ def _written(df, folder, columns, kinds):
             whole = pa.concat_tables(held)
             arrays = [whole.column(c).to_numpy().astype(k) for c, k in zip(columns, kinds)]
             yield pa.RecordBatch.from_pylist([{
-                "path": SortedFile.write(folder, arrays), "n_rows": len(arrays[0]), "first": int(arrays[0][0])}])
+                "path": write_arrays(folder, arrays), "n_rows": len(arrays[0]), "first": int(arrays[0][0])}])
 
     made = saved(df.select(*columns).mapInArrow(run, "path string, n_rows long, first long"), "array-files")
     return [(r.path, r.n_rows, r.first, 0) for r in made.collect()]
@@ -255,7 +189,7 @@ def train(docs, text_col="text"):
         keys, n = keys[first], np.add.reduceat(n.astype(np.int64), first)
         large = n >= MOST
         extra = np.concatenate([keys[large], n[large]]).astype("<i8").tobytes()
-        path = SortedFile.write(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)
+        path = write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)
         begin = np.flatnonzero(np.append(True, keys[1:] // (size + 1) != keys[:-1] // (size + 1)))
         sums = [np.add.reduceat(x.astype(np.int64), begin) for x in (n, n == 1, n == 2, n > 2)]
         after, continued = np.unique(keys % (size + 1), return_counts=True)

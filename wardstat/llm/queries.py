@@ -4,7 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from wardstat.llm import (
-    byte_bpe, decontaminate, exact_dedup, ngrams, quality, simhash, token_file, toxicity, warc)
+    byte_bpe, decontaminate, exact_dedup, ngrams, quality, simhash, suffixes, token_file,
+    toxicity, warc)
 from wardstat.llm.blocks import ship
 
 
@@ -12,6 +13,10 @@ def table(spark, sf_dir, name):
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark, sf_dir):
+    return suffixes.remove_repeats(table(spark, sf_dir, "documents"), keep_bytes=False).drop("kept")
+
+
 def op2_simhash(spark, sf_dir):
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
