@@ -29,13 +29,13 @@ ENTRIES = 250_000
 
 
 class Encoder:
-    """Ids of texts; remembers at most ``ENTRIES`` pieces."""
+    """Ids of texts; remembers at most ``entries`` pieces."""
 
-    def __init__(self, tokenizer, whole=(), lower=False):
+    def __init__(self, tokenizer, whole=(), lower=False, entries=ENTRIES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = tokenizer
         self.whole = "|".join([ODD_SPACE, *whole])
-        self.lower = lower
+        self.lower, self.entries = lower, entries
         self.known = {}
         self.ids = np.zeros(0, np.uint32)
         self.starts = np.zeros(0, np.int64)
@@ -44,10 +44,10 @@ class Encoder:
     def learn(self, pieces):
         """Place of each of the pieces, and starts, lengths and ids to read there.
 
-        The first ``ENTRIES`` distinct pieces are remembered, the frequent ones
+        The first ``entries`` distinct pieces are remembered, the frequent ones
         among them; others are encoded anew for each block.
         """
-        known, room = self.known, ENTRIES - len(self.known)
+        known, room = self.known, self.entries - len(self.known)
         new = [p for p in pieces if p not in known]
         lists = []
         for at in range(0, len(new), 5_000):

@@ -32,6 +32,7 @@ from wardstat.session import scratch_path
 MAGIC = b"PFR1"
 BLOCK = 256
 PERCENTILE = 0.9
+ENTRIES = 600_000  # pieces that a worker remembers
 GROUP = 4096  # blocks packed or read at once
 HEADER = np.dtype([("least", "<u4"), ("count", "<u2"), ("width", "<u2"), ("exceptions", "<u2")])
 MANIFEST = "part int, path string, n_documents long, n_tokens long"
@@ -43,7 +44,7 @@ def encoder(path):
     """The library's tokenizer from a file. Texts that may name a special token are encoded whole."""
     from tokenizers import Tokenizer
 
-    return Encoder(Tokenizer.from_file(path), whole=(r"<\|",), lower=True)
+    return Encoder(Tokenizer.from_file(path), whole=(r"<\|",), lower=True, entries=ENTRIES)
 
 
 def packed(values):
