@@ -1,4 +1,8 @@
+import os
+import time
+
 import pytest
+from conftest import session_settings
 from pyspark.sql import functions as F
 
 from wardstat import schemas as S
@@ -6,7 +10,7 @@ from wardstat.plans import medallion as M
 from wardstat.session import scratch_path
 from wardstat.sources import catalog
 from wardstat.sources.files import file_manifest, read_csv, read_gold
-from wardstat.sources.sinks import session_settings, write_dataset
+from wardstat.sources.sinks import write_dataset
 from wardstat.streaming.bronze import incremental_bronze
 
 
@@ -23,12 +27,12 @@ def rows(df):
 def test_manifest_lists_csv_files_only(spark, tmp_path):
     root = tmp_path / "raw files"
     put(root / "a b.csv", "x\n1\n")
-    put(root / "sub" / "c+1.csv", "x\n1\n2\n")
+    put(root / "sub" / "c+1.CSV", "x\n1\n2\n")
     put(root / "notes.txt", "no")
     (root / "empty").mkdir()
     for path in (str(root), f"file://{root}/"):
         got = rows(file_manifest(spark, path).select("relative_path", "file_name", "length"))
-        assert got == [("a b.csv", "a b.csv", 4), ("sub/c+1.csv", "c+1.csv", 6)]
+        assert got == [("a b.csv", "a b.csv", 4), ("sub/c+1.CSV", "c+1.CSV", 6)]
 
 
 def test_manifest_reads_no_content(spark, tmp_path):
@@ -45,8 +49,20 @@ def test_csv_is_text_and_keeps_ids(spark, tmp_path):
 
 
 def test_short_and_long_csv_rows_are_kept(spark, tmp_path):
-    path = put(tmp_path / "a.csv", "a,b\n1\n2,3,4\n")
-    assert rows(read_csv(spark, path)) == [("1", None), ("2", "3")]
+    path = put(tmp_path / "a.csv", "a,b\n1\n2,3,4\n5,6\n")
+    assert rows(read_csv(spark, path, unfit="whole")) == [
+        ("1", None, "1"), ("2", "3", "2,3,4"), ("5", "6", None)]
+
+
+def test_quoted_text(spark, tmp_path):
+    path = put(tmp_path / "a.csv", 'a,b\n1,"say ""hi"""\n2,"x\ny"\n')
+    assert rows(read_csv(spark, path, multi_line=True)) == [("1", 'say "hi"'), ("2", "x\ny")]
+
+
+def test_a_schema_does_not_swap_columns(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "b,a\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ_FILE"):
+        read_csv(spark, path, "a string, b string").collect()
 
 
 def test_files_with_another_header_are_refused(spark, tmp_path):
@@ -62,11 +78,29 @@ def test_bronze_lands_every_file_under_its_name(spark, tmp_path):
     put(raw / "deep" / "two.csv", "k\n1\n")
     put(raw / "x [1].csv", "k\n1\n2\n3\n")
     report = M.run_bronze(spark, str(raw), str(bronze))
+    # One data set for each header, named for its first file.
     assert rows(report) == [
-        ("deep/two", "two.csv", 1), ("one", "one.csv", 2), ("x [1]", "x [1].csv", 3)]
+        ("deep~1two", "deep/two.csv", 1), ("deep~1two", "x [1].csv", 3), ("one", "one.csv", 2)]
     landed = spark.read.parquet(str(bronze / "one"))
-    assert landed.columns == ["a", "b c", S.SOURCE_FILE, S.INGESTED_AT]
-    assert rows(landed.drop(S.INGESTED_AT)) == [("1", "x", "one.csv"), ("2", None, "one.csv")]
+    assert landed.columns == ["a", "b c", *S.LANDING_COLUMNS]
+    assert rows(landed.select("a", "b c", S.UNFIT_ROW, S.SOURCE_FILE)) == [
+        ("1", "x", None, "one.csv"), ("2", None, None, "one.csv")]
+
+
+@pytest.mark.parametrize("names", [("a.csv", "a/b.csv"), ("b/a.csv", "b.csv")])
+def test_no_data_set_lies_in_another(spark, tmp_path, names):
+    raw, bronze = tmp_path / "raw", tmp_path / "bronze"
+    for i, name in enumerate(names):
+        put(raw / name, f"k{i}\n1\n")
+    assert sorted(r.source_file for r in M.run_bronze(spark, str(raw), str(bronze)).collect()) == sorted(names)
+
+
+def test_equal_names_in_two_folders(spark, tmp_path):
+    raw = tmp_path / "raw"
+    put(raw / "q1" / "pbj.csv", "a\n1\n")
+    put(raw / "q2" / "pbj.CSV", "a\n2\n3\n")
+    report = M.run_bronze(spark, str(raw), str(tmp_path / "b"), {"pbj": "*/pbj.[cC][sS][vV]"})
+    assert rows(report) == [("pbj", "q1/pbj.csv", 1), ("pbj", "q2/pbj.CSV", 2)]
 
 
 def test_bronze_by_pattern(spark, tmp_path):
@@ -95,6 +129,33 @@ def test_incremental_bronze_lands_each_file_once(spark, tmp_path):
     assert incremental_bronze(spark, str(raw), out, progress).count() == 3
 
 
+def test_incremental_bronze_lands_old_files(spark, tmp_path):
+    raw, out, progress = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "progress")
+    put(raw / "1.csv", "a\n1\n")
+    assert incremental_bronze(spark, str(raw), out, progress).count() == 1
+    late = put(raw / "2.csv", "a\n2\n")
+    month_ago = time.time() - 30 * 86400
+    os.utime(late, (month_ago, month_ago))
+    assert incremental_bronze(spark, str(raw), out, progress).count() == 2
+
+
+def test_incremental_bronze_names_a_rewritten_file(spark, tmp_path):
+    raw, out, progress = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "progress")
+    path = put(raw / "1.csv", "a\n1\n")
+    incremental_bronze(spark, str(raw), out, progress)
+    put(raw / "1.csv", "a\n1\n2\n")
+    later = time.time() + 60
+    os.utime(path, (later, later))
+    with pytest.raises(ValueError, match="1.csv"):
+        incremental_bronze(spark, str(raw), out, progress)
+
+
+def test_database_locations_are_quoted(spark, tmp_path):
+    place = tmp_path / "it's here"
+    catalog.create_database(spark, "ward_quoted", str(place))
+    assert "it's here" in spark.catalog.getDatabase("ward_quoted").locationUri.replace("%20", " ")
+
+
 def test_incremental_bronze_refuses_another_header(spark, tmp_path):
     raw, out, progress = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "progress")
     put(raw / "1.csv", "a,b\n1,x\n")
@@ -212,6 +273,10 @@ def test_scratch_needs_a_shared_folder_off_local(spark, monkeypatch):
     class Session:
         conf = Conf()
 
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_path(Session(), "x")
+    monkeypatch.setattr(Conf, "get", lambda self, key, default=None: {
+        "spark.master": "local-cluster[2,1,1024]"}.get(key, default))
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_path(Session(), "x")
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))

@@ -71,6 +71,15 @@ def test_facility_attributes_from_their_own_table(spark):
         assert sorted(a.collect()) == sorted(b.collect())
 
 
+def test_no_day_is_lost_or_doubled(spark):
+    flat = days(spark, day(Hrs_RN=1, MDScensus=3), day(provnum="9", Hrs_RN=4), day(provnum=None, Hrs_RN=2))
+    keys = spark.createDataFrame(
+        [("015009", "Home", "AL"), ("015009", "Home II", "AL")], "PROVNUM string, PROVNAME string, STATE string")
+    got = {(r.PROVNUM, r.PROVNAME, r.STATE, r.RN_HOURS)
+           for r in G.monthly_rollup(flat.drop("PROVNAME", "STATE"), keys).collect()}
+    assert got == {("015009", "Home", "AL", 1.0), ("9", None, None, 4.0), (None, None, None, 2.0)}
+
+
 def test_monthly_hours_add_up_to_daily_hours(spark):
     rows = [day(provnum=str(i % 7), date=f"2024{4 + i % 3:02d}{1 + i % 28:02d}", Hrs_RN=i * 0.25)
             for i in range(200)]

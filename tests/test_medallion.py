@@ -100,6 +100,28 @@ def test_a_second_run_replaces_the_first(spark, lake, gold):
     assert after == before
 
 
+def test_one_month_leaves_the_others_alone(spark, lake, tmp_path):
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    pbj = spark.read.parquet(f"{lake}/silver/{S.PBJ}")
+    april = pbj.where("WorkDate < '2024-05-01'")
+    april.write.parquet(f"{silver}/{S.PBJ}")
+    spark.read.parquet(f"{lake}/silver/{S.PROVIDER}").write.parquet(f"{silver}/{S.PROVIDER}")
+    M.run_gold(spark, silver, gold)
+
+    def files():
+        found = (tmp_path / "gold" / "staffing_metrics").rglob("*.parquet")
+        return {str(p): p.stat().st_mtime_ns for p in found if "MONTH=4" in str(p)}
+
+    before = files()
+    pbj.where("WorkDate >= '2024-05-01'").write.mode("append").parquet(f"{silver}/{S.PBJ}")
+    M.run_gold(spark, silver, gold, months=[(2024, 5)])
+    assert before and files() == before
+    for name in S.GOLD_TABLES:
+        def table(where):
+            return sorted(map(tuple, read_gold(spark, where, name).collect()), key=repr)
+        assert table(gold) == table(f"{lake}/gold")
+
+
 def test_missing_staffing_columns_are_named(spark, lake, tmp_path):
     pbj = spark.read.parquet(f"{lake}/silver/{S.PBJ}").drop("Hrs_RN")
     with pytest.raises(ValueError, match="Hrs_RN"):

@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from wardstat.operators import columns as C
 from wardstat.operators import profiling as P
-from wardstat.operators.joins import prefilter_by_keys
 from wardstat.operators.ranking import top_k
 from wardstat.operators.reshape import aggregates_as_rows, to_long
 
@@ -127,17 +126,3 @@ def test_reshape(spark):
     assert rows(aggregates_as_rows(df, measures, "what", "n")) == [("All of a", 4.0), ("b", 2.0)]
     assert rows(to_long(df, "s", ["a", "b"])) == [
         ("x", "a", 1.0), ("x", "b", 2.0), ("y", "a", 3.0), ("y", "b", None)]
-
-
-def test_prefilter_thins_within_its_bounds_only(spark):
-    df = spark.range(100).selectExpr("cast(id % 10 AS string) AS k", "id AS v")
-    keys = spark.createDataFrame([("1",), ("1",), ("7",), (None,)], "k string")
-    thinned = prefilter_by_keys(df, keys, "k")
-    assert rows(thinned.select("k").distinct()) == [("1",), ("7",)]
-    assert thinned.count() == 20
-    assert prefilter_by_keys(df, keys, "k", max_rows=3) is df
-    assert prefilter_by_keys(df, keys, "k", max_bytes=2) is df
-    assert prefilter_by_keys(df, keys.limit(0), "k").count() == 0
-    joined = {prefilter_by_keys(df, keys, "k", max_rows=n).join(keys.distinct(), "k").count()
-              for n in (1, 1000)}
-    assert joined == {20}

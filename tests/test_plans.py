@@ -1,13 +1,13 @@
 """What the physical plans must and must not hold."""
 
 import pytest
+from conftest import session_settings
 from pyspark.sql import functions as F
 
 from verification import views as V
 from verification.catalogue import QUERIES
 from wardstat.plans import gold as G
 from wardstat.plans import serving as D
-from wardstat.sources.sinks import session_settings
 
 SF_DIR = "/root/testdata/sf0.001"
 DIRECT = [
@@ -41,13 +41,13 @@ def test_days_are_reduced_before_any_shuffle(spark, large_tables):
     text = plan(V.staffing(spark, SF_DIR))
     days = next(line for line in text.split("\n") if "lineitem.parquet" in line)
     above = text.split(days)[0].split("\n")
-    depth = [line for line in above if "Exchange" in line or "partial_sum" in line]
-    assert "partial_sum" in depth[-1]
+    depth = [line for line in above if "Exchange" in line or "partial_try_sum" in line]
+    assert "partial_try_sum" in depth[-1]
 
 
 def test_flat_days_are_reduced_before_the_second_shuffle(spark, large_tables):
     """A join on PROVNUM would leave a hot facility in one task."""
-    text = plan(QUERIES["staffing_metrics_flat"](spark, SF_DIR)).split("partial_sum")[0]
+    text = plan(QUERIES["staffing_metrics_flat"](spark, SF_DIR)).split("partial_try_sum")[0]
     assert "Exchange hashpartitioning(PROVNUM" in text
 
 
@@ -69,7 +69,8 @@ def test_a_hot_facility_is_split_in_the_flat_join(spark, large_tables, tmp_path)
         flat = QUERIES["staffing_metrics_flat"](spark, str(tmp_path))
         rows = flat.collect()
         assert "skew=true" in plan(flat)
-    assert sorted(rows) == sorted(QUERIES["staffing_metrics"](spark, str(tmp_path)).collect())
+    others = QUERIES["staffing_metrics"](spark, str(tmp_path)).collect()
+    assert sorted(rows, key=repr) == sorted(others, key=repr)
 
 
 def test_scan_reads_only_what_the_figure_needs(spark):
@@ -79,9 +80,24 @@ def test_scan_reads_only_what_the_figure_needs(spark):
     assert "l_extendedprice" not in schema and "l_tax" not in schema
 
 
-def test_occupancy_does_not_touch_the_days(spark):
-    board = V.facility(spark, SF_DIR).select("PROVNUM", "OCCUPANCY_RATE")
-    assert "lineitem" not in plan(board)
+def test_occupancy_ranks_before_it_joins(spark, large_tables):
+    """The query itself: the days meet no more than ten facilities, before they are reduced."""
+    frame = QUERIES["top_occupancy"](spark, SF_DIR)
+    text = plan(frame)
+    days = next(line for line in text.split("\n") if "lineitem.parquet" in line)
+    assert "BroadcastHashJoin" in text.split(days)[0].split("partial_try_sum")[-1]
+    assert "TakeOrderedAndProject" in text.split(days)[1]
+    whole = G.top_k(V.facility(spark, SF_DIR), "OCCUPANCY_RATE", 10)
+    assert frame.collect() == whole.select(frame.columns).collect()
+
+
+def test_no_job_runs_while_a_state_is_planned(spark):
+    tracker = spark.sparkContext.statusTracker()
+    V.staffing(spark, SF_DIR, "NATION_7")  # reads the schemas
+    spark.sparkContext.setJobGroup("planning", "planning")
+    V.staffing(spark, SF_DIR, "NATION_7")
+    assert not tracker.getJobIdsForGroup("planning")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
 
 def test_top_k_is_no_full_sort(spark):

@@ -1,5 +1,7 @@
 """Every operator as a named query ``(spark, sf_dir) -> DataFrame``."""
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from verification import views as V
@@ -93,8 +95,10 @@ def state_filter(spark, sf_dir):
 
 
 @query
-def state_filter_all(spark, sf_dir):
-    return D.in_state(V.facility(spark, sf_dir), D.ALL_STATES)
+def kpi_cards_nowhere(spark, sf_dir):
+    """Key figures of a state without rows."""
+    staffing, facility, quality = V.served(spark, sf_dir, "NOWHERE")
+    return D.kpi_cards(facility, staffing, quality)
 
 
 @query
@@ -119,7 +123,7 @@ def avg_quality_ratings(spark, sf_dir):
 
 @query
 def top_occupancy(spark, sf_dir):
-    return D.top_occupancy(V.facility(spark, sf_dir))
+    return G.top_occupancy(V.providers(spark, sf_dir), V.daily(spark, sf_dir), V.facilities(spark, sf_dir))
 
 
 @query
@@ -253,7 +257,10 @@ def coerce_numeric(spark, sf_dir):
 def work_date(spark, sf_dir):
     text = F.expr("""
         CASE o_orderkey % 4 WHEN 0 THEN date_format(o_orderdate, 'yyyyMMdd')
-             WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd') WHEN 2 THEN 'junk'
+             WHEN 1 THEN date_format(o_orderdate, 'yyyy-MM-dd')
+             WHEN 2 THEN CASE o_orderkey % 3 WHEN 0 THEN date_format(o_orderdate, 'yyyyMM') || '1'
+                  WHEN 1 THEN date_format(o_orderdate, 'yyyy')
+                  ELSE date_format(o_orderdate, 'yyyy-MM-dd') || 'Tjunk' END
              ELSE date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss') END""")
     orders = V.table(spark, sf_dir, "orders").select("o_orderkey", text.alias("day"))
     return orders.select("o_orderkey", to_work_date(F.col("day")).alias("work_date")).select(
@@ -299,14 +306,26 @@ def schema_report(spark, sf_dir):
 
 
 @query
-def require_columns(spark, sf_dir):
-    return C.require_columns(V.facility(spark, sf_dir), ["STATE", "PROVNUM", "PROVNAME"])
+def schema_listing(spark, sf_dir):
+    return C.schema_report(V.table(spark, sf_dir, "lineitem"))
+
+
+@query
+def require_columns_failure(spark, sf_dir):
+    """The rows of a table without one of the columns that serving needs, and what it is told."""
+    facilities = V.providers(spark, sf_dir).select("PROVNUM", "PROVNAME")
+    message = ""
+    try:
+        C.require_columns(facilities, ["STATE", "PROVNUM"])
+    except ValueError as error:
+        message = str(error)
+    return facilities.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("message", F.lit(message))
 
 
 # --- files and tables --------------------------------------------------------
 
-def _raw_files(spark, sf_dir):
-    """The four extracts as headered CSV; returns their folder."""
+def _raw_files(spark, sf_dir, *names):
+    """The named extracts, or all four, as headered CSV; returns their folder."""
     raw = scratch_path(spark, "raw")
     pbj = V.pbj(spark, sf_dir)
     extracts = {
@@ -321,8 +340,8 @@ def _raw_files(spark, sf_dir):
             F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority")).alias(
                 "QM Rating Footnote")),
     }
-    for name, frame in extracts.items():
-        write_dataset(frame, f"{raw}/{name}", fmt="csv")
+    for name in names or extracts:
+        write_dataset(extracts[name], f"{raw}/{name}", fmt="csv")
     return raw
 
 
@@ -394,15 +413,51 @@ def profile_saved_table(spark, sf_dir):
         V.provider_file(spark, sf_dir), f"{database}.provider", f"{database}.null_summary")
 
 
+@query
+def csv_quotes_roundtrip(spark, sf_dir):
+    """Text with quotes, commas and line breaks, out and back."""
+    rows = V.table(spark, sf_dir, "part").select(
+        F.col("p_partkey").cast("string").alias("part"),
+        F.concat(F.lit('say "'), "p_name", F.lit('", ""twice""'), F.when(
+            F.col("p_partkey") % 5 == 0, "\nnext line").otherwise("")).alias("said"))
+    path = write_dataset(rows, scratch_path(spark, "quotes"), fmt="csv")
+    return read_csv(spark, path, multi_line=True)
+
+
+@query
+def csv_swapped_header(spark, sf_dir):
+    """What the reader makes of files whose columns come in another order than declared."""
+    regions = V.table(spark, sf_dir, "region").select("r_name", "r_regionkey")
+    path = write_dataset(regions, scratch_path(spark, "swapped"), fmt="csv")
+    try:
+        rows = len(read_csv(spark, path, "r_regionkey string, r_name string").collect())  # five regions
+    except (PySparkException, Py4JJavaError):
+        rows = -1
+    return regions.agg(F.count(F.lit(1)).alias("written")).withColumn("misread", F.lit(rows).cast("long"))
+
+
 @query
 def file_manifest_of_raw(spark, sf_dir):
-    return file_manifest(spark, _raw_files(spark, sf_dir))
+    """Names and bytes of two extracts by the manifest, less one header per file."""
+    extracts = (S.SURVEY_DATES, S.STATE_AVERAGES)
+    raw = _raw_files(spark, sf_dir, *extracts)
+    header = F.create_map(*[F.lit(x) for name in extracts for x in (
+        name, len(_header(spark, f"{raw}/{name}")))])
+    dataset = F.element_at(F.split("relative_path", "/"), 1)
+    return file_manifest(spark, raw).groupBy(dataset.alias("dataset")).agg(
+        F.sum(F.col("length") - header[dataset]).alias("row_bytes"),
+        F.bool_and(F.col("relative_path") == F.concat(dataset, F.lit("/"), "file_name")).alias("names_agree"))
+
+
+def _header(spark, path):
+    names = [f'"{n}"' if "," in n else n for n in read_csv(spark, path).columns]
+    return ",".join(names) + "\n"
 
 
 @query
 def file_manifest_bytes(spark, sf_dir):
     """Bytes of the survey rows by the manifest, less one header per file."""
-    raw = _raw_files(spark, sf_dir)
+    raw = _raw_files(spark, sf_dir, S.SURVEY_DATES)
     header = ",".join(read_csv(spark, f"{raw}/{S.SURVEY_DATES}").columns) + "\n"
     files = file_manifest(spark, f"{raw}/{S.SURVEY_DATES}")
     return files.agg((F.sum("length") - F.count(F.lit(1)) * len(header)).alias("row_bytes"))
@@ -410,8 +465,21 @@ def file_manifest_bytes(spark, sf_dir):
 
 @query
 def bronze_load(spark, sf_dir):
-    raw = _raw_files(spark, sf_dir)
-    return M.load_bronze(spark, f"{raw}/{S.PROVIDER}").drop(S.SOURCE_FILE, S.INGESTED_AT)
+    raw = _raw_files(spark, sf_dir, S.PROVIDER)
+    return M.load_bronze(spark, raw, S.PROVIDER).drop(*S.LANDING_COLUMNS)
+
+
+@query
+def bronze_unfit_rows(spark, sf_dir):
+    """Lines that hold more or fewer cells than the header, kept as they came."""
+    raw = scratch_path(spark, "unfit")
+    nation = V.table(spark, sf_dir, "nation")
+    line = F.concat_ws(",", F.col("n_nationkey").cast("string"), F.when(F.col("n_nationkey") % 4 != 1, F.col("n_name")),
+                       F.when(F.col("n_nationkey") % 4 == 2, "more"))
+    header = spark.range(1).select(F.lit("number,name").alias("value"))
+    header.unionByName(nation.select(line.alias("value"))).coalesce(1).write.text(raw)
+    csv = M.load_bronze(spark, raw)
+    return csv.select("number", "name", S.UNFIT_ROW)
 
 
 @query
@@ -423,11 +491,11 @@ def bronze_row_counts(spark, sf_dir):
 
 @query
 def incremental_bronze_load(spark, sf_dir):
-    raw = f"{_raw_files(spark, sf_dir)}/{S.PROVIDER}"
+    raw = f"{_raw_files(spark, sf_dir, S.PROVIDER)}/{S.PROVIDER}"
     work = scratch_path(spark, "incremental")
     incremental_bronze(spark, raw, f"{work}/bronze", f"{work}/progress")
     loaded = incremental_bronze(spark, raw, f"{work}/bronze", f"{work}/progress")
-    return loaded.drop(S.SOURCE_FILE, S.INGESTED_AT)
+    return loaded.drop(*S.LANDING_COLUMNS)
 
 
 _SILVER = {}
@@ -502,6 +570,25 @@ def state_cards_from_raw(spark, sf_dir):
     return D.Dashboard.over(tables).for_state(STATE).kpi_cards()
 
 
+@query
+def gold_views(spark, sf_dir):
+    """Facilities of each state, asked of the registered gold tables in SQL."""
+    catalog.register_gold(spark, _lake(spark, sf_dir))
+    return spark.sql("""
+        SELECT f.STATE, count(*) AS facilities, count(q.FACILITY_QUALITY_SCORE) AS scored
+        FROM facility_metrics f JOIN quality_metrics q ON f.PROVNUM = q.PROVNUM GROUP BY f.STATE""")
+
+
+@query
+def gold_of_one_month(spark, sf_dir):
+    """The staffing table after a full run and a second one that replaces a single month."""
+    silver = _silver(spark, sf_dir)
+    gold = scratch_path(spark, "gold-months")
+    M.run_gold(spark, silver, gold)
+    M.run_gold(spark, silver, gold, months=[(1995, 3)])
+    return read_gold(spark, gold, "staffing_metrics")
+
+
 @query
 def preview_staffing(spark, sf_dir):
     keys = [*S.FACILITY_KEYS, *G.MONTH_KEYS]

@@ -5,6 +5,7 @@
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -53,7 +54,7 @@ def difference(frame, con, sql):
 def main(sf_dir="/root/testdata/sf0.01", *names):
     spark = build_session(
         "check", "local[8]", spark__ui__enabled="false", spark__sql__shuffle__partitions=8,
-        spark__sql__warehouse__dir="/tmp/wardstat-warehouse")
+        spark__sql__warehouse__dir=tempfile.mkdtemp(prefix="wardstat-warehouse-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = oracle_connection(sf_dir)
     failed = 0

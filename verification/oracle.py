@@ -6,6 +6,7 @@ HOURS = ("RN", "LPN", "CNA")
 RATINGS = ("OVERALL_RATING", "HEALTH_RATING", "STAFFING_RATING")
 NUMBERS = [f"Hrs_{h}{k}" for k in ("", "_emp", "_ctr") for h in HOURS] + ["MDScensus"]
 MODEL = ["PROVNUM", "PROVNAME", "STATE", "CERTIFIED_BEDS", "AVG_RESIDENTS", *RATINGS]
+# Headers of the provider file.
 FILE = {
     "PROVNUM": "CMS Certification Number (CCN)",
     "PROVNAME": "Provider Name",
@@ -30,15 +31,23 @@ def ratio(numerator, denominator, scale=""):
     return rounded(f"cast({value} AS double)")
 
 
+def total(x):
+    """Exact sum to six decimals."""
+    return f"(cast(sum(cast(round(({x}) * 1000000::double) AS bigint)) AS double) / 1000000::double)"
+
+
 def mean(column):
-    """Exact mean of values with two decimals."""
-    return f"cast(sum(cast({column} AS decimal(18,2))) AS double) / nullif(count({column}), 0)"
+    """Exact mean to six decimals."""
+    return f"({total(column)} / nullif(count({column}), 0))"
+
+
+FIRST = ", ".join(f"{k} NULLS FIRST" for k in KEYS.split(", "))
 
 
 _HOUR_RULES = {
     "RN": "CASE WHEN l_quantity <> 13 THEN l_quantity END",
-    "LPN": "CASE WHEN l_returnflag <> 'A' THEN l_quantity * 0.5::double END",
-    "CNA": "CASE WHEN l_linenumber <> 7 THEN l_linenumber * 4.25::double END",
+    "LPN": "CASE WHEN l_returnflag <> 'A' THEN l_quantity * 0.57::double END",
+    "CNA": "CASE WHEN l_linenumber <> 7 THEN l_linenumber * 4.01::double END",
 }
 _DAY = ",\n".join(
     ["cast(l_shipdate AS date) AS WorkDate"]
@@ -50,6 +59,8 @@ _DAY = ",\n".join(
     ]
     + ["CASE WHEN l_linenumber <> 1 THEN floor(l_extendedprice / 1000.0::double) END AS MDScensus"]
 )
+_NUMBER = ("CASE WHEN l_orderkey % 89 <> 3 THEN l_suppkey + "
+           "CASE WHEN l_partkey % 97 = 5 THEN 5000000 ELSE 0 END END")
 _TOTAL = " + ".join(f"coalesce(Hrs_{h}, 0)" for h in HOURS)
 
 
@@ -58,18 +69,20 @@ def _total(kind):
 
 
 PBJ = f"""pbj AS (
-SELECT cast(s_suppkey AS varchar) AS PROVNUM, s_name AS PROVNAME, n_name AS STATE, {_DAY}
-FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey)"""
+SELECT cast(number AS varchar) AS PROVNUM, s_name AS PROVNAME, n_name AS STATE, {_DAY}
+FROM (SELECT *, {_NUMBER} AS number FROM lineitem)
+LEFT JOIN supplier ON number = s_suppkey LEFT JOIN nation ON s_nationkey = n_nationkey)"""
 
 STAFFING = f"""{PBJ},
 monthly AS (
 SELECT {KEYS}, cast(year(WorkDate) AS int) AS YEAR, cast(month(WorkDate) AS int) AS MONTH,
-  sum({_TOTAL}) AS TOTAL_NURSE_HOURS, avg(MDScensus) AS AVG_PATIENT_CENSUS,
-  sum(Hrs_RN) AS RN_HOURS, sum(Hrs_LPN) AS LPN_HOURS, sum(Hrs_CNA) AS CNA_HOURS,
-  sum({_total('emp')}) AS EMPLOYEE_HOURS, sum({_total('ctr')}) AS CONTRACT_HOURS
+  {total(_TOTAL)} AS TOTAL_NURSE_HOURS, {mean('MDScensus')} AS AVG_PATIENT_CENSUS,
+  {total('Hrs_RN')} AS RN_HOURS, {total('Hrs_LPN')} AS LPN_HOURS, {total('Hrs_CNA')} AS CNA_HOURS,
+  {total(_total('emp'))} AS EMPLOYEE_HOURS, {total(_total('ctr'))} AS CONTRACT_HOURS,
+  {total('MDScensus')} AS CENSUS_DAYS
 FROM pbj GROUP BY ALL),
 staffing AS (
-SELECT *, {ratio('TOTAL_NURSE_HOURS', 'AVG_PATIENT_CENSUS')} AS NURSE_TO_PATIENT_RATIO,
+SELECT * EXCLUDE (CENSUS_DAYS), {ratio('TOTAL_NURSE_HOURS', 'AVG_PATIENT_CENSUS')} AS NURSE_TO_PATIENT_RATIO,
   {ratio('EMPLOYEE_HOURS', 'TOTAL_NURSE_HOURS', ' * 100')} AS EMPLOYEE_STAFF_PERCENT,
   {ratio('CONTRACT_HOURS', 'TOTAL_NURSE_HOURS', ' * 100')} AS CONTRACT_STAFF_PERCENT
 FROM monthly)"""
@@ -79,9 +92,9 @@ SELECT PROVNUM, {mean('NURSE_TO_PATIENT_RATIO')} AS AVG_STAFFING_RATIO
 FROM staffing GROUP BY PROVNUM)"""
 
 VOLUME = f"""volume AS (
-SELECT {KEYS}, sum(MDScensus) AS TOTAL_PATIENT_DAYS FROM pbj GROUP BY ALL),
+SELECT {KEYS}, {total('MDScensus')} AS TOTAL_PATIENT_DAYS FROM pbj GROUP BY ALL),
 top_volume AS (
-SELECT * FROM volume ORDER BY TOTAL_PATIENT_DAYS DESC NULLS LAST, {KEYS} LIMIT 10)"""
+SELECT * FROM volume ORDER BY TOTAL_PATIENT_DAYS DESC NULLS LAST, {FIRST} LIMIT 10)"""
 
 PROVIDER = """keyed AS (
 SELECT s_suppkey AS k, 0 AS dup, s_name, s_nationkey FROM supplier
@@ -129,13 +142,13 @@ def _with(ctes, body):
 
 def _top(source, metric):
     return (f"SELECT * FROM {source} WHERE {metric} IS NOT NULL "
-            f"ORDER BY {metric} DESC, {KEYS} LIMIT 10")
+            f"ORDER BY {metric} DESC, {FIRST} LIMIT 10")
 
 
 def _cards(where=""):
     return f"""SELECT
  (SELECT count(DISTINCT PROVNUM) FROM facility{where}) AS TOTAL_FACILITIES,
- (SELECT coalesce(sum(TOTAL_NURSE_HOURS), 0) FROM staffing{where}) AS TOTAL_NURSE_HOURS,
+ (SELECT coalesce({total('TOTAL_NURSE_HOURS')}, 0) FROM staffing{where}) AS TOTAL_NURSE_HOURS,
  (SELECT {mean('OCCUPANCY_RATE')} FROM facility{where}) AS AVERAGE_OCCUPANCY_RATE,
  (SELECT {mean('FACILITY_QUALITY_SCORE')} FROM quality{where}) AS AVERAGE_QUALITY_SCORE"""
 
@@ -190,7 +203,7 @@ _HEAT = {
     "AVG_STAFFING_RATING": "avg(STAFFING_RATING)",
 }
 _HOUR_HEAT = {
-    c: f"coalesce(sum({c}), 0)" for c in (
+    c: f"coalesce({total(c)}, 0)" for c in (
         "TOTAL_NURSE_HOURS", "RN_HOURS", "LPN_HOURS", "CNA_HOURS", "EMPLOYEE_HOURS",
         "CONTRACT_HOURS")
 }
@@ -198,15 +211,16 @@ _HOUR_HEAT = {
 
 def _wide(source, measures):
     cells = ", ".join(f"{agg} AS {name}" for name, agg in measures.items())
-    return f"SELECT STATE, {cells} FROM {source} GROUP BY STATE"
+    return f"SELECT STATE, {cells} FROM {source} WHERE STATE IS NOT NULL GROUP BY STATE"
 
 
 def _long(source, measures):
     return " UNION ALL ".join(
-        f"SELECT STATE, '{name}' AS METRIC, {agg} AS VALUE FROM {source} GROUP BY STATE"
+        f"SELECT STATE, '{name}' AS METRIC, {agg} AS VALUE FROM {source} WHERE STATE IS NOT NULL GROUP BY STATE"
         for name, agg in measures.items())
 
 
+_KEYED = " WHERE " + " AND ".join(f"{k} IS NOT NULL" for k in KEYS.split(", "))
 _IN_STATE = f" WHERE STATE = '{STATE}'"
 _staffing = _with(STAFFING, "SELECT * FROM staffing")
 _facility = _with(FACILITY, "SELECT * FROM facility")
@@ -218,11 +232,7 @@ _pbj = _with(PBJ, f"SELECT {', '.join(PBJ_COLUMNS)} FROM pbj")
 ORACLE = {
     "staffing_metrics": _staffing,
     "staffing_metrics_flat": _staffing,
-    "monthly_rollup": _with(
-        STAFFING + f", census AS (SELECT {KEYS}, cast(year(WorkDate) AS int) AS YEAR, "
-                   "cast(month(WorkDate) AS int) AS MONTH, sum(MDScensus) AS CENSUS_DAYS "
-                   "FROM pbj GROUP BY ALL)",
-        f"SELECT * FROM monthly JOIN census USING ({KEYS}, YEAR, MONTH)"),
+    "monthly_rollup": _with(STAFFING, "SELECT * FROM monthly"),
     "facility_avg_ratio": _with(f"{STAFFING}, {MEANS}", "SELECT * FROM means"),
     "facility_metrics": _facility,
     "quality_metrics": _quality,
@@ -233,13 +243,13 @@ ORACLE = {
     "kpi_cards_state": _with(FACILITY, _cards(_IN_STATE)),
     "state_filter": _staffing + _IN_STATE,
     "state_filter_flat": _staffing + _IN_STATE,
-    "state_filter_all": _facility,
+    "kpi_cards_nowhere": _with(FACILITY, _cards(" WHERE STATE = 'NOWHERE'")),
     "state_list": _with(PROVIDER, "SELECT DISTINCT STATE FROM provider ORDER BY STATE"),
     "hours_by_staff_type": _with(STAFFING, _as_rows(
-        "staffing", "STAFF_TYPE", "HOURS", {h: f"coalesce(sum({h}_HOURS), 0)" for h in HOURS})),
+        "staffing", "STAFF_TYPE", "HOURS", {h: f"coalesce({total(h + '_HOURS')}, 0)" for h in HOURS})),
     "employee_vs_contract": _with(STAFFING, _as_rows("staffing", "STAFF_TYPE", "HOURS", {
-        "Employee Hours": "coalesce(sum(EMPLOYEE_HOURS), 0)",
-        "Contract Hours": "coalesce(sum(CONTRACT_HOURS), 0)"})),
+        "Employee Hours": f"coalesce({total('EMPLOYEE_HOURS')}, 0)",
+        "Contract Hours": f"coalesce({total('CONTRACT_HOURS')}, 0)"})),
     "avg_quality_ratings": _with(QUALITY, _as_rows("quality", "RATING_TYPE", "AVERAGE_SCORE", {
         "Overall Rating": "avg(OVERALL_RATING)",
         "Health Rating": "avg(HEALTH_RATING)",
@@ -249,17 +259,17 @@ ORACLE = {
     "top_quality": _with(QUALITY, _top("quality", "FACILITY_QUALITY_SCORE")),
     "mean_nurse_ratio": _with(
         STAFFING, f"SELECT {KEYS}, {mean('NURSE_TO_PATIENT_RATIO')} AS NURSE_TO_PATIENT_RATIO "
-                  "FROM staffing GROUP BY ALL"),
+                  f"FROM staffing{_KEYED} GROUP BY ALL"),
     "top_nurse_ratio": _with(
         STAFFING + f", ratios AS (SELECT {KEYS}, {mean('NURSE_TO_PATIENT_RATIO')} "
-                   "AS NURSE_TO_PATIENT_RATIO FROM staffing GROUP BY ALL)",
+                   f"AS NURSE_TO_PATIENT_RATIO FROM staffing{_KEYED} GROUP BY ALL)",
         _top("ratios", "NURSE_TO_PATIENT_RATIO")),
     "top_volume": _top_volume,
     "top_volume_in_state": _top_volume + _IN_STATE,
     "state_top_volume": _with(
         f"{PBJ}, {VOLUME}",
         f"SELECT * FROM volume{_IN_STATE} AND TOTAL_PATIENT_DAYS IS NOT NULL "
-        f"ORDER BY TOTAL_PATIENT_DAYS DESC, {KEYS} LIMIT 10"),
+        f"ORDER BY TOTAL_PATIENT_DAYS DESC, {FIRST} LIMIT 10"),
     "quality_heatmap": _with(QUALITY, _wide("quality", _HEAT)),
     "staffing_heatmap": _with(STAFFING, _wide("staffing", _HOUR_HEAT)),
     "quality_heatmap_long": _with(QUALITY, _long("quality", _HEAT)),
@@ -290,7 +300,7 @@ ORACLE = {
     "prepared_days":
         f"SELECT *, cast(year(WorkDate) AS int) AS YEAR, cast(month(WorkDate) AS int) AS MONTH, "
         f"{_TOTAL} AS TOTAL_NURSE_HOURS "
-        f"FROM (SELECT cast(l_suppkey AS varchar) AS PROVNUM, {_DAY} FROM lineitem)",
+        f"FROM (SELECT cast({_NUMBER} AS varchar) AS PROVNUM, {_DAY} FROM lineitem)",
     "drop_footnotes": _with(PROVIDER, _file(_same, kept=False)),
     "sanitize_names": _with(PROVIDER, _file(_clean)),
     "standardize_names": _with(PROVIDER, _file(lambda n: n.upper().replace(" ", "_"))),
@@ -300,7 +310,16 @@ ORACLE = {
         f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type, "
         f"cast(count(*) - count({c}) AS bigint) AS null_count FROM lineitem"
         for i, (c, t) in enumerate(_LINEITEM.items(), start=1)),
-    "require_columns": _facility,
+    "schema_listing": " UNION ALL ".join(
+        f"SELECT {i} AS ordinal, '{c}' AS column_name, '{t}' AS data_type"
+        for i, (c, t) in enumerate(_LINEITEM.items(), start=1)),
+    "require_columns_failure": _with(UNIQUE, """SELECT count(*) AS n_rows,
+        'missing columns: [''STATE'']; available columns: [''PROVNUM'', ''PROVNAME'']' AS message
+        FROM providers"""),
+    "csv_quotes_roundtrip": """SELECT cast(p_partkey AS varchar) AS part, 'say "' || p_name ||
+        '", ""twice""' || CASE WHEN p_partkey % 5 = 0 THEN chr(10) || 'next line' ELSE '' END AS said
+        FROM part""",
+    "csv_swapped_header": "SELECT count(*) AS written, cast(-1 AS bigint) AS misread FROM region",
     "csv_roundtrip": _pbj,
     "partitioned_roundtrip": _facility,
     "partitioned_csv_roundtrip": _quality,
@@ -316,10 +335,23 @@ ORACLE = {
             ("quality_metrics", "quality"), ("top_patient_volume", "top_volume")))),
     "profile_saved_table": _with(
         PROVIDER, _nulls("provider", {_clean(h): c for h, c in _FILE_CELLS.items()})),
+    "file_manifest_of_raw": """
+        SELECT 'NH_SurveyDates_Oct2024' AS dataset, true AS names_agree,
+            cast(sum(length(cast(o_orderkey AS varchar)) + 12 +
+                CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS bigint) AS row_bytes
+        FROM orders UNION ALL
+        SELECT 'NH_StateUSAverages_Oct2024', true, cast(sum(length(cast(c_nationkey AS varchar)) + 1 +
+            length(cast(n AS varchar)) + 1) AS bigint)
+        FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey)""",
     "file_manifest_bytes": """SELECT cast(sum(length(cast(o_orderkey AS varchar)) + 12 +
         CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS bigint)
         AS row_bytes FROM orders""",
     "bronze_load": _with(PROVIDER, _file(_same, text=True)),
+    "bronze_unfit_rows": """SELECT cast(n_nationkey AS varchar) AS number,
+        CASE WHEN n_nationkey % 4 <> 1 THEN n_name END AS name,
+        CASE n_nationkey % 4 WHEN 1 THEN cast(n_nationkey AS varchar)
+             WHEN 2 THEN cast(n_nationkey AS varchar) || ',' || n_name || ',more' END AS _unfit_row
+        FROM nation""",
     "bronze_row_counts": _with(f"{PBJ}, {PROVIDER}", """
         SELECT 'PBJ_Daily_Nurse_Staffing_Q2_2024' AS dataset, count(*) AS row_count FROM pbj
         UNION ALL SELECT 'NH_ProviderInfo_Oct2024', count(*) FROM provider
@@ -337,7 +369,10 @@ ORACLE = {
     "quality_from_raw": _quality,
     "volume_from_raw": _top_volume,
     "state_cards_from_raw": _with(FACILITY, _cards(_IN_STATE)),
-    "preview_staffing": _staffing + f" ORDER BY {KEYS}, YEAR, MONTH LIMIT 10",
+    "gold_views": _with(QUALITY, """SELECT STATE, count(*) AS facilities,
+        count(FACILITY_QUALITY_SCORE) AS scored FROM quality GROUP BY STATE"""),
+    "gold_of_one_month": _staffing,
+    "preview_staffing": _staffing + f" ORDER BY {FIRST}, YEAR, MONTH LIMIT 10",
     "preview_facility": _facility + " ORDER BY PROVNUM LIMIT 10",
     "preview_quality": _quality + " ORDER BY PROVNUM LIMIT 10",
     "preview_volume": _top_volume + " ORDER BY PROVNUM",

@@ -1,12 +1,12 @@
 """The generated tables seen as staffing days and provider rows.
 
-The generated tables hold no nulls, so nulls come from rules on the keys.
+The generated tables hold no nulls, unknown or repeated facilities, or hours in
+hundredths, so these come from rules on the keys.
 """
 
 from pyspark.sql import functions as F
 
 from wardstat import schemas as S
-from wardstat.operators.joins import prefilter_by_keys
 from wardstat.plans import gold as G
 from wardstat.plans.serving import in_state
 
@@ -29,19 +29,25 @@ def _suppliers_with_state(spark, sf_dir):
 
 
 def facilities(spark, sf_dir):
-    """PROVNUM, PROVNAME, STATE: one row per supplier."""
+    """PROVNUM, PROVNAME, STATE of every supplier; each seventh is listed twice, the
+    second time under a longer name."""
+    names = F.when(F.col("s_suppkey") % 7 == 0, F.array("s_name", F.concat("s_name", F.lit(" II")))).otherwise(
+        F.array("s_name"))
     return _suppliers_with_state(spark, sf_dir).select(
-        F.col("s_suppkey").cast("string").alias("PROVNUM"),
-        F.col("s_name").alias("PROVNAME"),
-        "STATE",
-    )
+        F.col("s_suppkey").cast("string").alias("PROVNUM"), F.explode(names).alias("PROVNAME"), "STATE")
+
+
+def _day_supplier():
+    """Number of the supplier that a line is a day of: unknown or null by rules on its keys."""
+    return F.when(F.col("l_orderkey") % 89 != 3, F.col("l_suppkey") + F.when(
+        F.col("l_partkey") % 97 == 5, 5_000_000).otherwise(0))
 
 
 def _day_columns():
     hours = {
         "Hrs_RN": F.when(F.col("l_quantity") != 13, F.col("l_quantity")),
-        "Hrs_LPN": F.when(F.col("l_returnflag") != "A", F.col("l_quantity") * 0.5),
-        "Hrs_CNA": F.when(F.col("l_linenumber") != 7, F.col("l_linenumber") * 4.25),
+        "Hrs_LPN": F.when(F.col("l_returnflag") != "A", F.col("l_quantity") * 0.57),
+        "Hrs_CNA": F.when(F.col("l_linenumber") != 7, F.col("l_linenumber") * 4.01),
     }
     split = {
         f"{name}_{kind}": F.when(F.col("l_linestatus") == status, value)
@@ -59,13 +65,24 @@ def _day_columns():
 
 def days(spark, sf_dir):
     """One row per line item, with the facility number only."""
-    provnum = F.col("l_suppkey").cast("string").alias("PROVNUM")
     columns = [c.alias(n) for n, c in _day_columns().items()]
-    return table(spark, sf_dir, "lineitem").select(provnum, *columns)
+    return table(spark, sf_dir, "lineitem").select(_day_supplier().cast("string").alias("PROVNUM"), *columns)
+
+
+def state_days(spark, sf_dir, state):
+    """The days of one state's facilities. The join is on the number as it is stored, so
+    that the lines can be filtered where they are scanned."""
+    numbers = in_state(_suppliers_with_state(spark, sf_dir), state).select("s_suppkey")
+    columns = [c.alias(n) for n, c in _day_columns().items()]
+    lines = table(spark, sf_dir, "lineitem").join(
+        numbers, F.col("l_suppkey") == F.col("s_suppkey"), "left_semi")
+    # The lines of a facility of the state that a rule gives to another one are none of its days.
+    return lines.where(_day_supplier() == F.col("l_suppkey")).select(
+        F.col("l_suppkey").cast("string").alias("PROVNUM"), *columns)
 
 
 def pbj(spark, sf_dir):
-    """The daily file as delivered: facility name and state in every row.
+    """The daily file as delivered: facility name and state in every row that has them.
 
     The join is on the number, PROVNUM is made from it afterwards. Were PROVNUM
     itself the join key, Spark would aggregate in place after a shuffled join
@@ -73,10 +90,11 @@ def pbj(spark, sf_dir):
     hot side of the join, and it reduces before it shuffles again. The lines
     travel as they are; the day columns are made after the join.
     """
-    named = table(spark, sf_dir, "lineitem").join(
-        _suppliers_with_state(spark, sf_dir), F.col("l_suppkey") == F.col("s_suppkey"))
+    lines = table(spark, sf_dir, "lineitem").withColumn("number", _day_supplier())
+    named = lines.join(
+        _suppliers_with_state(spark, sf_dir), F.col("number") == F.col("s_suppkey"), "left")
     flat = named.select(
-        F.col("s_suppkey").cast("string").alias("PROVNUM"),
+        F.col("number").cast("string").alias("PROVNUM"),
         F.col("s_name").alias("PROVNAME"),
         "STATE", *[c.alias(n) for n, c in _day_columns().items()])
     return flat.select(*S.FACILITY_KEYS, S.WORK_DATE, *S.PBJ_NUMBERS)
@@ -134,13 +152,11 @@ def daily(spark, sf_dir):
 
 
 def _days_and_facilities(spark, sf_dir, state):
-    """Prepared days and named facilities. For one state the days are thinned to
-    its facilities while they are scanned."""
+    """Prepared days and named facilities, of all states or of one."""
     named = facilities(spark, sf_dir)
     if state is None:
         return daily(spark, sf_dir), named
-    named = in_state(named, state)
-    return G.prepare_daily(prefilter_by_keys(days(spark, sf_dir), named, "PROVNUM")), named
+    return G.prepare_daily(state_days(spark, sf_dir, state)), in_state(named, state)
 
 
 def rollup(spark, sf_dir, state=None):

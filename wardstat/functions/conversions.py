@@ -8,7 +8,9 @@ from pyspark.sql import types as T
 PLAIN_NUMBER = r"^\s*[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?\s*$"
 INFINITE = r"(?i)^\s*[+-]?inf(inity)?\s*$"
 
-EIGHT_DIGITS = r"^([0-9]{4})([0-9]{2})([0-9]{2})$"
+# A date with a time of day after it.
+TIMESTAMP = (r"^[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}([.][0-9]+)?)?"
+             r"(Z|[+-][0-9]{2}:?[0-9]{2})?$")
 
 
 def to_double(col):
@@ -28,9 +30,12 @@ def to_number(col, data_type=None):
 
 
 def to_work_date(col, data_type=None):
-    """Accept ``yyyyMMdd`` (text or integer), ISO text, dates and timestamps."""
+    """Accept ``yyyyMMdd`` (text or integer), ``yyyy-MM-dd``, either alone or, the
+    latter, with a time of day, dates and timestamps. All else is null. The
+    regular expression is asked only where neither form fits."""
     if isinstance(data_type, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         return col.cast("date")
     text = F.trim(col.cast("string"))
-    dashed = F.regexp_replace(text, EIGHT_DIGITS, "$1-$2-$3")
-    return dashed.try_cast("date")
+    return F.coalesce(
+        F.try_to_date(text, "yyyyMMdd"), F.try_to_date(text, "yyyy-MM-dd"),
+        F.when(text.rlike(TIMESTAMP), F.try_to_date(F.left(text, F.lit(10)), "yyyy-MM-dd")))

@@ -6,6 +6,8 @@ from operator import add
 from pyspark.sql import functions as F
 
 DECIMALS = 2
+# Parts of one that sums keep.
+UNIT = 1e6
 
 
 def zero_if_null(col):
@@ -32,13 +34,22 @@ def mean_of_present(*cols):
     return F.round(F.try_divide(null_safe_sum(*cols), present), DECIMALS)
 
 
-def exact_mean(name):
-    """Aggregate: mean of values that are already rounded to two decimals.
+def _units(name):
+    """A column in whole millionths. Null, not finite or beyond nine million million: null."""
+    value = F.col(name) if isinstance(name, str) else name
+    return F.rint(value * F.lit(UNIT)).try_cast("bigint")
+
+
+def exact_sum(name):
+    """Aggregate: sum to six decimals, the same for every order of the rows.
 
-    Summing doubles gives a last digit that depends on the task order; decimals
-    do not. Values a decimal cannot hold (NaN, infinite, huge) use the plain mean.
+    Doubles summed as they come give a last digit that depends on the tasks.
+    Whole millionths do not; published hours and rounded ratios have two
+    decimals. Null if nothing can be summed.
     """
-    value = F.col(name)
-    amount = value.try_cast(f"decimal(18,{DECIMALS})")
-    exact = F.try_divide(F.sum(amount).cast("double"), F.count(value))
-    return F.when(F.count(amount) == F.count(value), exact).otherwise(F.avg(value))
+    return F.try_sum(_units(name)).cast("double") / F.lit(UNIT)
+
+
+def exact_mean(name):
+    """Aggregate: mean of the values that ``exact_sum`` sums, null without any."""
+    return F.try_divide(exact_sum(name), F.count(_units(name)))

@@ -6,6 +6,7 @@ from wardstat import schemas as S
 from wardstat.functions.conversions import to_double, to_work_date
 from wardstat.functions.metrics import (
     exact_mean,
+    exact_sum,
     guarded_ratio,
     mean_of_present,
     null_safe_sum,
@@ -34,14 +35,16 @@ def _per_facility(daily, facilities, extra_keys, measures):
     """Aggregate ``daily`` per facility and ``extra_keys``.
 
     Daily files carry name and state in every row. Where a source keeps them in
-    a table of its own, pass it as ``facilities`` (one row per PROVNUM): the
-    days are then reduced by PROVNUM first and only the reduced rows are joined,
-    so the days never shuffle for the join, however hot one facility is.
+    a table of its own, pass it as ``facilities``: the days are then reduced by
+    PROVNUM first and only the reduced rows are joined, so the days never shuffle
+    for the join, however hot one facility is. Days of a facility that the table
+    does not hold, and days without number, stay, with null name and state. Of a
+    facility listed twice the smallest row counts.
     """
     if facilities is None:
         return daily.groupBy(*S.FACILITY_KEYS, *extra_keys).agg(*measures)
     reduced = daily.groupBy("PROVNUM", *extra_keys).agg(*measures)
-    named = reduced.join(facilities.select(*S.FACILITY_KEYS), "PROVNUM")
+    named = reduced.join(unique_providers(facilities.select(*S.FACILITY_KEYS)), "PROVNUM", "left")
     return named.select(*S.FACILITY_KEYS, *[c for c in reduced.columns if c != "PROVNUM"])
 
 
@@ -53,12 +56,12 @@ def monthly_rollup(daily, facilities=None):
     derived from this table, so that a gold run scans the days once.
     """
     return _per_facility(daily, facilities, MONTH_KEYS, [
-        F.sum("TOTAL_NURSE_HOURS").alias("TOTAL_NURSE_HOURS"),
-        F.avg(S.CENSUS).alias("AVG_PATIENT_CENSUS"),
-        *[F.sum(f"Hrs_{s}").alias(f"{s}_HOURS") for s in S.STAFF_TYPES],
-        F.sum(null_safe_sum(*S.EMPLOYEE_HOURS)).alias("EMPLOYEE_HOURS"),
-        F.sum(null_safe_sum(*S.CONTRACT_HOURS)).alias("CONTRACT_HOURS"),
-        F.sum(S.CENSUS).alias(CENSUS_DAYS),
+        exact_sum("TOTAL_NURSE_HOURS").alias("TOTAL_NURSE_HOURS"),
+        exact_mean(S.CENSUS).alias("AVG_PATIENT_CENSUS"),
+        *[exact_sum(f"Hrs_{s}").alias(f"{s}_HOURS") for s in S.STAFF_TYPES],
+        exact_sum(null_safe_sum(*S.EMPLOYEE_HOURS)).alias("EMPLOYEE_HOURS"),
+        exact_sum(null_safe_sum(*S.CONTRACT_HOURS)).alias("CONTRACT_HOURS"),
+        exact_sum(S.CENSUS).alias(CENSUS_DAYS),
     ])
 
 
@@ -82,17 +85,34 @@ def provider_model(raw):
     return select_renamed(raw, text=S.PROVIDER_TEXT, numbers=S.PROVIDER_NUMBERS)
 
 
+def top_occupancy(providers, daily, facilities=None, k=10):
+    """The fullest facilities with all their metrics.
+
+    Occupancy needs no staffing: the providers are ranked first, and only the
+    days of those ``k`` are read on, so the broadcast holds at most ``k`` numbers.
+    """
+    top = top_k(occupancy(providers), "OCCUPANCY_RATE", k)
+    few = daily.join(F.broadcast(top.select("PROVNUM")), "PROVNUM", "left_semi")
+    ratios = facility_mean_ratio(staffing_metrics(monthly_rollup(few, facilities)))
+    return top_k(facility_metrics(top.drop("OCCUPANCY_RATE"), ratios), "OCCUPANCY_RATE", k)
+
+
 def unique_providers(model):
     """One row per facility; the same row for every table built on it."""
     return first_row_per_key(model, ["PROVNUM"])
 
 
+def occupancy(providers):
+    """Providers with their occupancy, which needs no staffing."""
+    return providers.withColumn(
+        "OCCUPANCY_RATE", guarded_ratio("AVG_RESIDENTS", "CERTIFIED_BEDS", 100))
+
+
 def facility_metrics(providers, mean_ratios):
     """Gold: occupancy and staffing pressure. Facilities without staffing stay,
     with a null ratio and a pressure of 0."""
     return (
-        providers
-        .withColumn("OCCUPANCY_RATE", guarded_ratio("AVG_RESIDENTS", "CERTIFIED_BEDS", 100))
+        occupancy(providers)
         .join(mean_ratios, "PROVNUM", "left")
         .withColumn(
             "STAFFING_PRESSURE_INDEX", guarded_ratio("AVG_RESIDENTS", "AVG_STAFFING_RATIO"))
@@ -108,7 +128,7 @@ def quality_metrics(providers):
 def patient_volume(daily, facilities=None, census=S.CENSUS):
     """Patient days per facility over the whole period, from the days or, with
     ``census=CENSUS_DAYS``, from the monthly roll-up."""
-    total = F.sum(census).alias("TOTAL_PATIENT_DAYS")
+    total = exact_sum(census).alias("TOTAL_PATIENT_DAYS")
     return _per_facility(daily, facilities, (), [total])
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardstat import schemas as S
-from wardstat.functions.metrics import exact_mean, zero_if_null
+from wardstat.functions.metrics import exact_mean, exact_sum, zero_if_null
 from wardstat.operators.columns import coerce_numeric, require_columns, standardize_columns
 from wardstat.operators.ranking import top_k
 from wardstat.operators.reshape import aggregates_as_rows, to_long
@@ -39,7 +39,7 @@ def state_list(facility):
 
 def _total(name):
     """Sum in which nothing to add is 0."""
-    return zero_if_null(F.sum(name))
+    return zero_if_null(exact_sum(name))
 
 
 def kpi_cards(facility, staffing, quality):
@@ -70,7 +70,7 @@ def hours_by_staff_type(staffing):
 
 
 def employee_vs_contract(staffing):
-    measures = {
+    measures = {  # fixed values: labels as the charts show them
         "Employee Hours": _total("EMPLOYEE_HOURS"),
         "Contract Hours": _total("CONTRACT_HOURS"),
     }
@@ -78,7 +78,7 @@ def employee_vs_contract(staffing):
 
 
 def average_ratings(quality):
-    measures = {
+    measures = {  # fixed values: labels as the charts show them
         "Overall Rating": F.avg("OVERALL_RATING"),
         "Health Rating": F.avg("HEALTH_RATING"),
         "Staffing Rating": F.avg("STAFFING_RATING"),

@@ -58,7 +58,11 @@ SILVER_DROPPED = (
 
 # --- lineage columns added on landing ---------------------------------------
 SOURCE_FILE = "_source_file"
+MODIFIED_AT = "_modified_at"
 INGESTED_AT = "_ingested_at"
+# The text of a row that does not fit the header; null for all others.
+UNFIT_ROW = "_unfit_row"
+LANDING_COLUMNS = (UNFIT_ROW, SOURCE_FILE, MODIFIED_AT, INGESTED_AT)
 
 
 def _table(text=(), numbers=(), ints=(), partitions=()):
@@ -76,6 +80,7 @@ GOLD_PARTITIONS = {
     "quality_metrics": ("STATE",),
     "top_patient_volume": (),
 }
+# Names and order of the gold columns.
 GOLD_NUMBERS = {
     "staffing_metrics": (
         "TOTAL_NURSE_HOURS", "AVG_PATIENT_CENSUS", "RN_HOURS", "LPN_HOURS", "CNA_HOURS",

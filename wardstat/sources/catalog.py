@@ -3,7 +3,7 @@
 from wardstat.functions.names import column, quoted
 from wardstat.schemas import GOLD_TABLES
 from wardstat.sources.files import read_gold
-from wardstat.sources.sinks import PARTITIONED_WRITE, gathered, session_settings
+from wardstat.sources.sinks import gathered
 
 # The columns serving asks of the facility table, in its order.
 FACILITY_VIEW = (
@@ -14,7 +14,8 @@ FACILITY_VIEW = (
 
 
 def create_database(spark, name, location=None):
-    where = "" if location is None else f" LOCATION '{location}'"
+    where = "" if location is None else " LOCATION '{}'".format(
+        location.replace("\\", "\\\\").replace("'", "\\'"))
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
     return name
 
@@ -26,8 +27,7 @@ def save_table(df, name, partition_by=()):
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    with session_settings(df.sparkSession, PARTITIONED_WRITE if partition_by else {}):
-        writer.saveAsTable(name)
+    writer.saveAsTable(name)
     return name
 
 
@@ -36,7 +36,7 @@ def read_table(spark, name):
 
 
 def select_all(spark, name):
-    return spark.sql(f"SELECT * FROM {name}")
+    return spark.table(name).select("*")
 
 
 def select_columns(spark, name, columns=FACILITY_VIEW):

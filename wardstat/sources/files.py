@@ -6,10 +6,14 @@ import re
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardstat.schemas import GOLD_SCHEMAS, INGESTED_AT, SOURCE_FILE
+from wardstat.schemas import GOLD_SCHEMAS, INGESTED_AT, MODIFIED_AT, SOURCE_FILE
+from wardstat.sources.sinks import CSV_OPTIONS
 
+# Globs know no case of their own.
+CSV_FILES = "*.[cC][sS][vV]"
 
-def file_manifest(spark, root, pattern="*.csv"):
+
+def file_manifest(spark, root, pattern=CSV_FILES):
     """One row per file below ``root``: relative path, name, length, time.
 
     Only file metadata is read: the content column is never requested. The
@@ -21,13 +25,9 @@ def file_manifest(spark, root, pattern="*.csv"):
         .option("recursiveFileLookup", "true")
         .load(root)
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    anchor = _below(root)
-    start = F.locate(anchor, F.col("path"))
-    relative = F.substring(F.col("path"), start + F.lit(len(anchor)), F.length("path"))
     return listed.select(
-        F.when(start > 0, relative).otherwise(name).alias("relative_path"),
-        name.alias("file_name"),
+        _relative(F.col("path"), root).alias("relative_path"),
+        F.element_at(F.split("path", "/"), -1).alias("file_name"),
         F.col("length"),
         F.col("modificationTime").alias("modification_time"),
     )
@@ -38,6 +38,27 @@ def _below(root):
     return posixpath.normpath(re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root)) + "/"
 
 
+def first_lines(spark, root, pattern=CSV_FILES):
+    """``relative_path, first_line`` of every file below ``root`` that has a line."""
+    lines = (
+        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(root)
+        .select("value", F.col("_metadata.file_path").alias("path"),
+                F.col("_metadata.file_block_start").alias("start"),
+                F.monotonically_increasing_id().alias("row"))
+        .where("start = 0")
+    )
+    path = _relative(F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B"))), root)
+    return lines.groupBy(path.alias("relative_path")).agg(F.min_by("value", "row").alias("first_line"))
+
+
+def _relative(path, root):
+    """A path column below ``root``; the file name alone if it is not below it."""
+    anchor = _below(root)
+    start = F.locate(anchor, path)
+    below = F.substring(path, start + F.lit(len(anchor)), F.length(path))
+    return F.when(start > 0, below).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
 def literal_path(path):
     """The path with glob characters escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
@@ -46,32 +67,45 @@ def literal_path(path):
 def csv_text_schema(spark, path):
     """All columns of a headered CSV as text. Reads one header, runs no
     inference."""
-    names = spark.read.option("header", True).option("encoding", "UTF-8").csv(path).columns
+    names = spark.read.options(**CSV_OPTIONS).csv(path).columns
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-def read_csv(spark, path, schema=None):
-    """Headered CSV file or directory; all text unless a schema is given.
+def read_csv(spark, path, schema=None, unfit=None, multi_line=False):
+    """Headered CSV files or a directory; all text unless a schema is given.
+
+    Every file must carry the header in the same order, with a schema or without:
+    a file with other columns is an error instead of a silent mix-up of columns by
+    position. Quotes inside quoted cells are doubled. ``multi_line`` allows line
+    breaks there, at the price that a file is read by one task.
 
-    Every file must carry the header in the same order: a file with other
-    columns is an error instead of a silent mix-up of columns by position.
+    A row with missing cells is filled with nulls and one with more cells than the
+    header is cut; name a column in ``unfit`` to keep the text of such rows whole.
     """
+    schema = schema or csv_text_schema(spark, path)
+    if unfit:
+        schema = T.StructType([*schema.fields, T.StructField(unfit, T.StringType())])
+    return csv_reader(spark.read, schema, unfit, multi_line).csv(path)
+
+
+def csv_reader(reader, schema, unfit=None, multi_line=False):
+    """A batch or stream reader with the options of ``read_csv``."""
     reader = (
-        spark.read.schema(schema or csv_text_schema(spark, path))
-        .option("header", True)
-        .option("encoding", "UTF-8")
+        reader.schema(schema).options(**CSV_OPTIONS)
         .option("mode", "PERMISSIVE")
-        .option("enforceSchema", schema is not None)
+        .option("enforceSchema", False)
+        .option("multiLine", multi_line)
     )
-    return reader.csv(path)
+    return reader.option("columnNameOfCorruptRecord", unfit) if unfit else reader
 
 
-def with_lineage(df):
-    """Add the source file name and the load time."""
-    encoded = F.replace(F.col("_metadata.file_name"), F.lit("+"), F.lit("%2B"))
+def with_lineage(df, root):
+    """Add the source file's path below ``root``, its time of change and the load time."""
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
     return df.select(
         "*",
-        F.url_decode(encoded).alias(SOURCE_FILE),
+        _relative(F.url_decode(encoded), root).alias(SOURCE_FILE),
+        F.col("_metadata.file_modification_time").alias(MODIFIED_AT),
         F.current_timestamp().alias(INGESTED_AT),
     )
 
@@ -81,5 +115,5 @@ def read_gold(spark, gold_dir, table, fmt="parquet"):
     partition columns too: a state code such as ``01`` would become a number."""
     reader = spark.read.schema(GOLD_SCHEMAS[table]).format(fmt)
     if fmt == "csv":
-        reader = reader.option("header", True).option("encoding", "UTF-8")
+        reader = reader.options(**CSV_OPTIONS).option("enforceSchema", False)
     return reader.load(f"{gold_dir.rstrip('/')}/{table}")

@@ -1,27 +1,7 @@
 """Dataset writers."""
 
-from contextlib import contextmanager
-
-# Opening a file costs more than a few rows in it: small partitions are spread
-# over the cores instead of being merged into one task that opens them in turn.
-PARTITIONED_WRITE = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
-
-
-@contextmanager
-def session_settings(spark, settings):
-    """Settings for the duration of one action."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)
-
+# A quote inside a quoted cell is written twice and read back as one.
+CSV_OPTIONS = {"header": "true", "encoding": "UTF-8", "quote": '"', "escape": '"'}
 
 def gathered(df, partition_by):
     """Rows of one partition brought together, hot partitions split.
@@ -29,7 +9,7 @@ def gathered(df, partition_by):
     Without adaptive execution the hint would be ignored; rows are then simply
     hashed by the partition columns.
     """
-    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true":
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled").strip().lower() == "true":
         return df.hint("rebalance", *partition_by)
     return df.repartition(*partition_by)
 
@@ -51,11 +31,10 @@ def write_dataset(df, path, fmt="parquet", partition_by=(), mode="overwrite",
         df = df.coalesce(1)
     writer = df.write.mode(mode).format(fmt)
     if fmt == "csv":
-        writer = writer.option("header", True).option("encoding", "UTF-8")
+        writer = writer.options(**CSV_OPTIONS)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
         overwrite = "dynamic" if replace_partitions_only else "static"
         writer = writer.option("partitionOverwriteMode", overwrite)
-    with session_settings(df.sparkSession, PARTITIONED_WRITE if partition_by else {}):
-        writer.save(path)
+    writer.save(path)
     return path

@@ -1,28 +1,51 @@
 """The bronze load, run so that each raw file is landed exactly once."""
 
-from wardstat.sources.files import csv_text_schema, with_lineage
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from wardstat.schemas import MODIFIED_AT, SOURCE_FILE, UNFIT_ROW
+from wardstat.sources.files import (
+    CSV_FILES,
+    csv_reader,
+    csv_text_schema,
+    file_manifest,
+    with_lineage,
+)
 
-def incremental_bronze(spark, raw_dir, bronze_path, progress_dir, pattern="*.csv", schema=None,
+# The source would otherwise pass over files a week older than the newest landed.
+ANY_AGE = "36500d"
+
+
+def rewritten_files(spark, raw_dir, bronze_path, pattern=CSV_FILES):
+    """Landed files that have changed since, by their path and time of change."""
+    landed = spark.read.parquet(bronze_path).groupBy(F.col(SOURCE_FILE).alias("relative_path")).agg(
+        F.max(MODIFIED_AT).alias("landed_at"))
+    found = file_manifest(spark, raw_dir, pattern)
+    return found.join(landed, "relative_path").where("modification_time > landed_at").select("relative_path")
+
+
+def incremental_bronze(spark, raw_dir, bronze_path, progress_dir, pattern=CSV_FILES, schema=None,
                        files_per_batch=None):
-    """Land the files that are new since the last call, then stop.
+    """Land the files that are new since the last call, however old, then stop.
 
     The stream keeps its list of files done in ``progress_dir`` (a folder all
     executors share): a call after a crash goes on where the last one stopped
-    and adds no row twice. A file with another header fails the batch.
+    and adds no row twice. A file with another header fails the batch, and a
+    landed file that was rewritten under its own name is an error that names it:
+    land the new version under a new name. Rows that do not fit the header are
+    kept whole in a column of their own.
     """
     schema = schema or csv_text_schema(spark, f"{raw_dir.rstrip('/')}/{pattern}")
+    schema = T.StructType([*schema.fields, T.StructField(UNFIT_ROW, T.StringType())])
     reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("enforceSchema", False)
+        csv_reader(spark.readStream, schema, UNFIT_ROW)
         .option("pathGlobFilter", pattern)
+        .option("maxFileAge", ANY_AGE)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     query = (
-        with_lineage(reader.csv(raw_dir))
+        with_lineage(reader.csv(raw_dir), raw_dir)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("checkpointLocation", progress_dir)
@@ -30,4 +53,7 @@ def incremental_bronze(spark, raw_dir, bronze_path, progress_dir, pattern="*.csv
         .start(bronze_path)
     )
     query.awaitTermination()
+    changed = [r.relative_path for r in rewritten_files(spark, raw_dir, bronze_path, pattern).limit(10).collect()]
+    if changed:
+        raise ValueError(f"files rewritten after they were landed: {changed}")
     return spark.read.parquet(bronze_path)
