@@ -3,8 +3,8 @@
 from pyspark.sql import functions as F
 
 #: A sample holds at most this many documents of each label, of at most this many characters each.
-SAMPLE_DOCS = 2000
-SAMPLE_CHARS = 20_000
+SAMPLE_DOCS = 1000
+SAMPLE_CHARS = 10_000
 
 
 def training_fold(column):

@@ -11,13 +11,12 @@ aggregate to the score of the document and to the places of its toxic spans.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import crc_fold, ranges, slices, text_column
+from wardstat.llm.blocks import crc_fold, ranges, slices, text_column, trimmed
 from wardstat.llm.labels import sample
 from wardstat.llm.words import word_cells
 
@@ -30,7 +29,7 @@ STEPS = 40
 RATE = 0.5
 RIDGE = 1e-4
 CHUNK = 64
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 SPAN = 0.5  # marginal from which a word is part of a toxic span
 EDGE = re.compile(r"^[\W_]+|[\W_]+$")
 
@@ -113,30 +112,31 @@ class Chains:
         return marginal[self.at], pairs
 
 
-def evidence(texts, labels):
-    """The words and prefixes that account for the toxic documents; ``texts``: sets of features."""
-    seen = [Counter(), Counter()]
-    for held, label in zip(texts, labels):
-        seen[label].update(held)
-    allowed = CLEAN_SHARE * max(1, labels.count(0))
-    least = min(LEAST_DOCS, max(1, labels.count(1)))
-    holders = defaultdict(list)
-    for i, (held, label) in enumerate(zip(texts, labels)):
-        if label:
-            for f in held:
-                if f[0] in "=^" and len(f) > 3 and seen[1][f] >= least and seen[0][f] <= allowed:
-                    holders[f].append(i)
-    need = {i: COVER for i, label in enumerate(labels) if label}
-    chosen = set()
+def evidence(names, doc, feature, labels):
+    """Numbers of the words and prefixes that account for the toxic documents.
+
+    ``doc`` and ``feature`` are the distinct pairs of a document and one of its features.
+    """
+    toxic = labels[doc] == 1
+    seen = [np.bincount(feature[toxic == bool(k)], minlength=len(names)) for k in (0, 1)]
+    least = min(LEAST_DOCS, max(1, int(labels.sum())))
+    allowed = CLEAN_SHARE * max(1, len(labels) - int(labels.sum()))
+    able = np.array([n[0] in "=^" and len(n) > 3 for n in names]) & (seen[1] >= least) & (seen[0] <= allowed)
+    some = np.flatnonzero(toxic & able[feature])
+    some = some[np.argsort(feature[some], kind="stable")]
+    edges = np.flatnonzero(np.diff(feature[some], prepend=-1))
+    holders = {int(f): d for f, d in zip(feature[some][edges], np.split(doc[some], edges[1:]))} if len(some) else {}
+    need = np.full(len(labels), COVER)
+    chosen = []
     while holders:
         # Shorter prefixes win ties: they account for more that was not seen.
-        gain, _, best = max((sum(need[i] > 0 for i in docs), -len(f), f) for f, docs in holders.items())
+        gain, _, _, best = max((int((need[docs] > 0).sum()), -len(names[f]), names[f], f)
+                               for f, docs in holders.items())
         if gain < least:
             break
-        chosen.add(best)
-        for i in holders.pop(best):
-            need[i] -= 1
-        holders = {f: docs for f, docs in holders.items() if any(need[i] > 0 for i in docs)}
+        chosen.append(best)
+        need[holders.pop(best)] -= 1
+        holders = {f: docs for f, docs in holders.items() if (need[docs] > 0).any()}
     return chosen
 
 
@@ -189,45 +189,57 @@ def summary(counts, marginals):
 
 def fit(texts, labels):
     """Fit a ``Tagger`` to whole texts and their labels, on the driver: the sample is bounded."""
-    column = text_column(pa.array(texts, pa.string()))
-    counts, cells = word_cells(column)
+    counts, cells = word_cells(text_column(pa.array(texts, pa.string())))
     words = cells.dictionary.to_pylist()
     codes = np.asarray(cells.indices).astype(np.int64)
-    if not len(codes) or not 0 < sum(labels) < len(labels):
-        share = (sum(labels) + 0.5) / (len(labels) + 1)
+    labels = np.array(labels, np.int64)
+    if not len(codes) or not 0 < labels.sum() < len(labels):
+        share = (labels.sum() + 0.5) / (len(labels) + 1)
         return Tagger({"": -5.0}, np.ones((2, 2)), np.array([np.log(share / (1 - share)), 0, 0]))
-    found = [features(w.decode().lower()) for w in words]
+    number, flat, sizes = {}, [], np.zeros(len(words), np.int64)
+    for i, word in enumerate(words):
+        held = features(word.decode().lower())
+        sizes[i] = len(held)
+        flat += [number.setdefault(f, len(number)) for f in held]
+    names, flat = list(number), np.array(flat, np.int64)
+    del number
+    begin = np.cumsum(sizes) - sizes
     ends = np.cumsum(counts)
-    sets = [{f for c in set(codes[e - n:e].tolist()) for f in found[c]} for n, e in zip(counts, ends)]
-    chosen = evidence(sets, labels)
-    toxic_word = np.array([any(f in chosen for f in held) for held in found])
-    target = toxic_word[codes] & np.repeat(np.array(labels, bool), counts)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    pair = np.unique(doc * len(words) + codes)
+    doc, word = pair // len(words), pair % len(words)
+    pair = np.unique(np.repeat(doc, sizes[word]) * len(names) + flat[ranges(begin[word], sizes[word])])
+    doc, feature = pair // len(names), pair % len(names)
+    chosen = np.zeros(len(names), bool)
+    chosen[evidence(names, doc, feature, labels)] = True
+    owner = np.repeat(np.arange(len(words)), sizes)
+    toxic_word = np.bincount(owner, chosen[flat], len(words)) > 0
+    target = toxic_word[codes] & np.repeat(labels == 1, counts)
 
     # Features of a single sampled text say nothing about others.
-    spread = Counter(f for held in sets for f in held)
-    index = {f: i for i, f in enumerate(sorted(f for f, n in spread.items() if n > 1))}
-    of = [[index[f] for f in held if f in index] for held in found]
-    sizes = np.array([len(x) for x in of])
-    flat = np.array([i for x in of for i in x], np.int64)
-    owner = np.repeat(np.arange(len(of)), sizes)
+    common = np.bincount(feature, minlength=len(names)) > 1
+    del pair, doc, word, feature
+    index = np.cumsum(common) - 1
+    owner, flat = owner[common[flat]], index[flat[common[flat]]]
+    names = [n for n, keep in zip(names, common) if keep]
     chains = Chains(counts)
-    weight, bias, step = np.zeros(len(index)), -3.0, np.zeros((2, 2))
+    weight, bias, step = np.zeros(len(names)), -3.0, np.zeros((2, 2))
     before = np.append(False, target[:-1])
     before[(ends - counts)[counts > 0]] = False
     real = np.zeros((2, 2))
     np.add.at(real, (before.astype(int), target.astype(int)), 1)
-    squares = [np.full(len(index), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
+    squares = [np.full(len(names), 1e-8), 1e-8, np.full((2, 2), 1e-8)]
     for _ in range(STEPS):
-        each = bias + np.bincount(owner, weight[flat], len(of))
+        each = bias + np.bincount(owner, weight[flat], len(words))
         marginal, pairs = chains.run(each[codes], np.exp(step))
-        rest = np.bincount(codes, target - marginal, len(of))
-        slopes = [np.bincount(flat, rest[owner], len(index)) / len(texts) - RIDGE * weight,
+        rest = np.bincount(codes, target - marginal, len(words))
+        slopes = [np.bincount(flat, rest[owner], len(names)) / len(texts) - RIDGE * weight,
                   rest.sum() / len(texts), (real - pairs) / len(texts) - RIDGE * step]
         for i, s in enumerate(slopes):
             squares[i] = squares[i] + s * s
         moves = [RATE * s / np.sqrt(q) for s, q in zip(slopes, squares)]
         weight, bias, step = weight + moves[0], bias + moves[1], step + moves[2]
-    weights = {f: float(weight[i]) for f, i in index.items() if weight[i]} | {"": float(bias)}
+    weights = {f: float(w) for f, w in zip(names, weight) if w} | {"": float(bias)}
     tagger = Tagger(weights, np.exp(step), np.zeros(3))
     # Scale the summaries to the labels, with a small ridge.
     x, y = summary(counts, chains.run(tagger.odds(words)[codes], tagger.step)[0]), np.array(labels, float)
@@ -292,7 +304,7 @@ def toxicity_scores(docs, tagger, id_col="doc_id", text_col="text", threshold=0.
                     names=["doc_id", "held_out", "score", "predicted", "spans"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCORES)
+    return rows.mapInArrow(trimmed(run), SCORES)
 
 
 def drop_toxic(docs, tagger, text_col="text", threshold=0.5):
@@ -302,4 +314,4 @@ def drop_toxic(docs, tagger, text_col="text", threshold=0.5):
             for part, texts in slices(batch, text_col):
                 yield part.filter(pa.array(tagger.score(*tagger.tag(texts)) < threshold))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(trimmed(run), docs.schema)
