@@ -34,7 +34,9 @@ def op4_quality(spark, sf_dir):
 
 
 def op5_ngrams(spark, sf_dir):
-    return ngrams.perplexity_scores(table(spark, sf_dir, "documents"))
+    scores = ngrams.perplexity_scores(table(spark, sf_dir, "documents"))
+    # Sums of doubles: six decimals are the same in any order.
+    return scores.withColumns({c: F.round(c, 6) for c in ("base_score", "score")})
 
 
 def op6_exact_dedup(spark, sf_dir):
@@ -68,7 +70,83 @@ def op10_decontamination(spark, sf_dir):
 
 QUERIES = {name: made for name, made in globals().copy().items() if name.startswith("op")}
 
+def _counts(column):
+    """Numbers of rows whose count is one to four."""
+    return ", ".join(f"count(*) FILTER ({column} = {k}) AS n{k}" for k in (1, 2, 3, 4))
+
+
+def _cuts():
+    """The three discounts from those numbers."""
+    made = []
+    for k in (1, 2, 3):
+        raw = (f"CASE WHEN n{k} > 0 THEN {k} - {k + 1} * (n1::DOUBLE / (n1 + 2 * n2)) * n{k + 1} / n{k} ELSE 0 END")
+        made.append(f"CASE WHEN n1 = 0 OR n2 = 0 OR ({raw}) <= 0 THEN 0.5 * {k} ELSE least({raw}, {k}) END AS d{k}")
+    return ", ".join(made)
+
+
+def _cut(count, level):
+    return (f"(CASE least({count}, 3) WHEN 1 THEN {level}.d1 WHEN 2 THEN {level}.d2 WHEN 3 THEN {level}.d3 "
+            "ELSE 0 END)")
+
+
 ORACLE = {
+    # Every window of 50 bytes with the first document that it starts in; runs of covered windows.
+    "op1_suffix_dedup": """
+        WITH d AS (SELECT doc_id, encode(coalesce(text, '')) AS body FROM documents),
+        w AS (SELECT doc_id, p, array_slice(body, p, p + 49) AS piece
+              FROM (SELECT doc_id, body, unnest(range(1, octet_length(body) - 48)) AS p FROM d)),
+        seen AS (SELECT piece, min(doc_id) AS first FROM w GROUP BY piece),
+        gone AS (SELECT doc_id, p, lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS before
+                 FROM w JOIN seen USING (piece) WHERE doc_id > first),
+        marked AS (SELECT doc_id, p, sum(CASE WHEN p <= before + 50 THEN 0 ELSE 1 END)
+                       OVER (PARTITION BY doc_id ORDER BY p) AS span FROM gone),
+        spans AS (SELECT doc_id, min(p) AS a, max(p) + 49 AS b FROM marked GROUP BY doc_id, span),
+        cut AS (SELECT doc_id, count(*) AS n_spans, sum(b - a + 1) AS n_removed, list(a ORDER BY a) AS a,
+                    list(b ORDER BY a) AS b FROM spans GROUP BY doc_id)
+        SELECT doc_id, octet_length(body)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed,
+            coalesce(n_spans, 0)::BIGINT AS n_spans, sha256(CASE WHEN a IS NULL THEN body ELSE list_reduce(
+                [array_slice(body, CASE WHEN k = 0 THEN 1 ELSE b[k] + 1 END,
+                             CASE WHEN k = len(a) THEN octet_length(body) ELSE a[k + 1] - 1 END)
+                 for k in range(len(a) + 1)], lambda x, y: x || y) END) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
+    # Base32 of SHA-1: twenty bits of five hexadecimal digits make four letters.
+    "op3_warc_dictionary": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        g AS (SELECT body, max(page_id) AS last, sha1(body) AS hex FROM p GROUP BY body)
+        SELECT page_id, strlen(body)::BIGINT AS payload_bytes, array_to_string([
+                substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((('0x' || substr(hex, k // 4 * 5 + 1, 5))::INTEGER
+                    >> (15 - k % 4 * 5)::INTEGER) & 31), 1) for k in range(32)], '') AS payload_digest,
+            CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id <> last THEN last END AS refers_to
+        FROM p JOIN g USING (body)""",
+    # The fold is crc32 by its table; a word holds no space, so a space is the end.
+    "op5_ngrams": f"""
+        WITH crc AS (SELECT [list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384)
+                ELSE c >> 1 END, i) for i in range(256)] AS t),
+        d AS (SELECT doc_id, xor(list_reduce([ascii(x)::BIGINT for x in string_split(doc_id::VARCHAR, '')],
+                lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 5 = 1 AS held_out,
+            list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), ' ') AS w FROM documents, crc),
+        tokens AS (SELECT doc_id, held_out, unnest(w) AS w, unnest(list_prepend(chr(10), w[:-2])) AS v FROM d),
+        one AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
+        total AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM one),
+        two AS (SELECT v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY v, w),
+        follow AS (SELECT w, count(*) AS k FROM two GROUP BY w),
+        high AS (SELECT {_cuts()} FROM (SELECT {_counts('c')} FROM two)),
+        low AS (SELECT {_cuts()} FROM (SELECT {_counts('k')} FROM follow)),
+        spread AS (SELECT sum({_cut('k', 'low')}) / sum(k) AS s, sum(k) AS types FROM follow, low),
+        context AS (SELECT v, sum(c) AS c, sum({_cut('c', 'high')}) AS mass FROM two, high GROUP BY v),
+        chance AS (SELECT t.doc_id, t.held_out, one.c IS NOT NULL AS known,
+                log10((coalesce(one.c, 0) + 0.5) / (total.n + 0.5 * (total.v + 1))) AS base,
+                coalesce(greatest(two.c - {_cut('two.c', 'high')}, 0) / context.c, 0) + coalesce(context.mass / context.c, 1) * (
+                    coalesce(greatest(follow.k - {_cut('follow.k', 'low')}, 0) / spread.types, 0)
+                    + coalesce(spread.s, 1) / (total.v + 1)) AS p
+            FROM tokens t CROSS JOIN total CROSS JOIN high CROSS JOIN low CROSS JOIN spread
+            LEFT JOIN one USING (w) LEFT JOIN follow USING (w) LEFT JOIN context ON t.v = context.v
+            LEFT JOIN two ON t.v = two.v AND t.w = two.w)
+        SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known,
+            (SELECT n FROM total) AS train_tokens, round(sum(base), 6) AS base_score, round(sum(log10(p)), 6) AS score
+        FROM chance GROUP BY doc_id, held_out""",
     "op6_exact_dedup": """
         WITH t AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
         g AS (SELECT body, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY body)
