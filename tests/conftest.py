@@ -1,5 +1,4 @@
 import sys
-from contextlib import contextmanager
 from pathlib import Path
 
 import pytest
@@ -31,19 +30,3 @@ def either_mode(request, spark):
     spark.conf.set("spark.sql.ansi.enabled", request.param)
     yield request.param
     spark.conf.set("spark.sql.ansi.enabled", "true")
-
-
-@contextmanager
-def session_settings(spark, settings):
-    """Settings for the duration of one action."""
-    before = {key: spark.conf.get(key, None) for key in settings}
-    for key, value in settings.items():
-        spark.conf.set(key, value)
-    try:
-        yield
-    finally:
-        for key, value in before.items():
-            if value is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, value)

@@ -2,8 +2,8 @@ import os
 import time
 
 import pytest
-from conftest import session_settings
 from pyspark.sql import functions as F
+from settings import session_settings
 
 from wardstat import schemas as S
 from wardstat.plans import medallion as M

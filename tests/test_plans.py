@@ -1,8 +1,8 @@
 """What the physical plans must and must not hold."""
 
 import pytest
-from conftest import session_settings
 from pyspark.sql import functions as F
+from settings import session_settings
 
 from verification import views as V
 from verification.catalogue import QUERIES
