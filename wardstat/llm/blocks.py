@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import io
+import sys
 import uuid
 import zipfile
 import zlib
@@ -15,7 +18,7 @@ from pyarrow import fs
 
 from wardstat.session import scratch_path
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 SHIPPED = set()
@@ -47,6 +50,18 @@ def saved(df, label):
     return spark.read.schema(df.schema).parquet(path)
 
 
+def trimmed(run):
+    """A function over batches that hands back its memory at the end: workers live on between tasks."""
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        if sys.platform == "linux":
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return wrapped
+
+
 def text_column(column):
     """A text column without nulls, with 64-bit offsets."""
     column = pc.cast(column, pa.large_string())

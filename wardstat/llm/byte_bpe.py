@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import as_list, byte_block, slices
+from wardstat.llm.blocks import as_list, byte_block, slices, trimmed
 from wardstat.llm.segments import Encoder
 
 ENCODED = "doc_id long, ids array<int>, starts array<int>, ends array<int>"
@@ -94,7 +94,7 @@ def encode(docs, path, pattern, id_col="doc_id", text_col="text"):
                     names=["doc_id", "ids", "starts", "ends"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, ENCODED)
+    return rows.mapInArrow(trimmed(run), ENCODED)
 
 
 def decode(encoded, path, id_col="doc_id", ids_col="ids"):
@@ -121,7 +121,7 @@ def decode(encoded, path, id_col="doc_id", ids_col="ids"):
                 names=["doc_id", "ids", "decoded"])
 
     rows = encoded.select(F.col(id_col).cast("long").alias("doc_id"), F.col(ids_col).cast("array<int>").alias("ids"))
-    return rows.mapInArrow(run, DECODED)
+    return rows.mapInArrow(trimmed(run), DECODED)
 
 
 def readable(decoded):

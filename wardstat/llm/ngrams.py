@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wardstat.llm.arrays import SortedTable, mapped, write_arrays
-from wardstat.llm.blocks import crc_fold, saved, slices
+from wardstat.llm.blocks import crc_fold, saved, slices, trimmed
 from wardstat.llm.words import word_cells
 from wardstat.session import scratch_path
 
@@ -88,7 +88,7 @@ def _written(df, folder, columns, kinds):
             yield pa.RecordBatch.from_pylist([{
                 "path": write_arrays(folder, arrays), "n_rows": len(arrays[0]), "first": int(arrays[0][0])}])
 
-    made = saved(df.select(*columns).mapInArrow(run, "path string, n_rows long, first long"), "array-files")
+    made = saved(df.select(*columns).mapInArrow(trimmed(run), "path string, n_rows long, first long"), "array-files")
     return [(r.path, r.n_rows, r.first, 0) for r in made.collect()]
 
 
@@ -122,7 +122,7 @@ class Model:
 
     def lower(self, continuations):
         """Probability of words by the number of different words that they follow."""
-        own = self.discounted(continuations, self.single) / self.types if self.types else 0
+        own = self.discounted(continuations, self.single) / max(1, self.types)
         return own + self.spread / (self.size + 1)
 
     def score(self, counts, codes, hashes):
@@ -164,7 +164,7 @@ def train(docs, text_col="text"):
                 pa.array(np.append(hashes, END_HASH)),
                 pa.array(np.append(np.bincount(codes, minlength=len(hashes)), len(counts)))], names=["word", "n"])
 
-    counted = saved(texts.mapInArrow(count_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
+    counted = saved(texts.mapInArrow(trimmed(count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
                     "word-counts")
     n_tokens = counted.agg(F.sum("n")).first()[0] or 0
     words = SortedTable(_written(
@@ -205,9 +205,8 @@ def train(docs, text_col="text"):
             "more": int((n == 3).sum()), "continued": int((n == 4).sum()), "path": f"{len(extra)} {path}"}])
 
     files = max(8, -(-n_tokens // FILE_TOKENS))
-    rows = (texts.mapInArrow(count_pairs, "key long, n int").repartitionByRange(files, "key")
-            .sortWithinPartitions("key").mapInArrow(
-                write_pairs, "id long, total long, once long, twice long, more long, continued long, path string"))
+    rows = (texts.mapInArrow(trimmed(count_pairs), "key long, n int").repartitionByRange(files, "key")
+            .sortWithinPartitions("key").mapInArrow(trimmed(write_pairs), "id long, total long, once long, twice long, more long, continued long, path string"))
     names = ("total", "once", "twice", "more", "continued")
     stats = saved(rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in names), F.max("path").alias("path")), "stats")
     made = stats.where("id < 0").collect()  # one row for each file
@@ -238,7 +237,7 @@ def score(docs, model, id_col="doc_id", text_col="text", held_out=lambda doc_id:
                 *map(pa.array, made[2:])], names=[x.split()[0] for x in SCORES.split(", ")])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCORES)
+    return rows.mapInArrow(trimmed(run), SCORES)
 
 
 def perplexity_scores(docs, id_col="doc_id", text_col="text"):

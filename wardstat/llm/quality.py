@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import crc_fold, ranges, slices
+from wardstat.llm.blocks import crc_fold, ranges, slices, trimmed
 from wardstat.llm.labels import sample
 from wardstat.llm.words import word_cells
 
@@ -29,7 +29,7 @@ RIDGE = 1e-4
 SAMPLE_DOCS = 3000
 STATISTICS = 13
 SIZE = STATISTICS + SHAPES + WORDS
-REMEMBERED = 400_000
+REMEMBERED = 150_000
 
 
 def shape(word):
@@ -191,7 +191,7 @@ def train(docs, labels, id_col="doc_id", text_col="text", seed=7):
                     pa.array([c.tobytes() for c in cells], pa.binary()), part.column(1)], names=["rows", "label"])
 
     made = (sample(docs, labels, "quality", id_col, text_col, SAMPLE_DOCS)
-            .mapInArrow(run, "rows binary, label int").collect())
+            .mapInArrow(trimmed(run), "rows binary, label int").collect())
     bags = sorted((bytes(r["rows"]), r["label"]) for r in made)  # the order of the rows must not matter
     y = np.array([label for _, label in bags], float)
     if not 0 < y.sum() < len(y):
@@ -232,4 +232,4 @@ def quality_scores(docs, model, id_col="doc_id", text_col="text", threshold=0.3)
                     names=[x.split()[0] for x in SCORES.split(", ")])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, SCORES)
+    return rows.mapInArrow(trimmed(run), SCORES)

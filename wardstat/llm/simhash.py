@@ -19,7 +19,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import ranges, saved, slices
+from wardstat.llm.blocks import ranges, saved, slices, trimmed
 from wardstat.llm.graph import connected_components
 
 SHINGLE = 3
@@ -67,7 +67,7 @@ def fingerprints(docs, id_col="doc_id", text_col="text", shingle=SHINGLE):
                     [part.column(0), pa.array(np.array(made, np.uint64).view(np.int64))], names=["doc_id", "fp"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(trimmed(run), "doc_id long, fp long")
 
 
 def band_masks(radius=RADIUS, bands=BANDS):
@@ -183,7 +183,7 @@ def near_links(distinct, radius=RADIUS):
     shards = distinct.select(F.posexplode(F.array(*(F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in masks)))
                              .alias("choice", "masked"), "fp")
     return (shards.repartition("choice", "masked").sortWithinPartitions("choice", "masked")
-            .mapInArrow(run, "a long, b long"))
+            .mapInArrow(trimmed(run), "a long, b long"))
 
 
 def near_groups(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS):

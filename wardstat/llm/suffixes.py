@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from wardstat.llm.arrays import SortedTable, mapped, write_arrays
-from wardstat.llm.blocks import byte_block, ranges, saved, slices
+from wardstat.llm.blocks import byte_block, ranges, saved, slices, trimmed
 from wardstat.session import scratch_path
 
 LENGTH = 50
@@ -251,7 +251,7 @@ def _by_document(rows, columns, folder, buckets):
                     "path": path, "n_rows": len(starts), "first": int(doc[0]), "extra": len(extra)}])
 
     made = saved(rows.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-                 .mapInArrow(run, "path string, n_rows long, first long, extra long"), "by-document")
+                 .mapInArrow(trimmed(run), "path string, n_rows long, first long, extra long"), "by-document")
     return ByDocument([(r.path, r.n_rows, r.first, r.extra) for r in made.collect()], len(columns))
 
 
@@ -530,15 +530,13 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", keep_bytes=True):
     cuts = texts.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
     bounds = np.unique(np.array(cuts, np.float64).astype(np.int64)) if cuts else np.zeros(0, np.int64)
 
-    found = texts.mapInArrow(_units_rows, "h long, g long, doc long, flag byte")
+    found = texts.mapInArrow(trimmed(_units_rows), "h long, g long, doc long, flag byte")
     met = found.repartition(F.when(F.col("flag") >= 2, F.xxhash64("h", "doc")).otherwise(F.col("h")))
-    said = met.sortWithinPartitions("h").mapInArrow(_verdicts(bounds), "bucket int, doc long, said long")
+    said = met.sortWithinPartitions("h").mapInArrow(trimmed(_verdicts(bounds)), "bucket int, doc long, said long")
     verdicts = _by_document(said, ("said",), folder, buckets)
 
-    doubt = texts.mapInArrow(
-        _doubt_rows(verdicts), "key long, relative int, bytes binary, doc long, crc long, place long, flag byte")
+    doubt = texts.mapInArrow(trimmed(_doubt_rows(verdicts)), "key long, relative int, bytes binary, doc long, crc long, place long, flag byte")
     met = doubt.repartition(F.when(F.col("flag") == 1, F.xxhash64("key", "doc", "place")).otherwise(F.col("key")))
-    covered = met.sortWithinPartitions("key").mapInArrow(
-        _covered_runs(bounds), "bucket int, doc long, crc long, place long, n long")
+    covered = met.sortWithinPartitions("key").mapInArrow(trimmed(_covered_runs(bounds)), "bucket int, doc long, crc long, place long, n long")
     runs = _by_document(covered, ("crc", "place", "n"), folder, buckets)
-    return texts.mapInArrow(_without(verdicts, runs, keep_bytes), REMOVED)
+    return texts.mapInArrow(trimmed(_without(verdicts, runs, keep_bytes)), REMOVED)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import new_file, open_file, saved, slices
+from wardstat.llm.blocks import new_file, open_file, saved, slices, trimmed
 from wardstat.llm.segments import Encoder
 from wardstat.session import scratch_path
 
@@ -170,7 +170,7 @@ def write_tokens(docs, path, folder=None, end_id=1, id_col="doc_id", text_col="t
 
     rows = (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
             .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
-    return saved(rows.mapInArrow(run, MANIFEST), "token-manifest")
+    return saved(rows.mapInArrow(trimmed(run), MANIFEST), "token-manifest")
 
 
 def documents_of(path):
@@ -232,7 +232,7 @@ def read_tokens(manifest):
         Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     files = manifest.select("part", before.alias("before"))
     rows = manifest.select("part", "path").repartition(
-        max(1, manifest.count())).mapInArrow(run, READ)
+        max(1, manifest.count())).mapInArrow(trimmed(run), READ)
     return rows.join(F.broadcast(files), "part").select(
         "doc_id", (F.col("before") + F.col("local_start")).alias("start"), "n_tokens", "ids",
         F.crc32("ids").alias("ids_crc32"))

@@ -17,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import functions as F
 
-from wardstat.llm.blocks import new_file, open_file, saved
+from wardstat.llm.blocks import new_file, open_file, saved, trimmed
 from wardstat.session import scratch_path
 
 # Fixed values of the formats.
@@ -154,7 +154,7 @@ def write_archives(rows, folder=None):
             archive.close()
             yield pa.RecordBatch.from_pylist([{"path": archive.path, "n_records": archive.count}])
 
-    return saved(rows.select("page_id", "url", "payload", "refers_to").mapInArrow(run, MANIFEST), "archive-manifest")
+    return saved(rows.select("page_id", "url", "payload", "refers_to").mapInArrow(trimmed(run), MANIFEST), "archive-manifest")
 
 
 def records_of(path, read_bytes=1 << 20):
@@ -202,4 +202,4 @@ def read_archives(manifest, files_at_once=None):
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
     files = files_at_once or max(1, manifest.count())
-    return manifest.select("path").repartition(files).mapInArrow(run, RECORDS)
+    return manifest.select("path").repartition(files).mapInArrow(trimmed(run), RECORDS)
