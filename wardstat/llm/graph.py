@@ -10,7 +10,6 @@ def _rounded(edges):
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
-    large = large.distinct()
     least = large.groupBy("a").agg(F.min("b").alias("m"))
     hung = large.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
     return hung.union(least.select("a", F.col("m").alias("b"))).distinct()
