@@ -12,7 +12,7 @@ from wardstat.llm.blocks import saved
 
 WINDOW = 13
 SIMILARITY = 0.8
-#: Positions that count, of 8 and 9 tokens: each 13 with two replaced hold one of them whole.
+#: Positions that count, of 8 and 9 tokens: each 13 with two replaced hold one of them whole. All start with 0 and 1.
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: Items of fewer tokens are no evidence; those between this and ``WINDOW`` must be found whole.
 LEAST_TOKENS = 8
@@ -26,27 +26,25 @@ def tokens(text):
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
-def seeds(hashes, masks):
-    """``at`` and ``seed`` of every mask at every token where it fits, as one array."""
-    def of(number, mask):
-        last = F.size(hashes) - 1 - max(mask)
-        starts = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(starts, lambda i: F.struct(
-            i.alias("at"), F.xxhash64(F.lit(number), *(F.get(hashes, i + m) for m in mask)).alias("seed")))
+def seeds(hashes, at, masks):
+    """``seed`` of every mask that fits at the token ``at``, as an array; every mask starts with two tokens in a row."""
+    return F.filter(F.array(*(
+        F.when(at + max(mask) < F.size(hashes), F.xxhash64(F.lit(number), *(F.get(hashes, at + m) for m in mask)))
+        for number, mask in masks.items())), lambda seed: seed.isNotNull())
 
-    return F.concat(*(of(number, mask) for number, mask in masks.items()))
 
+def pair(token, hashes, at):
+    """Hash of a token and the next one."""
+    return F.xxhash64(token, F.get(hashes, at + 1))
 
-def benchmark_seeds(benchmark, id_col="item_id", text_col="text"):
-    """The benchmark's seeds with its tokens, and the masks in use by their number."""
+
+def benchmark_tokens(benchmark, id_col="item_id", text_col="text"):
+    """Tokens of the items that are long enough, and the masks in use by their number."""
     items = (benchmark.select(F.col(id_col).alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
              .select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= LEAST_TOKENS))
     items = saved(items, "benchmark-tokens")
     short = [r[0] for r in items.select(F.size("item")).distinct().where(F.size("item") < WINDOW).collect()]
-    masks = dict(enumerate(MASKS)) | {n: tuple(range(n)) for n in sorted(short)}
-    found = items.select("item_id", "item", F.explode(seeds(F.col("item"), masks)).alias("s"))
-    found = found.select("item_id", "item", F.col("s.at").alias("item_at"), F.col("s.seed").alias("seed"))
-    return saved(found, "benchmark-seeds"), masks
+    return items, dict(enumerate(MASKS)) | {n: tuple(range(n)) for n in sorted(short)}
 
 
 def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text"):
@@ -58,14 +56,32 @@ def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_i
     nothing; a null id is one document to all rows that have it, as is any
     repeated id. Items with equal ids count as one, other columns are not looked
     at, and an empty table on either side gives an empty table.
+
+    A benchmark of a counted size is broadcast: documents are then read once and
+    not shuffled, and only tokens whose pair with the next one occurs in the
+    benchmark are hashed by the masks. Beyond that size seeds meet by a shuffle,
+    and the tokens of documents with a hit are fetched for the check.
     """
-    known, masks = benchmark_seeds(benchmark, item_col, item_text_col)
-    if known.count() <= BROADCAST_SEEDS:
-        known = F.broadcast(known)
+    items, masks = benchmark_tokens(benchmark, item_col, item_text_col)
+    spots = items.select("item_id", "item", F.posexplode("item").alias("item_at", "token"))
+    known = saved(spots.select("item_id", "item", "item_at", pair(F.col("token"), F.col("item"), F.col("item_at")).alias("pair"),
+                               F.explode(seeds(F.col("item"), F.col("item_at"), masks)).alias("seed")), "benchmark-seeds")
     rows = docs.select(F.col(id_col).alias("doc_id"), tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("held"))
-    hits = (rows.select("doc_id", "held", F.explode(seeds(F.col("held"), masks)).alias("s"))
-            .select("doc_id", "held", F.col("s.at").alias("at"), F.col("s.seed").alias("seed"))
-            .join(known, "seed"))
+    # An expression, so that no filter on the array is inferred, which would split the texts once more.
+    each = F.posexplode(F.when(F.size("held") > 1, F.col("held")))
+    found = rows.select("doc_id", "held", each.alias("at", "token"))
+    marked = F.explode(seeds(F.col("held"), F.col("at"), masks)).alias("seed")
+    if known.count() <= BROADCAST_SEEDS:
+        able = found.withColumn("pair", pair(F.col("token"), F.col("held"), F.col("at"))).join(
+            F.broadcast(known.select("pair").distinct()), "pair", "left_semi")
+        hits = able.select("doc_id", "held", "at", marked).join(F.broadcast(known.drop("pair")), "seed")
+    else:
+        met = (found.select("doc_id", "at", marked).join(known.select("seed", "item_id", "item_at"), "seed")
+               .select("doc_id", "at", "item_id", "item_at").distinct())
+        ids = {"doc_id": rows.withColumnRenamed("doc_id", "of"), "item_id": items.withColumnRenamed("item_id", "of")}
+        hits = met
+        for name, table in ids.items():
+            hits = hits.join(table, hits[name].eqNullSafe(table["of"])).drop("of")
     size = F.size("item")
     window = F.least(F.lit(WINDOW), size)
     # Windows of the item that hold the token where the seed begins.
