@@ -27,4 +27,4 @@ def test_every_oracle_has_its_query():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).count() == 826
+    assert entry.entry(spark).count() == 956
