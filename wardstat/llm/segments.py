@@ -25,7 +25,7 @@ CLASSES = np.array([
     else LETTER if chr(b).isalpha() else DIGIT if chr(b).isdigit() else MARK
     for b in range(256)], np.uint8)
 ODD_SPACE = r"[\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-ENTRIES = 250_000
+ENTRIES = 150_000
 
 
 class Encoder:
