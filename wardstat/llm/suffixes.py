@@ -45,6 +45,7 @@ LAST = np.iinfo(np.int64).max  # stands for a null id: after all others
 
 BASE = 0x9E3779B97F4A7C15
 LOW = np.uint64(0xFFFFFFFF)
+FLAGS = np.uint64(3)  # bits of a hash that are left free
 COVERED, DOUBT, DOUBT_HOT = 1, 2, 3  # what the first shuffle says of a unit
 POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 LETTERS = np.random.default_rng(3).integers(1, 2 ** 63, 256, dtype=np.uint64) | np.uint64(1)
@@ -84,6 +85,11 @@ class PrefixHashes:
         return (self.sums[length:] - self.sums[:-length]) * self.up[:count]
 
 
+def name_of(h, g):
+    """One number for anchor and content; its last two bits are free."""
+    return mix(h ^ (g * np.uint64(BASE))) & ~FLAGS
+
+
 class Units:
     """The units of a block of texts: first and last window, anchor, hashes and text of each."""
 
@@ -95,7 +101,9 @@ class Units:
         self.h, self.g = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
         if len(data) < LENGTH:
             return
-        gram = mix(self.hashes.grams(GRAM))
+        gram = self.hashes.grams(GRAM)
+        gram = (gram ^ (gram >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+        gram ^= gram >> np.uint64(29)
         least = (gram & ~LOW) | np.arange(len(gram), dtype=np.uint64)
         span, width = 1, LENGTH - GRAM + 1
         while span * 2 <= width:
@@ -118,13 +126,13 @@ class Units:
         self.h = gram[self.anchor]
         shape = (self.anchor - self.first) * 1021 + (self.last - self.first)
         size = self.last - self.first + LENGTH
-        self.g = mix(self.hashes.of(self.first, size) + mix(shape.astype(np.uint64)))
+        self.g = mix(self.hashes.of(self.first, size) + mix(shape.astype(np.uint64))) & ~FLAGS
         self.text = np.searchsorted(offsets, self.first, "right") - 1
 
     @property
     def name(self):
         """One number for anchor and content; its last two bits are free."""
-        return mix(self.h ^ (self.g * np.uint64(BASE))) & ~np.uint64(3)
+        return name_of(self.h, self.g)
 
 
 def _ids(column):
@@ -145,7 +153,11 @@ def _spread(values, starts, total):
 
 
 def _units_rows(batches):
-    """Pass 1: rows ``h, g, doc, flag``. Flags: 0 plain, 1 of a hot anchor, 2 covered, 3 hot and not sent."""
+    """Pass 1: rows ``h, g, doc``, the flag in the last bits of ``g``.
+
+    Flags: 0 plain, 1 of a hot anchor, 2 covered, 3 hot and not sent. Rows come in
+    the order of documents, which the shuffle's compression makes use of.
+    """
     for batch in batches:
         held = []
         for part, texts in slices(batch, "text"):
@@ -163,20 +175,20 @@ def _units_rows(batches):
         gone = np.flatnonzero(covered)
         # One row for each unit in each document, of the covered ones too.
         gone = gone[_starts(h[gone], g[gone], doc[gone])]
-        yield _rows(h[gone], g[gone], doc[gone], np.full(len(gone), 2, np.int8))
+        gone_h, gone_g, gone_doc = h[gone], g[gone], doc[gone]
         h, g, doc = h[starts], g[starts], doc[starts]
         order = np.lexsort((doc, h))
         h, g, doc = h[order], g[order], doc[order]
         starts = _starts(h)
         place = np.arange(len(h)) - _spread(starts, starts, len(h))
         size = _spread(np.diff(np.append(starts, len(h))), starts, len(h))
-        yield _rows(h, g, doc, np.where(size <= HOT_BLOCK, 0, np.where(place < HOT_BLOCK, 1, 3)).astype(np.int8))
-
-
-def _rows(h, g, doc, flag):
-    return pa.RecordBatch.from_arrays(
-        [pa.array(h.view(np.int64)), pa.array(g.view(np.int64)), pa.array(doc), pa.array(flag)],
-        names=["h", "g", "doc", "flag"])
+        flag = np.where(size <= HOT_BLOCK, 0, np.where(place < HOT_BLOCK, 1, 3)).astype(np.uint64)
+        h, g = np.concatenate([h, gone_h]), np.concatenate([g | flag, gone_g | np.uint64(2)])
+        doc = np.concatenate([doc, gone_doc])
+        order = np.argsort(doc, kind="stable")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(h[order].view(np.int64)), pa.array(g[order].view(np.int64)), pa.array(doc[order])],
+            names=["h", "g", "doc"])
 
 
 def _whole_groups(batches, key, most):
@@ -203,8 +215,9 @@ def _verdicts(bounds):
     """Shuffle 1: rows ``bucket, doc, said`` for covered units and units in doubt."""
     def run(batches):
         for table in _whole_groups(batches, "h", 500_000):
-            h, g, doc, flag = (table.column(i).to_numpy() for i in range(4))
+            h, g, doc = (table.column(i).to_numpy() for i in range(3))
             h, g = h.view(np.uint64), g.view(np.uint64)
+            g, flag = g & ~FLAGS, (g & FLAGS).astype(np.int64)
             passed = flag >= 2
             out = [(h[passed], g[passed], doc[passed], np.where(flag[passed] == 2, COVERED, DOUBT_HOT))]
             h, g, doc, flag = h[~passed], g[~passed], doc[~passed], flag[~passed]
@@ -225,7 +238,7 @@ def _verdicts(bounds):
                 keep = said > 0
                 out.append((h[keep], g[keep], doc[keep], said[keep]))
             h, g, doc, said = (np.concatenate(x) for x in zip(*out))
-            name = mix(h ^ (g * np.uint64(BASE))) & ~np.uint64(3)
+            name = name_of(h, g)
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.searchsorted(bounds, doc, "right").astype(np.int32)), pa.array(doc),
                 pa.array((name | said.astype(np.uint64)).view(np.int64))], names=["bucket", "doc", "said"])
@@ -281,13 +294,13 @@ def _asked(units, docs, verdicts, distinct):
     for i, (rows,) in verdicts.rows(distinct):
         mine = order[low[i]:high[i]]
         known = rows.view(np.uint64)
-        names = known & ~np.uint64(3)
+        names = known & ~FLAGS
         # Sorted as signed numbers in the file.
         at = np.argsort(names, kind="stable")
         names, known = names[at], known[at]
         spot = np.minimum(np.searchsorted(names, name[mine]), len(names) - 1)
         hit = names[spot] == name[mine]
-        said[mine[hit]] = (known[spot[hit]] & np.uint64(3)).astype(np.int64)
+        said[mine[hit]] = (known[spot[hit]] & FLAGS).astype(np.int64)
     return said
 
 
@@ -530,8 +543,9 @@ def remove_repeats(docs, id_col="doc_id", text_col="text", keep_bytes=True):
     cuts = texts.approxQuantile("doc_id", [i / buckets for i in range(1, buckets)], 0.2 / buckets)
     bounds = np.unique(np.array(cuts, np.float64).astype(np.int64)) if cuts else np.zeros(0, np.int64)
 
-    found = texts.mapInArrow(trimmed(_units_rows), "h long, g long, doc long, flag byte")
-    met = found.repartition(F.when(F.col("flag") >= 2, F.xxhash64("h", "doc")).otherwise(F.col("h")))
+    found = texts.mapInArrow(trimmed(_units_rows), "h long, g long, doc long")
+    # Rows that only pass through are dealt out by document, the others meet by anchor.
+    met = found.repartition(F.when(F.col("g").bitwiseAND(2) > 0, F.xxhash64("h", "doc")).otherwise(F.col("h")))
     said = met.sortWithinPartitions("h").mapInArrow(trimmed(_verdicts(bounds)), "bucket int, doc long, said long")
     verdicts = _by_document(said, ("said",), folder, buckets)
 
