@@ -12,7 +12,7 @@ from odd_cases import LINE, SF_DIR, odd_rows
 from pyspark.sql import functions as F
 
 from wardstat.llm import decontaminate, exact_dedup, simhash, suffixes
-from wardstat.llm.blocks import ship
+from wardstat.llm.blocks import saved, ship
 from wardstat.llm.graph import connected_components
 
 
@@ -285,3 +285,32 @@ def test_large_benchmarks_are_not_broadcast(spark, documents, monkeypatch):
         assert sorted(map(tuple, frame.collect())) == usual and usual
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_long_items_are_there_once(spark, monkeypatch):
+    """Seeds hold no token arrays, items are bounded by bytes, and far parts of a document are not moved."""
+    draw = random.Random(9)
+    words = [f"w{i}" for i in range(500)]
+    long = draw.choices(words, k=1000)
+    items = [(1, " ".join(long)), (1, " ".join(draw.choices(words, k=40))), (None, " ".join(draw.choices(words, k=9)))]
+    items += [(3, items[1][1]), (3, items[1][1])]
+    docs = [(i, " ".join(draw.choices(words, k=300) + long[150 * i:150 * i + 11 + i] + draw.choices(words, k=300)))
+            for i in range(6)]
+    docs += [(None, "x " + items[2][1]), (None, items[1][1]), (4, items[1][1]), (4, items[1][1]), (9, " ".join(long[-11:]))]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    kept = {}
+
+    def seen(df, label):
+        kept[label] = df
+        return saved(df, label)
+    monkeypatch.setattr(decontaminate, "saved", seen)
+    first = {}
+    for i, j, span, best in leaks(docs, items):
+        first[i, j] = tuple(map(max, (span, best), first.get((i, j), (0, 0))))
+    expected = [(*k, *v) for k, v in first.items()]
+    same(decontaminate.overlaps(frame, bench).collect(), expected)
+    assert not [t for _, t in kept["benchmark-seeds"].dtypes if t.startswith("array")] and len(expected) > 6
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 8 * 1000)
+    same(decontaminate.overlaps(frame, bench).collect(), expected)
+    assert not [t for _, t in kept["spots"].dtypes if t.startswith("array")]

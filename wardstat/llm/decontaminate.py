@@ -16,8 +16,9 @@ SIMILARITY = 0.8
 MASKS = ((0, 1, 2, 4, 6, 7), (0, 1, 3, 6, 7, 8))
 #: Items of fewer tokens are no evidence; those between this and ``WINDOW`` must be found whole.
 LEAST_TOKENS = 8
-#: Seeds of the benchmark are broadcast up to this number of rows, joined by sorting beyond it.
+#: The benchmark is broadcast up to this number of seeds and this number of bytes of its items, else all meets by shuffles.
 BROADCAST_SEEDS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def tokens(text):
@@ -39,14 +40,48 @@ def pair(token, hashes, at):
 
 
 def benchmark_tokens(benchmark, id_col="item_id", text_col="text"):
-    """Tokens of the items that are long enough, and the masks in use by their number."""
+    """Tokens of the items that are long enough, each with a number of its own, and the masks in use by their number."""
     items = (benchmark.select(F.col(id_col).alias("item_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= LEAST_TOKENS))
-    items = saved(items, "benchmark-tokens")
+             .select("item_id", tokens(F.col("text")).alias("item")).where(F.size("item") >= LEAST_TOKENS).distinct())
+    items = saved(items.withColumn("row", F.monotonically_increasing_id()), "benchmark-tokens")
     short = [r[0] for r in items.select(F.size("item")).distinct().where(F.size("item") < WINDOW).collect()]
     return items, dict(enumerate(MASKS)) | {n: tuple(range(n)) for n in sorted(short)}
 
 
+def broadcastable(items, known):
+    """Whether the seeds, and the items' tokens and ids beside them, are few enough for every task."""
+    held = F.size("item") * F.lit(8) + F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
+    return known.count() <= BROADCAST_SEEDS and (items.agg(F.sum(held.cast("long"))).first()[0] or 0) <= BROADCAST_BYTES
+
+
+def fetched(rows, items, met):
+    """Hits as in ``overlaps``, with no more than the tokens around them; ``met`` holds ``mark, at, row, item_at``.
+
+    Hits on one diagonal of a document and an item are reduced to one for each
+    ``WINDOW`` tokens of the item. A mark that two rows share brings the tokens of
+    both, and each is checked by its own.
+    """
+    block = F.floor(F.col("item_at") / WINDOW).cast("int")
+    spots = met.select("mark", "row", block.alias("block"), (F.col("at") - F.col("item_at") + block * WINDOW).alias("begin"))
+    spots = saved(spots.distinct(), "spots")
+
+    def around(array, begin):
+        return F.transform(F.sequence(begin - (WINDOW - 1), begin + 2 * (WINDOW - 1)), lambda i: F.get(array, i))
+
+    wanted = spots.groupBy("mark").agg(F.collect_set("begin").alias("begins"))
+    held = (rows.join(wanted, "mark").select("doc_id", "mark", "held", F.explode("begins").alias("begin"))
+            .select("doc_id", "mark", "begin", around("held", F.col("begin")).alias("held")).distinct())
+    size = F.size("item")
+    parts = (items.select("row", "item_id", "item", F.explode(F.sequence(
+                F.lit(0), F.floor((size - 1) / WINDOW).cast("int"))).alias("block"))
+             .select("row", "item_id", "block", size.alias("size"), around("item", F.col("block") * WINDOW).alias("item")))
+    first = F.col("block") * WINDOW
+    shift = (F.lit(WINDOW - 1) - first)
+    return spots.join(parts, ["row", "block"]).join(held, ["mark", "begin"]).select(
+        "doc_id", "item_id", "size", "held", shift.alias("held_shift"), "item", shift.alias("item_shift"),
+        (first - (WINDOW - 1)).alias("low"), (first + WINDOW - 1).alias("high"))
+
+
 def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text"):
     """``doc_id, item_id, window, matched`` for every document and item that it leaks.
 
@@ -57,42 +92,42 @@ def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_i
     repeated id. Items with equal ids count as one, other columns are not looked
     at, and an empty table on either side gives an empty table.
 
-    A benchmark of a counted size is broadcast: documents are then read once and
-    not shuffled, and only tokens whose pair with the next one occurs in the
-    benchmark are hashed by the masks. Beyond that size seeds meet by a shuffle,
-    and the tokens of documents with a hit are fetched for the check.
+    A benchmark of a counted size, in seeds and in bytes, is broadcast: documents
+    are then read once and not shuffled, and only tokens whose pair with the next
+    one occurs in the benchmark are hashed by the masks. Seeds name their item by
+    a number, and its tokens are there once. Beyond that size seeds meet by a
+    shuffle, and only the tokens around a hit are fetched for the check.
     """
     items, masks = benchmark_tokens(benchmark, item_col, item_text_col)
-    spots = items.select("item_id", "item", F.posexplode("item").alias("item_at", "token"))
-    known = saved(spots.select("item_id", "item", "item_at", pair(F.col("token"), F.col("item"), F.col("item_at")).alias("pair"),
+    spots = items.select("row", "item", F.posexplode("item").alias("item_at", "token"))
+    known = saved(spots.select("row", "item_at", pair(F.col("token"), F.col("item"), F.col("item_at")).alias("pair"),
                                F.explode(seeds(F.col("item"), F.col("item_at"), masks)).alias("seed")), "benchmark-seeds")
-    rows = docs.select(F.col(id_col).alias("doc_id"), tokens(F.coalesce(F.col(text_col), F.lit(""))).alias("held"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("mark"), tokens(text).alias("held"))
     # An expression, so that no filter on the array is inferred, which would split the texts once more.
     each = F.posexplode(F.when(F.size("held") > 1, F.col("held")))
-    found = rows.select("doc_id", "held", each.alias("at", "token"))
+    found = rows.select("doc_id", "mark", "held", each.alias("at", "token"))
     marked = F.explode(seeds(F.col("held"), F.col("at"), masks)).alias("seed")
-    if known.count() <= BROADCAST_SEEDS:
+    if broadcastable(items, known):
         able = found.withColumn("pair", pair(F.col("token"), F.col("held"), F.col("at"))).join(
             F.broadcast(known.select("pair").distinct()), "pair", "left_semi")
-        hits = able.select("doc_id", "held", "at", marked).join(F.broadcast(known.drop("pair")), "seed")
+        hits = (able.select("doc_id", "held", "at", marked).join(F.broadcast(known.drop("pair")), "seed")
+                .join(F.broadcast(items), "row")
+                .select("doc_id", "item_id", F.size("item").alias("size"), "held",
+                        (F.col("at") - F.col("item_at")).alias("held_shift"), "item", F.lit(0).alias("item_shift"),
+                        # Windows of the item that may hold the token where the seed begins.
+                        (F.col("item_at") - (WINDOW - 1)).alias("low"), F.col("item_at").alias("high")))
     else:
-        met = (found.select("doc_id", "at", marked).join(known.select("seed", "item_id", "item_at"), "seed")
-               .select("doc_id", "at", "item_id", "item_at").distinct())
-        ids = {"doc_id": rows.withColumnRenamed("doc_id", "of"), "item_id": items.withColumnRenamed("item_id", "of")}
-        hits = met
-        for name, table in ids.items():
-            hits = hits.join(table, hits[name].eqNullSafe(table["of"])).drop("of")
-    size = F.size("item")
-    window = F.least(F.lit(WINDOW), size)
-    # Windows of the item that hold the token where the seed begins.
-    low = F.greatest(F.lit(0), F.col("item_at") + 1 - window)
-    high = F.least(F.col("item_at"), size - window)
+        met = found.select("mark", "at", marked).join(known.select("seed", "row", "item_at"), "seed")
+        hits = fetched(rows, items, met)
+    window = F.least(F.lit(WINDOW), F.col("size"))
+    low, high = F.greatest(F.lit(0), F.col("low")), F.least(F.col("high"), F.col("size") - window)
 
     def matched(start):
         return F.aggregate(
             F.sequence(start, start + window - 1), F.lit(0),
             lambda n, i: n + F.coalesce(
-                (F.get("held", i + F.col("at") - F.col("item_at")) == F.get("item", i)).cast("int"), F.lit(0)))
+                (F.get("held", i + F.col("held_shift")) == F.get("item", i + F.col("item_shift"))).cast("int"), F.lit(0)))
 
     checked = hits.select("doc_id", "item_id", window.alias("window"),
                           F.array_max(F.transform(F.sequence(low, high), matched)).alias("matched"))
