@@ -17,8 +17,8 @@ def clean(spark, docs, sf_dir):
 
 
 def unique(spark, docs, sf_dir):
-    """Of equal texts, the document with the largest id."""
-    return exact_dedup.drop_exact_copies(docs)
+    """Of equal texts, the document with the largest id; null ids are no exception."""
+    return exact_dedup.drop_exact_copies(docs, spare_null_ids=False)
 
 
 def distinct(spark, docs, sf_dir):
@@ -28,8 +28,8 @@ def distinct(spark, docs, sf_dir):
 
 
 def unseen(spark, docs, sf_dir):
-    """Documents that repeat no passage of a benchmark item."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that repeat no passage of a benchmark item; null ids are no exception."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), spare_null_ids=False)
 
 
 def tokens(spark, docs, sf_dir):

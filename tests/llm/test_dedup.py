@@ -314,3 +314,38 @@ def test_long_items_are_there_once(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 8 * 1000)
     same(decontaminate.overlaps(frame, bench).collect(), expected)
     assert not [t for _, t in kept["spots"].dtypes if t.startswith("array")]
+
+
+ODD_IDS = [(5, "A one"), (9, "A one"), (5, "B two"), (7, "C three"), (7, "C three"), (None, "A one"),
+           (None, "D four"), (None, "D four"), (6, None), (4, ""), (None, "")]
+
+
+def test_rows_are_judged_by_their_own_text(spark):
+    """Repeated and null ids: exactly one row of each group stays, and no text is lost with another's id."""
+    frame = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(ODD_IDS)], "doc_id long, text string, k int").repartition(3)
+    same(exact_dedup.drop_exact_copies(frame, spare_null_ids=False).collect(),
+         [(9, "A one", 1), (5, "B two", 2), (7, "C three", 3), (None, "D four", 6), (6, None, 8)])
+    same(simhash.drop_near_copies(frame).collect(),
+         [(5, "A one", 0), (5, "B two", 2), (7, "C three", 3), (None, "D four", 6), (4, "", 9)])
+    spared = exact_dedup.drop_exact_copies(frame)
+    assert sorted(r.k for r in spared.collect()) == [1, 2, 3, 5, 6, 7, 8, 10]
+
+
+def test_one_row_of_each_component_stays(spark, odd):
+    rows = pairs(odd)
+    of = {(i, t): c for (i, t), c in zip(rows, (f for _, f, _ in components(rows)))}
+    left = pairs(simhash.drop_near_copies(odd))
+    prints = sorted({int(f, 16) for f in of.values()})
+    assert len({of[r] for r in left}) == len(left)
+    far = [of[r] for r in left]
+    assert not any((int(a, 16) ^ int(b, 16)).bit_count() <= 2 for n, a in enumerate(far) for b in far[:n])
+    assert {c for _, _, c in components(rows)} == {i for i, _ in left} and len(prints) >= len(left)
+
+
+def test_leaks_are_judged_by_their_own_text(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    docs = [(1, "x " + item), (1, "clean"), (None, item), (None, "clean"), (2, None), (None, None)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    same(decontaminate.drop_contaminated(frame, bench, spare_null_ids=False).collect(), [d for d in docs if item not in (d[1] or "")])
+    same(decontaminate.drop_contaminated(frame, bench).collect(), docs[1:])

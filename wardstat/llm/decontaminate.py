@@ -9,6 +9,7 @@ them. Hits of test and training seeds are verified on the tokens around them.
 from pyspark.sql import functions as F
 
 from wardstat.llm.blocks import saved
+from wardstat.llm.exact_dedup import digest
 
 WINDOW = 13
 SIMILARITY = 0.8
@@ -136,7 +137,14 @@ def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_i
             .groupBy("doc_id", "item_id").agg(F.max("window").alias("window"), F.max("matched").alias("matched")))
 
 
-def drop_contaminated(docs, benchmark, id_col="doc_id", text_col="text"):
-    """The rows of ``docs`` without a leak, with all their columns. Rows with a null id stay."""
-    gone = overlaps(docs, benchmark, id_col, text_col).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def drop_contaminated(docs, benchmark, id_col="doc_id", text_col="text", spare_null_ids=True):
+    """The rows of ``docs`` without a leak, with all their columns.
+
+    A row is judged by its own text: another text under the same id is not
+    touched. With ``spare_null_ids`` rows with a null id all stay.
+    """
+    own = docs.select(F.struct(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")).alias("own"),
+                      F.col(text_col).alias("text"))
+    gone = overlaps(own, benchmark, "own").select(F.col("doc_id.id").alias("__gone"), F.col("doc_id.digest").alias("__digest"))
+    gone = saved((gone.where("__gone is not null") if spare_null_ids else gone).distinct(), "contaminated")
+    return docs.join(gone, F.col(id_col).eqNullSafe(gone["__gone"]) & (digest(F.col(text_col)) == gone["__digest"]), "left_anti")

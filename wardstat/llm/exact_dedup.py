@@ -10,7 +10,9 @@ only the ordered identifier lists move, 8 bytes for about a thousand.
 
 from pyspark.sql import functions as F
 
+from wardstat.functions.names import column
 from wardstat.llm.blocks import saved
+from wardstat.operators.profiling import first_row_per_key
 
 MIN_CHARS = 512
 MAX_CHARS = 4096
@@ -68,8 +70,53 @@ def exact_groups(docs, id_col="doc_id", text_col="text"):
         F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256")
 
 
-def drop_exact_copies(docs, id_col="doc_id", text_col="text"):
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = (exact_groups(docs, id_col, text_col).where("not kept and doc_id is not null")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def short(sha256):
+    """The first 16 bytes of a digest in hexadecimal digits."""
+    return F.unhex(F.substring(sha256, 1, 32))
+
+
+def digest(text):
+    """What tells the texts of one id apart, half a SHA-256; a null text counts as empty."""
+    return short(F.sha2(F.coalesce(text, F.lit("")), 256))
+
+
+def decided(rows):
+    """Of ``doc_id, digest, kept`` for every row, the pairs that do not stay or that more than one row has."""
+    return (rows.groupBy("doc_id", "digest").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
+            .where("not kept or n > 1"))
+
+
+def without(docs, marks, id_col="doc_id", text_col="text"):
+    """``docs`` without the pairs of id and text that are not kept, and one row of each other pair in ``marks``.
+
+    Of several rows the smallest in column order stays. Null ids are compared as any other.
+    """
+    marks = saved(marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "kept"), "decided")
+
+    def pair(marks):
+        return F.col(id_col).eqNullSafe(marks["__id"]) & (digest(F.col(text_col)) == marks["__digest"])
+
+    once = docs.join(marks, pair(marks), "left_anti")
+    again = marks.where("kept").drop("kept")
+    if again.isEmpty():
+        return once
+    more = docs.join(again, pair(again), "inner")
+    more = more.drop("__id").withColumn("__id", F.col(id_col))
+    # Maps have no order: of rows with any, one stays, whichever it is.
+    ordered = not any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
+    picked = first_row_per_key(more, ["__id", "__digest"]) if ordered else more.dropDuplicates(["__id", "__digest"])
+    return once.unionByName(picked.select(*[column(c) for c in docs.columns]))
+
+
+def drop_exact_copies(docs, id_col="doc_id", text_col="text", spare_null_ids=True):
+    """The rows of ``docs`` that stay, with all their columns: one of each group of equal texts.
+
+    That with the largest id stays, of rows that repeat both id and text the
+    smallest in column order. A row is judged by its own text: another text
+    under the same id is not touched. With ``spare_null_ids`` rows with a null id
+    all stay, else they go as any other copy, and one stays where no row has an id.
+    """
+    rows = exact_groups(docs, id_col, text_col).withColumn("digest", short("text_sha256"))
+    if spare_null_ids:
+        rows = rows.where("doc_id is not null")
+    return without(docs, decided(rows), id_col, text_col)

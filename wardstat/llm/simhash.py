@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from wardstat.llm.blocks import ranges, saved, slices, trimmed
+from wardstat.llm.exact_dedup import decided, digest, without
 from wardstat.llm.graph import connected_components
 
 SHINGLE = 3
@@ -52,8 +53,8 @@ def fingerprint(text, shingle=SHINGLE):
     return int(np.packbits(ones * 2 > count).view(">u8")[0])
 
 
-def fingerprints(docs, id_col="doc_id", text_col="text", shingle=SHINGLE):
-    """``doc_id, fp`` of every row; ``fp`` is the fingerprint's 64 bits as a long.
+def fingerprints(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, digests=False):
+    """``doc_id, fp`` of every row, and its ``digest`` if asked; ``fp`` is the fingerprint's 64 bits as a long.
 
     A bit is set if it is in over half the XXH64 hashes of the shingles, which
     repeat as often as the text does. Fewer words are one shingle; no words, as
@@ -64,10 +65,13 @@ def fingerprints(docs, id_col="doc_id", text_col="text", shingle=SHINGLE):
             for part, texts in slices(batch, "text"):
                 made = [fingerprint(t.encode(), shingle) for t in texts.to_pylist()]
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(np.array(made, np.uint64).view(np.int64))], names=["doc_id", "fp"])
+                    [part.column(0), pa.array(np.array(made, np.uint64).view(np.int64)), *part.columns[2:]],
+                    names=["doc_id", "fp", *extra])
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(trimmed(run), "doc_id long, fp long")
+    extra = ["digest"] if digests else []
+    text = F.col(text_col).cast("string")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), *(digest(text).alias(c) for c in extra))
+    return rows.mapInArrow(trimmed(run), ", ".join(["doc_id long", "fp long", *(f"{c} binary" for c in extra)]))
 
 
 def band_masks(radius=RADIUS, bands=BANDS):
@@ -186,6 +190,20 @@ def near_links(distinct, radius=RADIUS):
             .mapInArrow(trimmed(run), "a long, b long"))
 
 
+def named_fingerprints(rows, radius=RADIUS, **parts):
+    """``fp, component_id`` of the distinct fingerprints of ``rows``, and of each component the aggregates in ``parts``.
+
+    A part is an aggregate function and the column that it takes, which is reduced first by fingerprint.
+    """
+    parts = {"component_id": (F.min, "doc_id"), **parts}
+    distinct = saved(rows.groupBy("fp").agg(*(f(c).alias(name) for name, (f, c) in parts.items())), "distinct-fingerprints")
+    roots = connected_components(near_links(distinct.select("fp"), radius))
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", *parts, F.coalesce("root", "fp").alias("root"))
+    first = rooted.groupBy("root").agg(*(f(name).alias(name) for name, (f, _) in parts.items()))
+    return saved(rooted.select("fp", "root").join(first, "root").drop("root"), "named-fingerprints")
+
+
 def near_groups(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS):
     """``doc_id, fingerprint, component_id`` of every row.
 
@@ -197,18 +215,19 @@ def near_groups(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=
     empty table. No link is dropped: shards hand on edges that span them.
     """
     rows = saved(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    distinct = saved(rows.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = connected_components(near_links(distinct.select("fp"), radius))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = saved(rooted.join(first, "root").select("fp", "component_id"), "named-fingerprints")
-    return rows.join(named, "fp").select(
+    return rows.join(named_fingerprints(rows, radius), "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS):
-    """The rows of ``docs`` that stay, with all their columns: the smallest id of each component."""
-    gone = (near_groups(docs, id_col, text_col, shingle, radius).where("doc_id != component_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    """The rows of ``docs`` that stay, with all their columns: one of each component, that with the smallest id.
+
+    A row is judged by its own text. Null ids come after all others, of several
+    texts under the smallest id that with the least SHA-256 stays, of rows that
+    repeat both id and text the smallest in column order.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    rows = saved(fingerprints(docs, id_col, text_col, shingle, digests=True), "fingerprints")
+    named = named_fingerprints(rows.withColumn("place", place), radius, first=(F.min, "place")).drop("component_id")
+    kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
+    return without(docs, decided(rows.join(named, "fp").select("doc_id", "digest", kept.alias("kept"))), id_col, text_col)
