@@ -28,8 +28,9 @@ def distinct(spark, docs, sf_dir):
 
 
 def unseen(spark, docs, sf_dir):
-    """Documents that repeat no passage of a benchmark item; null ids are no exception."""
-    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), spare_null_ids=False)
+    """Documents that repeat no passage of a benchmark item; null ids and short items are no exception."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.drop_contaminated(docs, benchmark, spare_null_ids=False, short_items=True)
 
 
 def tokens(spark, docs, sf_dir):

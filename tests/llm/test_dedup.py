@@ -1,6 +1,7 @@
 """Exact and near deduplication, repeats and leaks beside brute force."""
 
 import hashlib
+import math
 import random
 import re
 from collections import Counter, defaultdict
@@ -349,3 +350,52 @@ def test_leaks_are_judged_by_their_own_text(spark):
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     same(decontaminate.drop_contaminated(frame, bench, spare_null_ids=False).collect(), [d for d in docs if item not in (d[1] or "")])
     same(decontaminate.drop_contaminated(frame, bench).collect(), docs[1:])
+
+
+def short_leaks(docs, items):
+    """Items of fewer than 13 words by 80 per cent of their length, whole below 8 tokens."""
+    def cut(text):
+        return re.findall(r"[\u3040-\u30ff\u4e00-\u9fff]|[^\W_\u3040-\u30ff\u4e00-\u9fff]+", text.lower())
+    for i, text in docs:
+        held = cut(text)
+        for j, item in items:
+            part = cut(item)
+            if not part or len(tokens(item)) >= 13:
+                continue
+            span = min(13, len(part))
+            best = max([0, *(sum(held[p + k] == w for k, w in enumerate(part[s:s + span]) if 0 <= p + k < len(held))
+                             for s in range(len(part) - span + 1) for p in range(-span, len(held)))])
+            if best >= (math.ceil(0.8 * span) if span >= 8 else span):
+                yield i, j, span, best
+
+
+def test_short_items(spark, monkeypatch):
+    """Items of 1 to 12 tokens and of a script without spaces, with up to three tokens replaced."""
+    draw = random.Random(12)
+    words, signs = [f"w{i}" for i in range(40)], [chr(0x4e00 + i) for i in range(40)]
+    items = [(n, " ".join(draw.choices(words, k=n))) for n in range(2, 13)] + [(1, "alone"), (98, ""), (99, None)]
+    items += [(100 + n, "".join(draw.choices(signs, k=n))) for n in (3, 9, 12, 13, 25)]
+    docs = [(500, "alone"), (501, None), (502, ""), (503, "w1")]
+    for n, item in items:
+        for changed in range(4 if item else 0):
+            part, gap = (list(item), "") if n > 100 else (item.split(), " ")
+            for k in draw.sample(range(len(part)), min(changed, len(part))):
+                part[k] = "他" if n > 100 else "other"
+            docs.append((len(docs), gap.join(draw.choices(signs if n > 100 else words, k=9) + part + ["end"])))
+    frame = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    expected = set(short_leaks([(i, t or "") for i, t in docs], [(j, t or "") for j, t in items]))
+    assert {(j, b) for _, j, _, b in expected} >= {(12, 11), (12, 10), (8, 7), (3, 3), (1, 1), (109, 8), (125, 12)}
+    same(decontaminate.overlaps(frame, bench, short_items=True).collect(), expected)
+    monkeypatch.setattr(decontaminate, "BROADCAST_SEEDS", 0)
+    same(decontaminate.overlaps(frame, bench, short_items=True).collect(), expected)
+    left = decontaminate.drop_contaminated(frame, bench, short_items=True)
+    assert {r.doc_id for r in left.collect()} == {i for i, _ in docs} - {i for i, *_ in expected}
+
+
+def test_runs_of_short_windows_are_lossless():
+    from itertools import combinations
+    for n in range(decontaminate.LEAST_TOKENS, decontaminate.WINDOW):
+        run, changed = decontaminate.least_run(n), n - math.ceil(decontaminate.SIMILARITY * n)
+        for gone in combinations(range(n), changed):
+            assert any(not set(range(s, s + run)) & set(gone) for s in range(n - run + 1))

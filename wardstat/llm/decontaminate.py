@@ -6,6 +6,8 @@ that a document repeats with at most two of them replaced hold a hit of one of
 them. Hits of test and training seeds are verified on the tokens around them.
 """
 
+from math import ceil
+
 from pyspark.sql import functions as F
 
 from wardstat.llm.blocks import saved
@@ -20,11 +22,15 @@ LEAST_TOKENS = 8
 #: The benchmark is broadcast up to this number of seeds and this number of bytes of its items, else all meets by shuffles.
 BROADCAST_SEEDS = 1_000_000
 BROADCAST_BYTES = 64 << 20
+#: Tokens, and those of ``short_tokens``: scripts without spaces between words give a token for each letter.
+WORDS = r"[\p{L}\p{N}]+"
+UNSPACED = r"\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}"
+LETTERS = rf"[\p{{L}}&&[{UNSPACED}]]|[\p{{L}}\p{{N}}&&[^{UNSPACED}]]+"
 
 
-def tokens(text):
+def tokens(text, pattern=WORDS):
     """Hashes of the runs of letters or digits of a text column, lower-cased."""
-    words = F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    words = F.regexp_extract_all(F.lower(text), F.lit(pattern), F.lit(0))
     return F.transform(F.coalesce(words, F.array().cast("array<string>")), lambda w: F.xxhash64(w))
 
 
@@ -49,6 +55,28 @@ def benchmark_tokens(benchmark, id_col="item_id", text_col="text"):
     return items, dict(enumerate(MASKS)) | {n: tuple(range(n)) for n in sorted(short)}
 
 
+def short_tokens(benchmark, id_col="item_id", text_col="text"):
+    """As ``benchmark_tokens``, for the items of fewer than ``WINDOW`` tokens, by the pattern ``LETTERS``.
+
+    Items of ``LEAST_TOKENS`` or more must be repeated to 80 per cent of their own
+    length, shorter ones whole. A run of equal tokens that so many replaced ones
+    must leave is the mask of a length.
+    """
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    items = (benchmark.select(F.col(id_col).alias("item_id"), text.alias("text")).where(F.size(tokens(F.col("text"))) < WINDOW)
+             .select("item_id", tokens(F.col("text"), LETTERS).alias("item")).where(F.size("item") > 0).distinct())
+    items = saved(items.withColumn("row", F.monotonically_increasing_id()), "short-tokens")
+    sizes = [r[0] for r in items.select(F.least(F.size("item"), F.lit(WINDOW))).distinct().collect()]
+    runs = {n if n < LEAST_TOKENS else least_run(n) for n in sizes if n < WINDOW}
+    return items, (dict(enumerate(MASKS)) if WINDOW in sizes else {}) | {len(MASKS) + n: tuple(range(n)) for n in sorted(runs)}
+
+
+def least_run(n):
+    """The longest run of equal tokens that every window of ``n`` with 80 per cent of them equal holds."""
+    changed = n - ceil(SIMILARITY * n)
+    return ceil((n - changed) / (changed + 1))
+
+
 def broadcastable(items, known):
     """Whether the seeds, and the items' tokens and ids beside them, are few enough for every task."""
     held = F.size("item") * F.lit(8) + F.coalesce(F.octet_length(F.col("item_id").cast("string")), F.lit(0))
@@ -83,15 +111,8 @@ def fetched(rows, items, met):
         (first - (WINDOW - 1)).alias("low"), (first + WINDOW - 1).alias("high"))
 
 
-def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text"):
-    """``doc_id, item_id, window, matched`` for every document and item that it leaks.
-
-    A leak is a window of 13 tokens of the item, in a row, of which the document
-    repeats 80 per cent in their places; ``matched`` is the most in any window.
-    Shorter items of at least 8 tokens must be repeated whole. Null texts hold
-    nothing; a null id is one document to all rows that have it, as is any
-    repeated id. Items with equal ids count as one, other columns are not looked
-    at, and an empty table on either side gives an empty table.
+def search(docs, items, masks, id_col, text_col, pattern=WORDS, whole=WINDOW):
+    """The leaks of ``overlaps`` for items and masks; windows of fewer than ``whole`` tokens must be equal in all.
 
     A benchmark of a counted size, in seeds and in bytes, is broadcast: documents
     are then read once and not shuffled, and only tokens whose pair with the next
@@ -99,19 +120,19 @@ def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_i
     a number, and its tokens are there once. Beyond that size seeds meet by a
     shuffle, and only the tokens around a hit are fetched for the check.
     """
-    items, masks = benchmark_tokens(benchmark, item_col, item_text_col)
     spots = items.select("row", "item", F.posexplode("item").alias("item_at", "token"))
     known = saved(spots.select("row", "item_at", pair(F.col("token"), F.col("item"), F.col("item_at")).alias("pair"),
                                F.explode(seeds(F.col("item"), F.col("item_at"), masks)).alias("seed")), "benchmark-seeds")
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("mark"), tokens(text).alias("held"))
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(F.col(id_col), text).alias("mark"), tokens(text, pattern).alias("held"))
     # An expression, so that no filter on the array is inferred, which would split the texts once more.
-    each = F.posexplode(F.when(F.size("held") > 1, F.col("held")))
+    paired = all(len(mask) > 1 for mask in masks.values())
+    each = F.posexplode(F.when(F.size("held") > int(paired), F.col("held")))
     found = rows.select("doc_id", "mark", "held", each.alias("at", "token"))
     marked = F.explode(seeds(F.col("held"), F.col("at"), masks)).alias("seed")
     if broadcastable(items, known):
         able = found.withColumn("pair", pair(F.col("token"), F.col("held"), F.col("at"))).join(
-            F.broadcast(known.select("pair").distinct()), "pair", "left_semi")
+            F.broadcast(known.select("pair").distinct()), "pair", "left_semi") if paired else found
         hits = (able.select("doc_id", "held", "at", marked).join(F.broadcast(known.drop("pair")), "seed")
                 .join(F.broadcast(items), "row")
                 .select("doc_id", "item_id", F.size("item").alias("size"), "held",
@@ -132,19 +153,44 @@ def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_i
 
     checked = hits.select("doc_id", "item_id", window.alias("window"),
                           F.array_max(F.transform(F.sequence(low, high), matched)).alias("matched"))
-    return (checked.where(F.col("matched") >= F.ceil(F.when(F.col("window") < WINDOW, F.col("window"))
-                                                     .otherwise(F.lit(SIMILARITY) * WINDOW)))
+    return (checked.where(F.col("matched") >= F.ceil(F.when(F.col("window") < whole, F.col("window"))
+                                                     .otherwise(F.lit(SIMILARITY) * F.col("window"))))
             .groupBy("doc_id", "item_id").agg(F.max("window").alias("window"), F.max("matched").alias("matched")))
 
 
-def drop_contaminated(docs, benchmark, id_col="doc_id", text_col="text", spare_null_ids=True):
+def overlaps(docs, benchmark, id_col="doc_id", text_col="text", item_col="item_id", item_text_col="text",
+             short_items=False):
+    """``doc_id, item_id, window, matched`` for every document and item that it leaks.
+
+    A leak is a window of 13 tokens of the item, in a row, of which the document
+    repeats 80 per cent in their places; ``matched`` is the most in any window.
+    Shorter items of at least 8 tokens must be repeated whole. Null texts hold
+    nothing; a null id is one document to all rows that have it, as is any
+    repeated id. Items with equal ids count as one, other columns are not looked
+    at, and an empty table on either side gives an empty table.
+
+    With ``short_items``, items of fewer than 13 tokens are also searched by the
+    rule of ``short_tokens``: 80 per cent of their own length from 8 tokens on,
+    whole below, letters of scripts without spaces being tokens of their own.
+    """
+    found = search(docs, *benchmark_tokens(benchmark, item_col, item_text_col), id_col, text_col)
+    if short_items:
+        items, masks = short_tokens(benchmark, item_col, item_text_col)
+        if masks:
+            found = found.union(search(docs, items, masks, id_col, text_col, LETTERS, LEAST_TOKENS))
+            found = found.groupBy("doc_id", "item_id").agg(F.max("window").alias("window"), F.max("matched").alias("matched"))
+    return found
+
+
+def drop_contaminated(docs, benchmark, id_col="doc_id", text_col="text", spare_null_ids=True, short_items=False):
     """The rows of ``docs`` without a leak, with all their columns.
 
     A row is judged by its own text: another text under the same id is not
-    touched. With ``spare_null_ids`` rows with a null id all stay.
+    touched. With ``spare_null_ids`` rows with a null id all stay; ``short_items`` is that of ``overlaps``.
     """
     own = docs.select(F.struct(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")).alias("own"),
                       F.col(text_col).alias("text"))
-    gone = overlaps(own, benchmark, "own").select(F.col("doc_id.id").alias("__gone"), F.col("doc_id.digest").alias("__digest"))
+    gone = overlaps(own, benchmark, "own", short_items=short_items).select(
+        F.col("doc_id.id").alias("__gone"), F.col("doc_id.digest").alias("__digest"))
     gone = saved((gone.where("__gone is not null") if spare_null_ids else gone).distinct(), "contaminated")
     return docs.join(gone, F.col(id_col).eqNullSafe(gone["__gone"]) & (digest(F.col(text_col)) == gone["__digest"]), "left_anti")
