@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from wardstat.llm import (
     byte_bpe, decontaminate, exact_dedup, ngrams, quality, simhash, suffixes, token_file,
-    toxicity, warc)
+    toxicity, warc, whitening)
 from wardstat.llm.blocks import ship
 
 
@@ -68,6 +68,11 @@ def op10_decontamination(spark, sf_dir):
     return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_whitening(spark, sf_dir):
+    made = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    return made.withColumn("deviation", F.col("deviation").cast("long"))
+
+
 QUERIES = {name: made for name, made in globals().copy().items() if name.startswith("op")}
 
 def _counts(column):
