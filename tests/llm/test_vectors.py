@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from odd_cases import SF_DIR
 
-from wardstat.llm import whitening
+from wardstat.llm import near_vectors, smallworld, whitening
 from wardstat.llm.blocks import ship
 
 SCHEMA = "vec_id long, embedding array<float>, label int, x string, node long, shard int, digest string, n long, row long"
@@ -121,3 +121,99 @@ def test_sliced_spectrum(width):
         assert np.allclose(vectors @ vectors.T, np.eye(len(found)), atol=1e-9)
         assert np.allclose(square @ vectors.T, vectors.T * found, atol=1e-10)
     assert len(whitening.leading(np.zeros((3, 3)))[0]) == 0
+
+
+def brute_links(rows, least):
+    """Links and smallest reachable id of every row, from all pairs."""
+    made = [(i, None, None) for i, _, _ in rows]
+    width = max((len(v) for _, v, _ in rows if v), default=0)
+    some = [k for k, (_, v, label) in enumerate(rows) if label is not None and v and any(v)
+            and all(c is not None and math.isfinite(c) for c in v)]
+    x = np.array([list(rows[k][1]) + [0.0] * (width - len(rows[k][1])) for k in some]).reshape(len(some), width)
+    x = x / np.linalg.norm(x, axis=1, keepdims=True)
+    labels = np.array([rows[k][2] for k in some])
+    near = (x @ x.T >= least) & (labels[:, None] == labels[None])
+    np.fill_diagonal(near, False)
+    root = np.arange(len(some))
+    for _ in range(len(some)):
+        before = root.copy()
+        for k in range(len(some)):
+            root[k] = min([root[k], *root[near[k]]])
+        if (root == before).all():
+            break
+    made = [(i, 0, i, True) for i, _, _ in rows]
+    for k, place in enumerate(some):
+        ids = [rows[some[m]][0] for m in np.flatnonzero(root == root[k])]
+        least_id = min((i for i in ids if i is not None), default=None)
+        made[place] = (rows[place][0], int(near[k].sum()), least_id, rows[place][0] == least_id)
+    return made
+
+
+def same(got, expected):
+    def key(row):
+        return tuple((x is None, x) for x in row)
+
+    assert sorted(map(tuple, got), key=key) == sorted(map(tuple, expected), key=key)
+
+
+def as_floats(rows):
+    return [(i, v and [c if c is None else float(np.float32(c)) for c in v], label) for i, v, label in rows]
+
+
+@pytest.mark.parametrize("shard_rows", [16_384, 20])
+def test_near_vectors(spark, shard_rows):
+    rows = as_floats(odd_vectors())
+    same(near_vectors.near_vectors(frame(spark, rows), shard_rows=shard_rows).collect(), brute_links(rows, 0.93))
+
+
+def test_near_vectors_of_a_hot_group(spark):
+    """A third of all rows in one group of near copies, with many equal ones; several shards."""
+    draw = np.random.default_rng(4)
+    base = draw.standard_normal(16)
+    rows = [(i, (base + 0.08 * draw.standard_normal(16)).tolist(), 1) for i in range(500)]
+    rows += [(i, rows[i % 7][1], 1) for i in range(500, 700)]
+    rows += [(i, draw.standard_normal(16).tolist(), int(draw.integers(0, 3))) for i in range(700, 2000)]
+    rows = as_floats(rows)
+    made = {r.vec_id: tuple(r) for r in near_vectors.near_vectors(frame(spark, rows), shard_rows=300).collect()}
+    expected = {r[0]: r for r in brute_links(rows, 0.93)}
+    assert [made[i][2:] for i in made] == [expected[i][2:] for i in made]
+    assert sum(m[1] for m in made.values()) >= 0.99 * sum(e[1] for e in expected.values())
+    assert all(made[i][1] <= expected[i][1] for i in made)
+
+
+def test_near_vectors_of_nothing(spark):
+    assert near_vectors.near_vectors(frame(spark, [])).count() == 0
+    rows = [(1, None, 0), (2, [0.0, 0.0], 0), (None, [1.0], None)]
+    same(near_vectors.near_vectors(frame(spark, rows)).collect(), [(1, 0, 1, True), (2, 0, 2, True), (None, 0, None, True)])
+
+
+def test_beams_widen_until_the_audit_passes(monkeypatch):
+    """Searches that lose most links with a small beam: the pair of shards is searched again."""
+    draw = np.random.default_rng(2)
+    shard = near_vectors.Shard.build(draw.standard_normal((600, 4)), np.arange(600), np.ones(600, np.int64))
+    beams, plain = [], smallworld.Graph.near
+
+    def forgetful(self, queries, least, beam):
+        beams.append(beam)
+        row, member = plain(self, queries, least, beam)
+        return (row, member) if beam > 100 else (row[::3], member[::3])
+
+    monkeypatch.setattr(smallworld.Graph, "near", forgetful)
+    _, counts = near_vectors.linked(shard, shard, 0.93, True)
+    assert sorted(set(beams)) == [32, 64, 128]
+    exact = (shard.unit @ shard.unit.T >= 0.93).sum() - 600
+    assert exact >= counts[0][1].sum() >= 0.98 * exact
+
+
+@pytest.mark.parametrize("width", [2, 30])
+def test_graph_finds_the_nearest(width):
+    draw = np.random.default_rng(width)
+    unit = near_vectors.units(draw.standard_normal((3000, width)))
+    graph, order = smallworld.Graph.build(unit)
+    assert sorted(order) == list(range(3000))
+    queries = near_vectors.units(draw.standard_normal((200, width))).astype(np.float32)
+    ids, scores = graph._search(queries, graph._entries(queries, 3000), graph.layers[-1], 3000, 64)
+    best = np.argsort(-(queries @ graph.points.T), axis=1)[:, :10]
+    assert np.mean([len(set(a[:10]) & set(b)) for a, b in zip(ids, best)]) > 9.5
+    again, held = smallworld.Graph.loaded(graph.dumped(extra=np.arange(3)))
+    assert all((a == b).all() for a, b in zip(again.layers, graph.layers)) and list(held["extra"]) == [0, 1, 2]

@@ -4,8 +4,8 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from wardstat.llm import (
-    byte_bpe, decontaminate, exact_dedup, ngrams, quality, simhash, suffixes, token_file,
-    toxicity, warc, whitening)
+    byte_bpe, decontaminate, exact_dedup, near_vectors, ngrams, quality, simhash, suffixes,
+    token_file, toxicity, warc, whitening)
 from wardstat.llm.blocks import ship
 
 
@@ -70,7 +70,11 @@ def op10_decontamination(spark, sf_dir):
 
 def op11_whitening(spark, sf_dir):
     made = whitening.whiten(table(spark, sf_dir, "embeddings"))
-    return made.withColumn("deviation", F.col("deviation").cast("long"))
+    return made.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+def op12_near_vectors(spark, sf_dir):
+    return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {name: made for name, made in globals().copy().items() if name.startswith("op")}
@@ -171,4 +175,18 @@ ORACLE = {
                 FROM dt JOIN bt USING (token))
         SELECT doc_id, item_id, max(span)::INTEGER AS "window", max(n)::INTEGER AS matched FROM hit
         WHERE n >= CASE WHEN span < 13 THEN span ELSE 11 END GROUP BY ALL""",
+    # Every pair of vectors of a label; the ids that each reaches.
+    "op12_near_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+            WHERE label IS NOT NULL AND list_bool_and([coalesce(isfinite(c), false) for c in embedding])
+                AND list_bool_or([c <> 0 for c in embedding])),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+                  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings
+                  UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        root AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+        FROM embeddings JOIN root USING (vec_id) LEFT JOIN degree USING (vec_id)""",
 }
