@@ -7,8 +7,9 @@ from collections import Counter
 import numpy as np
 import pytest
 from odd_cases import SF_DIR
+from pyspark.sql import functions as F
 
-from wardstat.llm import near_vectors, smallworld, whitening
+from wardstat.llm import hard_negatives, near_vectors, smallworld, whitening
 from wardstat.llm.blocks import ship
 
 SCHEMA = "vec_id long, embedding array<float>, label int, x string, node long, shard int, digest string, n long, row long"
@@ -217,3 +218,54 @@ def test_graph_finds_the_nearest(width):
     assert np.mean([len(set(a[:10]) & set(b)) for a, b in zip(ids, best)]) > 9.5
     again, held = smallworld.Graph.loaded(graph.dumped(extra=np.arange(3)))
     assert all((a == b).all() for a, b in zip(again.layers, graph.layers)) and list(held["extra"]) == [0, 1, 2]
+
+
+def brute_negatives(rows, every, positives=5, negatives=3):
+    """Every score of every anchor."""
+    rows = [(i, [math.floor(256 * c) for c in v], label) for i, v, label in rows if label is not None]
+    for k, (i, x, label) in enumerate(rows):
+        if i is None or i % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(x, y)), j is None, j or 0, m) for m, (j, y, _) in enumerate(rows) if m != k)
+        mine = [(m, -s) for s, _, _, m in scored if rows[m][2] == label][:positives]
+        for p, ps in mine:
+            fit = [(m, -s) for s, _, _, m in scored if rows[m][2] != label and 50 * ps <= -100 * s <= 95 * ps]
+            for rank, (m, ns) in enumerate(fit[:negatives], 1):
+                yield i, rows[p][0], rank, rows[m][0], ps, ns
+
+
+def test_hard_negatives(spark, embeddings):
+    rows = as_floats(odd_vectors())
+    got = hard_negatives.hard_negatives(frame(spark, rows), F.col("vec_id") % 10 == 0, shard_rows=50, block_rows=6)
+    expected = list(brute_negatives(list(usable(rows)), 10))
+    assert len(expected) > 100
+    same(got.collect(), expected)
+    plain = [(r.vec_id, [float(c) for c in r.embedding], r.label) for r in embeddings.collect()]
+    same(hard_negatives.hard_negatives(embeddings, F.col("vec_id") % 50 == 0).collect(), list(brute_negatives(plain, 50)))
+
+
+def test_hard_negatives_of_few_and_large(spark):
+    plain = "vec_id long, embedding array<double>, label int"
+    none = [[], [(1, [1.0], 0)], [(0, [1.0], 0)], [(0, None, 0)], [(0, [0.0, 0.0], 0), (1, [0.0], 0), (2, [], 1)]]
+    for rows in none:
+        made = hard_negatives.hard_negatives(spark.createDataFrame(rows, plain), F.col("vec_id") % 50 == 0)
+        same(made.collect(), list(brute_negatives(list(usable(rows, 2)), 50)))
+    draw = np.random.default_rng(6)
+    rows = [(i, (draw.standard_normal(5) * 3e5).tolist(), i % 3) for i in range(60)]  # products beyond a double's digits
+    made = hard_negatives.hard_negatives(spark.createDataFrame(rows, plain), F.col("vec_id") % 5 == 0)
+    same(made.collect(), list(brute_negatives(rows, 5)))
+
+
+@pytest.mark.parametrize("part", [-1.0, 0.0, 0.3, 0.7, 2.0])
+def test_index_loses_no_pair(part):
+    draw = np.random.default_rng(int(10 * part) % 7)
+    x, q = (draw.integers(-90, 90, (n, 33)).astype(float) for n in (400, 30))
+    x[:40] *= draw.random((40, 1)) < 0.5
+    x[40:60] = q[draw.integers(0, 30, 20)]
+    norm = np.linalg.norm(q, axis=1)
+    least = np.ceil(part * norm * np.linalg.norm(x, axis=1).max()).astype(np.int64)
+    reach = float((least / norm).min()) * (1 - 1e-9)
+    query, at, score = hard_negatives.Index(x, hard_negatives._prefix_norms(x), reach).above(q, least)
+    expected = q @ x.T
+    assert sorted(zip(query, at)) == sorted(zip(*np.nonzero(expected >= least[:, None])))
+    assert (score == expected[query, at]).all()

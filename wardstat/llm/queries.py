@@ -4,7 +4,7 @@ import public_tokenizers
 from pyspark.sql import functions as F
 
 from wardstat.llm import (
-    byte_bpe, decontaminate, exact_dedup, near_vectors, ngrams, quality, simhash, suffixes,
+    byte_bpe, decontaminate, exact_dedup, hard_negatives, near_vectors, ngrams, quality, simhash, suffixes,
     token_file, toxicity, warc, whitening)
 from wardstat.llm.blocks import ship
 
@@ -77,6 +77,12 @@ def op12_near_vectors(spark, sf_dir):
     return near_vectors.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_hard_negatives(spark, sf_dir):
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = table(spark, sf_dir, "embeddings").withColumn("label", moved)
+    return hard_negatives.hard_negatives(vectors, F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {name: made for name, made in globals().copy().items() if name.startswith("op")}
 
 def _counts(column):
@@ -189,4 +195,16 @@ ORACLE = {
         degree AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
         SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
         FROM embeddings JOIN root USING (vec_id) LEFT JOIN degree USING (vec_id)""",
+    # Every score of every anchor; products of whole numbers are exact in doubles.
+    "op13_hard_negatives": """
+        WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                [floor(256 * c::DOUBLE) for c in embedding] AS x FROM embeddings
+            WHERE label IS NOT NULL AND list_bool_and([coalesce(isfinite(c), false) for c in embedding])),
+        s AS (SELECT a.vec_id AS a, a.label = b.label AS alike, b.vec_id AS b, list_dot_product(a.x, b.x)::BIGINT AS s
+            FROM e a JOIN e b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+        p AS (SELECT a, b, s FROM s WHERE alike QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, b) <= 5)
+        SELECT p.a AS anchor_id, p.b AS positive_id, (row_number() OVER w)::INTEGER AS rank, s.b AS negative_id,
+            p.s AS positive_score, s.s AS negative_score
+        FROM p JOIN s ON p.a = s.a AND NOT s.alike AND 50 * p.s <= 100 * s.s AND 100 * s.s <= 95 * p.s
+        WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.s DESC, s.b) QUALIFY rank <= 3""",
 }
