@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from wardstat.functions.names import column
 from wardstat.llm.blocks import new_file, open_file, saved, trimmed
-from wardstat.llm.graph import connected_components
+from wardstat.llm.graph import connected_components, with_least
 from wardstat.llm.smallworld import Graph
 from wardstat.llm.vectors import doubles, finite, matrix
 from wardstat.session import scratch_path
@@ -222,8 +222,7 @@ def near_vectors(docs, id_col="vec_id", vector_col="embedding", label_col="label
     roots = connected_components(pieces.where("links is null"))
     rooted = classes.drop("vector").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     counts = pieces.where("links is not null").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
-    first = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = saved(rooted.join(first, "root").join(counts, "node", "left").select(
+    named = saved(with_least(rooted, "root", "node", component_id="least").join(counts, "node", "left").select(
         "label", "h", "g", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"), "named-vectors")
     met = rows.withColumns(hashes).select(
         "vec_id", F.when(F.col("vector").isNotNull(), F.col("label")).alias("label"), "h", "g").join(

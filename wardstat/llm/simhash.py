@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from wardstat.llm.blocks import ranges, saved, slices, trimmed
 from wardstat.llm.exact_dedup import decided, digest, without
-from wardstat.llm.graph import connected_components
+from wardstat.llm.graph import connected_components, with_least
 
 SHINGLE = 3
 RADIUS = 2
@@ -190,18 +190,15 @@ def near_links(distinct, radius=RADIUS):
             .mapInArrow(trimmed(run), "a long, b long"))
 
 
-def named_fingerprints(rows, radius=RADIUS, **parts):
-    """``fp, component_id`` of the distinct fingerprints of ``rows``, and of each component the aggregates in ``parts``.
-
-    A part is an aggregate function and the column that it takes, which is reduced first by fingerprint.
-    """
-    parts = {"component_id": (F.min, "doc_id"), **parts}
-    distinct = saved(rows.groupBy("fp").agg(*(f(c).alias(name) for name, (f, c) in parts.items())), "distinct-fingerprints")
+def named_fingerprints(rows, radius=RADIUS, **least):
+    """``fp, component_id`` of the distinct fingerprints of ``rows``, and the least of each component for ``name=column``."""
+    least = {"component_id": "doc_id", **least}
+    distinct = saved(rows.groupBy("fp").agg(*(F.min(c).alias(name) for name, c in least.items())), "distinct-fingerprints")
     roots = connected_components(near_links(distinct.select("fp"), radius))
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", *parts, F.coalesce("root", "fp").alias("root"))
-    first = rooted.groupBy("root").agg(*(f(name).alias(name) for name, (f, _) in parts.items()))
-    return saved(rooted.select("fp", "root").join(first, "root").drop("root"), "named-fingerprints")
+        "fp", *(F.col(name).alias(f"own_{name}") for name in least), F.coalesce("root", "fp").alias("root"))
+    named = with_least(rooted, "root", "fp", **{name: f"own_{name}" for name in least})
+    return saved(named.select("fp", *least), "named-fingerprints")
 
 
 def near_groups(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, radius=RADIUS):
@@ -228,6 +225,6 @@ def drop_near_copies(docs, id_col="doc_id", text_col="text", shingle=SHINGLE, ra
     """
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
     rows = saved(fingerprints(docs, id_col, text_col, shingle, digests=True), "fingerprints")
-    named = named_fingerprints(rows.withColumn("place", place), radius, first=(F.min, "place")).drop("component_id")
+    named = named_fingerprints(rows.withColumn("place", place), radius, first="place").drop("component_id")
     kept = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("digest") == F.col("first.digest"))
     return without(docs, decided(rows.join(named, "fp").select("doc_id", "digest", kept.alias("kept"))), id_col, text_col)
