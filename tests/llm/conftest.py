@@ -5,7 +5,7 @@ from odd_cases import SCHEMA, SF_DIR, odd_rows
 @pytest.fixture(scope="session")
 def odd(spark):
     return spark.createDataFrame(
-        [(i, t, None, None, None, *["x", None] * 5, "y") for i, t in odd_rows()], SCHEMA).repartition(3)
+        [(i, t, None, None, None, *["x", None] * 5, "y", *["z", None] * 3) for i, t in odd_rows()], SCHEMA).repartition(3)
 
 
 @pytest.fixture(scope="session")

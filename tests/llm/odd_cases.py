@@ -4,7 +4,8 @@ import random
 
 SF_DIR = "/root/testdata/sf0.001"
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, recipe string, fp string, h string, "
-          "key string, bucket string, row string, label string, item string, at string, seed string, ids string")
+          "key string, bucket string, row string, label string, item string, at string, seed string, ids string, "
+          "__id string, __digest string, __gone string, mark string, _mark string, kept string")
 LINE = "A line of more than fifty bytes that many of the documents share, é included."
 
 

@@ -6,7 +6,9 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from odd_cases import LINE, SF_DIR, odd_rows

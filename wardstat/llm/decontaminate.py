@@ -11,7 +11,7 @@ from math import ceil
 from pyspark.sql import functions as F
 
 from wardstat.llm.blocks import saved
-from wardstat.llm.exact_dedup import digest
+from wardstat.llm.exact_dedup import digest, free_name
 
 WINDOW = 13
 SIMILARITY = 0.8
@@ -190,7 +190,8 @@ def drop_contaminated(docs, benchmark, id_col="doc_id", text_col="text", spare_n
     """
     own = docs.select(F.struct(F.col(id_col).alias("id"), digest(F.col(text_col)).alias("digest")).alias("own"),
                       F.col(text_col).alias("text"))
-    gone = overlaps(own, benchmark, "own", short_items=short_items).select(
-        F.col("doc_id.id").alias("__gone"), F.col("doc_id.digest").alias("__digest"))
-    gone = saved((gone.where("__gone is not null") if spare_null_ids else gone).distinct(), "contaminated")
-    return docs.join(gone, F.col(id_col).eqNullSafe(gone["__gone"]) & (digest(F.col(text_col)) == gone["__digest"]), "left_anti")
+    mark = free_name(docs, "mark")
+    gone = overlaps(own, benchmark, "own", short_items=short_items).select(F.col("doc_id").alias(mark))
+    gone = saved((gone.where(F.col(f"{mark}.id").isNotNull()) if spare_null_ids else gone).distinct(), "contaminated")
+    pair = F.col(id_col).eqNullSafe(F.col(f"{mark}.id")) & (digest(F.col(text_col)) == F.col(f"{mark}.digest"))
+    return docs.join(gone.hint("merge"), pair, "left_anti")

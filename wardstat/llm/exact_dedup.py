@@ -2,10 +2,10 @@
 
 A text is cut where its own content says so: after a full stop, question or
 exclamation mark or line break, at the earliest ``MIN_CHARS`` characters after
-the last cut and at the latest ``MAX_CHARS``. Chunks are deduplicated by their
-bytes, in one shuffle with a map-side part, and each gets its 64-bit hash as
-identifier once that hash is proven to belong to one chunk only. From then on
-only the ordered identifier lists move, 8 bytes for about a thousand.
+the last cut and at the latest ``MAX_CHARS``. A chunk's identifier is its 64-bit
+hash once that is proven to belong to one chunk only: the pairs of identifier and
+half a SHA-256 are deduplicated, with a map-side part, and no identifier may have
+two. Then ordered identifier lists are compared, 8 bytes for about a thousand.
 """
 
 from pyspark.sql import functions as F
@@ -24,24 +24,25 @@ def chunks(text):
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
-def shared_identifiers(texts):
-    """Identifiers that more than one chunk has, from a table of ``text``; as good as always empty."""
-    parts = texts.select(F.explode(chunks("text")).alias("chunk")).groupBy("chunk").agg(F.count("*").alias("n"))
-    return (parts.groupBy(F.xxhash64("chunk").alias("identifier")).agg(F.count("*").alias("n"))
-            .where("n > 1").select("identifier"))
+def shared_identifiers(listed):
+    """Identifiers that more than one chunk has, from a table of ``parts``; as good as always empty."""
+    distinct = listed.select(F.explode("parts").alias("part")).select("part.identifier", "part.digest").distinct()
+    return distinct.groupBy("identifier").agg(F.count("*").alias("n")).where("n > 1").select("identifier")
 
 
 def recipes(docs, id_col="doc_id", text_col="text"):
     """``doc_id``, the ``recipe`` of verified identifiers, and ``text_sha256`` of every row.
 
     A row with an unverified identifier also gets its digest in ``tie``; for
-    all others ``tie`` is empty.
+    all others ``tie`` is empty. Texts are read once and stay where they are.
     """
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    listed = saved(texts.select(
-        "doc_id", F.transform(chunks("text"), lambda c: F.xxhash64(c)).alias("recipe"),
-        F.sha2("text", 256).alias("text_sha256")), "recipes")
-    doubtful = saved(shared_identifiers(texts), "shared-identifiers")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    parts = F.transform(chunks(text), lambda c: F.struct(
+        F.xxhash64(c).alias("identifier"), short(F.sha2(c, 256)).alias("digest")))
+    listed = saved(docs.select(F.col(id_col).alias("doc_id"), parts.alias("parts"), F.sha2(text, 256).alias("text_sha256")),
+                   "recipes")
+    doubtful = saved(shared_identifiers(listed), "shared-identifiers")
+    listed = listed.select("doc_id", F.col("parts.identifier").alias("recipe"), "text_sha256")
     if doubtful.isEmpty():
         return listed.withColumn("tie", F.lit(""))
     unsure = (listed.select("recipe", F.explode("recipe").alias("identifier"))
@@ -86,25 +87,32 @@ def decided(rows):
             .where("not kept or n > 1"))
 
 
+def free_name(docs, name):
+    """The name, with as many ``_`` before it as no column of the table has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def without(docs, marks, id_col="doc_id", text_col="text"):
     """``docs`` without the pairs of id and text that are not kept, and one row of each other pair in ``marks``.
 
-    Of several rows the smallest in column order stays. Null ids are compared as any other.
+    Of several rows the smallest in column order stays. Null ids are compared as
+    any other. Rows and marks meet in one sorted merge, whatever their size: the
+    rows move once, and those of one pair can be split.
     """
-    marks = saved(marks.select(F.col("doc_id").alias("__id"), F.col("digest").alias("__digest"), "kept"), "decided")
-
-    def pair(marks):
-        return F.col(id_col).eqNullSafe(marks["__id"]) & (digest(F.col(text_col)) == marks["__digest"])
-
-    once = docs.join(marks, pair(marks), "left_anti")
-    again = marks.where("kept").drop("kept")
+    mark = free_name(docs, "mark")
+    marks = saved(marks.select(F.struct(F.col("doc_id").alias("id"), "digest", "kept").alias(mark)), "decided")
+    pair = F.col(id_col).eqNullSafe(F.col(f"{mark}.id")) & (digest(F.col(text_col)) == F.col(f"{mark}.digest"))
+    once = docs.join(marks.hint("merge"), pair, "left_anti")
+    again = marks.where(F.col(f"{mark}.kept"))
     if again.isEmpty():
         return once
-    more = docs.join(again, pair(again), "inner")
-    more = more.drop("__id").withColumn("__id", F.col(id_col))
+    more = docs.join(again.hint("merge"), pair, "inner")
     # Maps have no order: of rows with any, one stays, whichever it is.
     ordered = not any("map<" in kind or "variant" in kind for _, kind in docs.dtypes)
-    picked = first_row_per_key(more, ["__id", "__digest"]) if ordered else more.dropDuplicates(["__id", "__digest"])
+    picked = first_row_per_key(more, [mark]) if ordered else more.dropDuplicates([mark])
     return once.unionByName(picked.select(*[column(c) for c in docs.columns]))
 
 
