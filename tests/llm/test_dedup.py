@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from wardstat.llm import decontaminate, exact_dedup, simhash, suffixes
 from wardstat.llm.blocks import saved, ship
 from wardstat.llm.graph import connected_components
+from wardstat.llm.queries import ORACLE
 
 
 @pytest.fixture(autouse=True)
@@ -61,8 +62,8 @@ def test_chunks_are_the_text(spark, odd):
 
 def test_rows_in_doubt_are_told_apart_by_their_digest(spark, monkeypatch, odd):
     """Take every identifier for a shared one: the result must be the same."""
-    monkeypatch.setattr(exact_dedup, "shared_identifiers", lambda texts: texts.select(
-        F.explode(F.transform(exact_dedup.chunks(F.col("text")), lambda c: F.xxhash64(c))).alias("identifier")).distinct())
+    monkeypatch.setattr(exact_dedup, "shared_identifiers", lambda listed: listed.select(
+        F.explode("parts.identifier").alias("identifier")).distinct())
     same(exact_dedup.exact_groups(odd).collect(), groups(pairs(odd)))
 
 
@@ -393,6 +394,10 @@ def test_short_items(spark, monkeypatch):
     same(decontaminate.overlaps(frame, bench, short_items=True).collect(), expected)
     left = decontaminate.drop_contaminated(frame, bench, short_items=True)
     assert {r.doc_id for r in left.collect()} == {i for i, _ in docs} - {i for i, *_ in expected}
+    con = duckdb.connect()
+    for name, key, rows in (("documents", "doc_id", docs), ("benchmark", "item_id", items)):
+        con.register(name, pa.table({key: [r[0] for r in rows], "text": [r[1] for r in rows]}))
+    same(con.execute(ORACLE["op10_decontamination"]).fetchall(), expected)
 
 
 def test_runs_of_short_windows_are_lossless():

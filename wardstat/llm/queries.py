@@ -65,7 +65,8 @@ def op9_token_files(spark, sf_dir):
 
 
 def op10_decontamination(spark, sf_dir):
-    return decontaminate.overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontaminate.overlaps(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_items=True)
 
 
 def op11_whitening(spark, sf_dir):
@@ -104,6 +105,12 @@ def _cut(count, level):
             "ELSE 0 END)")
 
 
+# The patterns of ``decontaminate`` for a library without intersections of classes.
+_UNSPACED = ("Han", "Hiragana", "Katakana", "Thai", "Lao", "Khmer", "Myanmar")
+_NOT = "".join(rf"\p{{{name}}}" for name in _UNSPACED)
+_WORDS = r"[\p{L}\p{N}]+"
+_LETTERS = "|".join([*(rf"[^\P{{L}}\P{{{name}}}]" for name in _UNSPACED), rf"(?:[^\P{{L}}{_NOT}]|[^\P{{N}}{_NOT}])+"])
+
 ORACLE = {
     # Every window of 50 bytes with the first document that it starts in; runs of covered windows.
     "op1_suffix_dedup": """
@@ -168,19 +175,22 @@ ORACLE = {
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept,
                sha256(body) AS text_sha256
         FROM t JOIN g USING (body)""",
-    # Every pair of equal tokens of a document and an item, and the most on one diagonal
-    # among 13 tokens of the item in a row.
-    "op10_decontamination": """
-        WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM documents),
-        b AS (SELECT item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+') AS w FROM benchmark),
-        dt AS (SELECT doc_id, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM d),
-        bt AS (SELECT item_id, len(w) AS size, unnest(w) AS token, generate_subscripts(w, 1) AS j
-               FROM b WHERE len(w) >= 8),
+    # Every pair of equal tokens of a document and an item, and the most on one diagonal among 13 tokens
+    # of the item in a row; items of fewer words by words and single letters of scripts without spaces.
+    "op10_decontamination": f"""
+        WITH b AS (SELECT item_id, lower(text) AS t, len(regexp_extract_all(t, '{_WORDS}')) < 13 AS short FROM benchmark),
+        bw AS (SELECT item_id, short, regexp_extract_all(t, '{_WORDS}') AS w FROM b WHERE NOT short
+               UNION ALL SELECT item_id, short, regexp_extract_all(t, '{_LETTERS}') FROM b WHERE short),
+        dw AS (SELECT doc_id, false AS short, regexp_extract_all(lower(text), '{_WORDS}') AS w FROM documents
+               UNION ALL SELECT doc_id, true, regexp_extract_all(lower(text), '{_LETTERS}') FROM documents
+               WHERE EXISTS (FROM b WHERE short)),
+        dt AS (SELECT doc_id, short, unnest(w) AS token, generate_subscripts(w, 1) AS i FROM dw),
+        bt AS (SELECT item_id, short, len(w) AS size, unnest(w) AS token, generate_subscripts(w, 1) AS j FROM bw),
         hit AS (SELECT doc_id, item_id, least(13, size) AS span, count(*) OVER (
                     PARTITION BY doc_id, item_id, i - j ORDER BY j RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS n
-                FROM dt JOIN bt USING (token))
+                FROM dt JOIN bt USING (short, token))
         SELECT doc_id, item_id, max(span)::INTEGER AS "window", max(n)::INTEGER AS matched FROM hit
-        WHERE n >= CASE WHEN span < 13 THEN span ELSE 11 END GROUP BY ALL""",
+        WHERE n >= CASE WHEN span < 8 THEN span ELSE ceil(span * 8 / 10) END GROUP BY ALL""",
     # Every pair of vectors of a label; the ids that each reaches.
     "op12_near_vectors": """
         WITH RECURSIVE v AS (
