@@ -11,6 +11,7 @@ from wardstat.session import scratch_path
 from wardstat.sources import catalog
 from wardstat.sources.files import file_manifest, read_csv, read_gold
 from wardstat.sources.sinks import write_dataset
+from wardstat.streaming import bronze
 from wardstat.streaming.bronze import incremental_bronze
 
 
@@ -139,15 +140,36 @@ def test_incremental_bronze_lands_old_files(spark, tmp_path):
     assert incremental_bronze(spark, str(raw), out, progress).count() == 2
 
 
-def test_incremental_bronze_names_a_rewritten_file(spark, tmp_path):
+def test_incremental_bronze_counts_the_latest_version(spark, tmp_path, monkeypatch):
     raw, out, progress = tmp_path / "raw", str(tmp_path / "out"), str(tmp_path / "progress")
-    path = put(raw / "1.csv", "a\n1\n")
+    put(raw / "1.csv", "a\n1\n")
+    put(raw / "2.csv", "a\n9\n")
     incremental_bronze(spark, str(raw), out, progress)
-    put(raw / "1.csv", "a\n1\n2\n")
-    later = time.time() + 60
-    os.utime(path, (later, later))
-    with pytest.raises(ValueError, match="1.csv"):
-        incremental_bronze(spark, str(raw), out, progress)
+
+    def rewrite(name, text, seconds):
+        path = put(raw / name, text)
+        os.utime(path, (time.time() + seconds, time.time() + seconds))
+
+    def landed():
+        return sorted(r.a for r in incremental_bronze(spark, str(raw), out, progress).collect())
+
+    rewrite("1.csv", "a\n1\n2\n", 60)
+    assert landed() == ["1", "2", "9"]
+    put(raw / "3.csv", "a\n3\n")  # later calls work as any other
+    assert landed() == ["1", "2", "3", "9"]
+    rewrite("1.csv", "a\n", 120)
+    rewrite("3.csv", "a\n4\n", 120)
+    with monkeypatch.context() as patch:  # a call that breaks off when all is landed
+        keep = bronze._keep
+        patch.setattr(bronze, "_keep", lambda listing, folder, version: keep(listing, folder, version)
+                      if folder.endswith("begun") else (_ for _ in ()).throw(OSError("broken off")))
+        with pytest.raises(OSError):
+            landed()
+    rewrite("2.csv", "a\n8\n", 180)
+    assert landed() == ["4", "8"] and landed() == ["4", "8"]
+    put(raw / "5[a].csv", "a\n5\n")
+    with pytest.raises(ValueError, match="5.a..csv"):
+        landed()
 
 
 def test_database_locations_are_quoted(spark, tmp_path):

@@ -7,13 +7,15 @@ from pyspark.sql import functions as F
 from verification import views as V
 from wardstat import schemas as S
 from wardstat.functions.conversions import to_work_date
+from wardstat.functions.metrics import exact_mean, exact_sum
 from wardstat.operators import columns as C
 from wardstat.operators import profiling as P
 from wardstat.plans import gold as G
+from wardstat.plans import lake as L
 from wardstat.plans import medallion as M
 from wardstat.plans import serving as D
 from wardstat.session import scratch_path
-from wardstat.sources import catalog
+from wardstat.sources import catalog, files
 from wardstat.sources.files import file_manifest, read_csv, read_gold
 from wardstat.sources.sinks import write_dataset
 from wardstat.streaming.bronze import incremental_bronze
@@ -163,6 +165,33 @@ def state_top_volume(spark, sf_dir):
     return D.top_volume(V.volume(spark, sf_dir, STATE))
 
 
+@query
+def state_tops_of_pressure(spark, sf_dir):
+    """The three facilities under the greatest pressure in every state."""
+    return D.state_tops(V.facility(spark, sf_dir), "STAFFING_PRESSURE_INDEX", 3)
+
+
+@query
+def state_tops_of_volume(spark, sf_dir):
+    """The two facilities with the most patient days in every state."""
+    return D.state_tops(V.volume(spark, sf_dir), "TOTAL_PATIENT_DAYS", 2)
+
+
+@query
+def facility_sketches(spark, sf_dir):
+    """Facilities of the whole flat file, and of one state, by saved sketches: whether they are within five hundredths."""
+    path = write_dataset(D.facility_sketches(V.pbj(spark, sf_dir)), scratch_path(spark, "sketches"))
+    saved = spark.read.parquet(path)
+    parts = [D.estimated_facilities(rows).select(F.lit(name).alias("scope"), "TOTAL_FACILITIES")
+             for name, rows in (("all", saved), (STATE, D.in_state(saved, STATE)))]
+    days = V.pbj(spark, sf_dir)
+    exact = [rows.agg(F.count_distinct("PROVNUM").alias("exact")).select(F.lit(name).alias("scope"), "exact")
+             for name, rows in (("all", days), (STATE, D.in_state(days, STATE)))]
+    both = parts[0].union(parts[1]).join(exact[0].union(exact[1]), "scope")
+    off = F.abs(F.col("TOTAL_FACILITIES") - F.col("exact")) / F.col("exact")
+    return both.select("scope", "exact", (off <= 0.05).alias("close"))
+
+
 @query
 def state_filter_flat(spark, sf_dir):
     """The filter set on the finished table: Spark moves it to the facilities."""
@@ -218,6 +247,24 @@ def null_summary_row_count(spark, sf_dir):
     return P.row_count(P.null_summary(V.pbj(spark, sf_dir)))
 
 
+@query
+def null_counts_of_files(spark, sf_dir):
+    """Null counts of the days as a Parquet dataset, by the files' footers."""
+    path = write_dataset(V.pbj(spark, sf_dir), scratch_path(spark, "days"))
+    return P.null_counts_of_files(spark, path)
+
+
+@query
+def duplicate_documents_by_digest(spark, sf_dir):
+    """As ``duplicate_documents``: digests are counted, whole texts are compared where one occurs twice."""
+    return P.duplicate_rows_by_digest(V.table(spark, sf_dir, "documents").drop("doc_id"))
+
+
+@query
+def row_count_of_days(spark, sf_dir):
+    return P.row_count(V.pbj(spark, sf_dir))
+
+
 @query
 def duplicate_rows(spark, sf_dir):
     return P.duplicate_rows(V.provider_copies(spark, sf_dir))
@@ -427,26 +474,34 @@ def csv_quotes_roundtrip(spark, sf_dir):
 @query
 def csv_swapped_header(spark, sf_dir):
     """What the reader makes of files whose columns come in another order than declared."""
-    regions = V.table(spark, sf_dir, "region").select("r_name", "r_regionkey")
-    path = write_dataset(regions, scratch_path(spark, "swapped"), fmt="csv")
+    orders = V.table(spark, sf_dir, "orders").select("o_orderstatus", "o_orderkey")
+    path = write_dataset(orders, scratch_path(spark, "swapped"), fmt="csv")
+    told = ""
     try:
-        rows = len(read_csv(spark, path, "r_regionkey string, r_name string").collect())  # five regions
-    except (PySparkException, Py4JJavaError):
-        rows = -1
-    return regions.agg(F.count(F.lit(1)).alias("written")).withColumn("misread", F.lit(rows).cast("long"))
+        read_csv(spark, path, "o_orderkey string, o_orderstatus string").agg(F.max("o_orderkey")).collect()
+    except (PySparkException, Py4JJavaError) as error:
+        told = "header" if "CSV header does not conform to the schema" in str(error) else str(error)
+    return orders.agg(F.count(F.lit(1)).alias("written")).withColumn("told", F.lit(told))
 
 
 @query
 def file_manifest_of_raw(spark, sf_dir):
-    """Names and bytes of two extracts by the manifest, less one header per file."""
-    extracts = (S.SURVEY_DATES, S.STATE_AVERAGES)
-    raw = _raw_files(spark, sf_dir, *extracts)
-    header = F.create_map(*[F.lit(x) for name in extracts for x in (
+    """All four extracts by the manifest: bytes of the rows, less one header per file, and whether the lines have as many.
+
+    The bytes of the days are not stated: they hold hours as long fractions, which no two engines write alike.
+    """
+    raw = _raw_files(spark, sf_dir)
+    header = F.create_map(*[F.lit(x) for name in S.DATASETS for x in (
         name, len(_header(spark, f"{raw}/{name}")))])
     dataset = F.element_at(F.split("relative_path", "/"), 1)
-    return file_manifest(spark, raw).groupBy(dataset.alias("dataset")).agg(
-        F.sum(F.col("length") - header[dataset]).alias("row_bytes"),
+    listed = file_manifest(spark, raw).groupBy(dataset.alias("dataset")).agg(
+        F.sum("length").alias("listed"), F.sum(F.when(dataset != S.PBJ, F.col("length") - header[dataset])).alias("row_bytes"),
         F.bool_and(F.col("relative_path") == F.concat(dataset, F.lit("/"), "file_name")).alias("names_agree"))
+    lines = spark.read.option("recursiveFileLookup", "true").text(raw).select(
+        F.element_at(F.split("_metadata.file_path", "/"), -2).alias("dataset"), (F.octet_length("value") + 1).alias("n"))
+    read = lines.groupBy("dataset").agg(F.sum("n").alias("read"))
+    return listed.join(read, "dataset").select(
+        "dataset", "row_bytes", "names_agree", (F.col("listed") == F.col("read")).alias("bytes_agree"))
 
 
 def _header(spark, path):
@@ -471,15 +526,14 @@ def bronze_load(spark, sf_dir):
 
 @query
 def bronze_unfit_rows(spark, sf_dir):
-    """Lines that hold more or fewer cells than the header, kept as they came."""
+    """Lines that hold more or fewer cells than the header, kept as they came, in eight files."""
     raw = scratch_path(spark, "unfit")
-    nation = V.table(spark, sf_dir, "nation")
-    line = F.concat_ws(",", F.col("n_nationkey").cast("string"), F.when(F.col("n_nationkey") % 4 != 1, F.col("n_name")),
-                       F.when(F.col("n_nationkey") % 4 == 2, "more"))
-    header = spark.range(1).select(F.lit("number,name").alias("value"))
-    header.unionByName(nation.select(line.alias("value"))).coalesce(1).write.text(raw)
-    csv = M.load_bronze(spark, raw)
-    return csv.select("number", "name", S.UNFIT_ROW)
+    key = F.col("p_partkey")
+    line = F.concat_ws(",", key.cast("string"), F.when(key % 4 != 1, F.col("p_name")), F.when(key % 4 == 2, "more"))
+    lines = V.table(spark, sf_dir, "part").select((key % 8).alias("file"), F.lit(1).alias("place"), line.alias("value"))
+    headers = spark.range(8).select(F.col("id").alias("file"), F.lit(0).alias("place"), F.lit("number,name").alias("value"))
+    headers.union(lines).repartition("file").sortWithinPartitions("file", "place").drop("place").write.partitionBy("file").text(raw)
+    return M.load_bronze(spark, raw, "file=*").select("number", "name", S.UNFIT_ROW)
 
 
 @query
@@ -581,12 +635,177 @@ def gold_views(spark, sf_dir):
 
 @query
 def gold_of_one_month(spark, sf_dir):
-    """The staffing table after a full run and a second one that replaces a single month."""
+    """The staffing table after a full run, and a second one over corrected days that replaces a single month."""
     silver = _silver(spark, sf_dir)
-    gold = scratch_path(spark, "gold-months")
-    M.run_gold(spark, silver, gold)
-    M.run_gold(spark, silver, gold, months=[(1995, 3)])
-    return read_gold(spark, gold, "staffing_metrics")
+    work = scratch_path(spark, "gold-months")
+    M.run_gold(spark, silver, f"{work}/gold")
+    days = spark.read.parquet(f"{silver}/{S.PBJ}")
+    write_dataset(days.withColumn(S.CENSUS, F.col(S.CENSUS) + 1), f"{work}/silver/{S.PBJ}")
+    write_dataset(spark.read.parquet(f"{silver}/{S.PROVIDER}"), f"{work}/silver/{S.PROVIDER}")
+    M.run_gold(spark, f"{work}/silver", f"{work}/gold", months=[(1995, 3)])
+    return read_gold(spark, f"{work}/gold", "staffing_metrics")
+
+
+# --- a lake that follows its raw folder ----------------------------------------
+
+def _named_files(spark, df, folder, names):
+    """One headered CSV file for each name, from the rows whose ``file`` is its place; replaces files of those names."""
+    made = scratch_path(spark, "named")
+    write_dataset(df.repartition("file"), made, fmt="csv", partition_by=["file"])
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(path(folder))
+    for place, name in enumerate(names):
+        found = [f.getPath() for f in system.globStatus(path(f"{made}/file={place}/part-*"))]
+        system.delete(path(f"{folder}/{name}"), False)
+        if found:
+            system.rename(found[0], path(f"{folder}/{name}"))
+
+
+def _third(column):
+    return F.dayofmonth(column) % 3
+
+
+def _days_in_files(spark, sf_dir, corrected):
+    """The days in three files: up to 1999, of 2000 and from 2001 on. The second is corrected: census one more, and
+    facilities with a number that ends in 3 moved to another state."""
+    days = V.pbj(spark, sf_dir).withColumn("file", F.least(F.greatest(F.year(S.WORK_DATE) - 1999, F.lit(0)), F.lit(2)))
+    if corrected:
+        second = F.col("file") == 1
+        days = days.withColumns({
+            S.CENSUS: F.when(second, F.col(S.CENSUS) + 1).otherwise(F.col(S.CENSUS)),
+            "STATE": F.when(second & F.col("PROVNUM").endswith("3"), "MOVED").otherwise(F.col("STATE"))})
+    return days.withColumn(S.WORK_DATE, F.date_format(S.WORK_DATE, "yyyyMMdd"))
+
+
+_LAKES = {}
+
+
+def _changed_lake(spark, sf_dir):
+    """A lake after three refreshes: two files of days, a run that fails, then a new and a corrected file; made once.
+
+    Returns its folder and what the run that failed was told.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        work = scratch_path(spark, "following")
+        raw, lake = f"{work}/raw", f"{work}/lake"
+        days = _days_in_files(spark, sf_dir, corrected=False)
+        _named_files(spark, days.where("file < 2"), f"{raw}/{S.PBJ}", ["0.csv", "1.csv", "2.csv"])
+        providers = V.provider_file(spark, sf_dir).withColumn("file", F.lit(0))
+        _named_files(spark, providers, f"{raw}/{S.PROVIDER}", ["all.csv"])
+        L.refresh(spark, raw, lake)
+        _named_files(spark, _days_in_files(spark, sf_dir, corrected=True).where("file > 0"), f"{raw}/{S.PBJ}",
+                     ["none.csv", "1.csv", "2.csv"])
+        _named_files(spark, providers.drop("Staffing Rating"), f"{raw}/{S.PROVIDER}", ["all.csv"])
+        told = ""
+        try:
+            L.refresh(spark, raw, lake)
+        except ValueError as error:
+            told = str(error).split(";")[0]
+        _named_files(spark, providers, f"{raw}/{S.PROVIDER}", ["all.csv"])
+        L.refresh(spark, raw, lake)
+        _LAKES[key] = lake, told
+    return _LAKES[key]
+
+
+@query
+def lake_staffing(spark, sf_dir):
+    """Staffing after a new day file, a corrected one and facilities that moved: equal to one run over the last files."""
+    return L.read_lake(spark, _changed_lake(spark, sf_dir)[0], "staffing_metrics")
+
+
+@query
+def lake_facility(spark, sf_dir):
+    return L.read_lake(spark, _changed_lake(spark, sf_dir)[0], "facility_metrics")
+
+
+@query
+def lake_volume(spark, sf_dir):
+    return L.read_lake(spark, _changed_lake(spark, sf_dir)[0], "top_patient_volume")
+
+
+@query
+def lake_before_the_change(spark, sf_dir):
+    """Staffing of the first version, as it stood when the run after it failed, and what that run was told."""
+    lake, told = _changed_lake(spark, sf_dir)
+    return L.read_lake(spark, lake, "staffing_metrics", version=1).withColumn("told", F.lit(told))
+
+
+@query
+def manifest_changes(spark, sf_dir):
+    """Files of each extract that are new, rewritten or gone between two listings, with the bytes of the days left out."""
+    work = scratch_path(spark, "listings")
+    extracts = {S.PBJ: V.pbj(spark, sf_dir).withColumn("file", _third(S.WORK_DATE)),
+                S.PROVIDER: V.provider_file(spark, sf_dir).withColumn("file", F.lit(0))}
+    for name, key, label in ((S.SURVEY_DATES, "o_orderkey", "Survey Number"), (S.STATE_AVERAGES, "c_custkey", "State")):
+        source = V.table(spark, sf_dir, "orders" if key == "o_orderkey" else "customer")
+        extracts[name] = source.select(F.col(key).alias(label), (F.col(key) % 3).cast("int").alias("file"))
+    names = ["0.csv", "1.csv", "2.csv"]
+    for name, rows in extracts.items():
+        _named_files(spark, rows.where("file < 2"), f"{work}/{name}", names)
+    listing = file_manifest(spark, work)
+    listing.write.parquet(f"{work}-before")
+    before = spark.read.parquet(f"{work}-before")
+    for name, rows in extracts.items():  # the first file gone, the second rewritten, the third new
+        _named_files(spark, rows.where("file > 0").unionByName(rows.where("file = 1")), f"{work}/{name}", names)
+    changes = files.manifest_changes(before, file_manifest(spark, work))
+    dataset = F.element_at(F.split("relative_path", "/"), 1)
+    return changes.select(
+        dataset.alias("dataset"), F.element_at(F.split("relative_path", "/"), 2).alias("file_name"), "change",
+        F.when(dataset.isin(S.SURVEY_DATES, S.STATE_AVERAGES), F.coalesce("new_length", F.lit(0)) - F.coalesce(
+            "old_length", F.lit(0))).alias("more_bytes"))
+
+
+@query
+def rewritten_file(spark, sf_dir):
+    """Bronze after a file was rewritten under its own name: its new rows only, beside those of a file left alone."""
+    work = scratch_path(spark, "rewritten")
+    names = ["0.csv", "1.csv"]
+    orders = V.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("number"), F.col("o_orderpriority").alias("said"), (F.col("o_orderkey") % 2).cast("int").alias("file"))
+    _named_files(spark, orders, f"{work}/raw", names)
+    incremental_bronze(spark, f"{work}/raw", f"{work}/bronze", f"{work}/progress")
+    again = orders.where("file = 1 and number % 3 != 0").withColumn("said", F.lit("anew"))
+    _named_files(spark, again, f"{work}/raw", ["none.csv", "1.csv"])
+    incremental_bronze(spark, f"{work}/raw", f"{work}/bronze", f"{work}/progress")
+    return incremental_bronze(spark, f"{work}/raw", f"{work}/bronze", f"{work}/progress").drop(*S.LANDING_COLUMNS)
+
+
+def _two_layouts(spark, sf_dir):
+    """Orders in two files of one layout and a third with another order of columns and one more."""
+    raw = scratch_path(spark, "layouts")
+    orders = V.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("number"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").alias("priority"),
+        (F.col("o_orderkey") % 3).cast("int").alias("file"))
+    _named_files(spark, orders.where("file < 2").drop("priority"), raw, ["a.csv", "b.csv"])
+    turned = orders.where("file = 2").select("priority", "status", "number", F.lit(0).alias("file"))
+    _named_files(spark, turned, raw, ["c.csv"])
+    return raw
+
+
+@query
+def columns_by_name(spark, sf_dir):
+    """Files whose columns come in another order, and one more, as one table."""
+    return files.read_layouts(spark, _two_layouts(spark, sf_dir)).select("number", "status", "priority", S.SOURCE_FILE)
+
+
+@query
+def layouts(spark, sf_dir):
+    """Layouts of a folder, how many files have each, and the places of their columns."""
+    return files.layout_report(spark, _two_layouts(spark, sf_dir))
+
+
+@query
+def large_totals(spark, sf_dir):
+    """Sums and means past any long of millionths; one group holds a NaN, which spoils its figures for all to see."""
+    first = (F.col("l_orderkey") == 1) & (F.col("l_linenumber") == 1)
+    value = F.when(first, float("nan")).otherwise(F.round(F.col("l_extendedprice") * 1e7))
+    lines = V.table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linestatus", value.alias("value"))
+    made = lines.groupBy("l_returnflag", "l_linestatus").agg(exact_sum("value").alias("total"), exact_mean("value").alias("mean"))
+    spoiled = F.isnan("total") & F.isnan("mean")
+    return made.withColumn("spoiled", spoiled).withColumns(
+        {c: F.when(~F.isnan(c), F.col(c)) for c in ("total", "mean")})
 
 
 @query

@@ -145,6 +145,11 @@ def _top(source, metric):
             f"ORDER BY {metric} DESC, {FIRST} LIMIT 10")
 
 
+def _state_tops(source, metric, k):
+    return (f"SELECT *, cast(row_number() OVER (PARTITION BY STATE ORDER BY {metric} DESC, {FIRST}) AS int) AS PLACE "
+            f"FROM {source} WHERE {metric} IS NOT NULL AND STATE IS NOT NULL QUALIFY PLACE <= {k}")
+
+
 def _cards(where=""):
     return f"""SELECT
  (SELECT count(DISTINCT PROVNUM) FROM facility{where}) AS TOTAL_FACILITIES,
@@ -220,6 +225,19 @@ def _long(source, measures):
         for name, agg in measures.items())
 
 
+_PROVIDER_BYTES = " + ".join(f"length(coalesce(cast({c} AS varchar), '')) + 1" for c in _FILE_CELLS.values())
+
+
+def _changed(census, where="", state="STATE"):
+    """The days with another census or state, or some of them."""
+    return PBJ.replace("pbj AS", "plain AS") + f""",
+pbj AS (SELECT * REPLACE ({census} AS MDScensus, {state} AS STATE) FROM plain{where})"""
+
+
+_SECOND = "year(WorkDate) = 2000"
+_CORRECTED = _changed(
+    f"MDScensus + CASE WHEN {_SECOND} THEN 1 ELSE 0 END",
+    state=f"CASE WHEN {_SECOND} AND PROVNUM LIKE '%3' THEN 'MOVED' ELSE STATE END")
 _KEYED = " WHERE " + " AND ".join(f"{k} IS NOT NULL" for k in KEYS.split(", "))
 _IN_STATE = f" WHERE STATE = '{STATE}'"
 _staffing = _with(STAFFING, "SELECT * FROM staffing")
@@ -319,7 +337,7 @@ ORACLE = {
     "csv_quotes_roundtrip": """SELECT cast(p_partkey AS varchar) AS part, 'say "' || p_name ||
         '", ""twice""' || CASE WHEN p_partkey % 5 = 0 THEN chr(10) || 'next line' ELSE '' END AS said
         FROM part""",
-    "csv_swapped_header": "SELECT count(*) AS written, cast(-1 AS bigint) AS misread FROM region",
+    "csv_swapped_header": "SELECT count(*) AS written, 'header' AS told FROM orders",
     "csv_roundtrip": _pbj,
     "partitioned_roundtrip": _facility,
     "partitioned_csv_roundtrip": _quality,
@@ -335,23 +353,24 @@ ORACLE = {
             ("quality_metrics", "quality"), ("top_patient_volume", "top_volume")))),
     "profile_saved_table": _with(
         PROVIDER, _nulls("provider", {_clean(h): c for h, c in _FILE_CELLS.items()})),
-    "file_manifest_of_raw": """
-        SELECT 'NH_SurveyDates_Oct2024' AS dataset, true AS names_agree,
-            cast(sum(length(cast(o_orderkey AS varchar)) + 12 +
-                CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS bigint) AS row_bytes
+    "file_manifest_of_raw": _with(PROVIDER, f"""
+        SELECT dataset, cast(row_bytes AS bigint) AS row_bytes, true AS names_agree, true AS bytes_agree FROM (
+        SELECT 'NH_SurveyDates_Oct2024' AS dataset, sum(length(cast(o_orderkey AS varchar)) + 12 +
+            CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS row_bytes
         FROM orders UNION ALL
-        SELECT 'NH_StateUSAverages_Oct2024', true, cast(sum(length(cast(c_nationkey AS varchar)) + 1 +
-            length(cast(n AS varchar)) + 1) AS bigint)
-        FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey)""",
+        SELECT 'NH_StateUSAverages_Oct2024', sum(length(cast(c_nationkey AS varchar)) + 1 + length(cast(n AS varchar)) + 1)
+        FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY c_nationkey) UNION ALL
+        SELECT 'NH_ProviderInfo_Oct2024', sum({_PROVIDER_BYTES}) FROM provider UNION ALL
+        SELECT 'PBJ_Daily_Nurse_Staffing_Q2_2024', NULL)"""),
     "file_manifest_bytes": """SELECT cast(sum(length(cast(o_orderkey AS varchar)) + 12 +
         CASE WHEN o_orderstatus = 'F' THEN length(o_orderpriority) ELSE 0 END + 1) AS bigint)
         AS row_bytes FROM orders""",
     "bronze_load": _with(PROVIDER, _file(_same, text=True)),
-    "bronze_unfit_rows": """SELECT cast(n_nationkey AS varchar) AS number,
-        CASE WHEN n_nationkey % 4 <> 1 THEN n_name END AS name,
-        CASE n_nationkey % 4 WHEN 1 THEN cast(n_nationkey AS varchar)
-             WHEN 2 THEN cast(n_nationkey AS varchar) || ',' || n_name || ',more' END AS _unfit_row
-        FROM nation""",
+    "bronze_unfit_rows": """SELECT cast(p_partkey AS varchar) AS number,
+        CASE WHEN p_partkey % 4 <> 1 THEN p_name END AS name,
+        CASE p_partkey % 4 WHEN 1 THEN cast(p_partkey AS varchar)
+             WHEN 2 THEN cast(p_partkey AS varchar) || ',' || p_name || ',more' END AS _unfit_row
+        FROM part""",
     "bronze_row_counts": _with(f"{PBJ}, {PROVIDER}", """
         SELECT 'PBJ_Daily_Nurse_Staffing_Q2_2024' AS dataset, count(*) AS row_count FROM pbj
         UNION ALL SELECT 'NH_ProviderInfo_Oct2024', count(*) FROM provider
@@ -371,7 +390,52 @@ ORACLE = {
     "state_cards_from_raw": _with(FACILITY, _cards(_IN_STATE)),
     "gold_views": _with(QUALITY, """SELECT STATE, count(*) AS facilities,
         count(FACILITY_QUALITY_SCORE) AS scored FROM quality GROUP BY STATE"""),
-    "gold_of_one_month": _staffing,
+    "gold_of_one_month": _with(STAFFING.replace(PBJ, _changed(
+        "MDScensus + CASE WHEN year(WorkDate) = 1995 AND month(WorkDate) = 3 THEN 1 ELSE 0 END")),
+        "SELECT * FROM staffing"),
+    "lake_staffing": _with(STAFFING.replace(PBJ, _CORRECTED), "SELECT * FROM staffing"),
+    "lake_facility": _with(FACILITY.replace(PBJ, _CORRECTED), "SELECT * FROM facility"),
+    "lake_volume": _with(f"{_CORRECTED}, {VOLUME}", "SELECT * FROM top_volume"),
+    "lake_before_the_change": _with(
+        STAFFING.replace(PBJ, _changed("MDScensus", " WHERE year(WorkDate) < 2001")),
+        "SELECT *, 'no column ''Staffing Rating''' AS told FROM staffing"),
+    # The first file gone, the second with its rows twice, the third new.
+    "manifest_changes": """
+        WITH f AS (
+        SELECT 'NH_SurveyDates_Oct2024' AS dataset, o_orderkey % 3 AS file, 14 AS header,
+            sum(length(cast(o_orderkey AS varchar)) + 1) AS n FROM orders GROUP BY ALL UNION ALL
+        SELECT 'NH_StateUSAverages_Oct2024', c_custkey % 3, 6, sum(length(cast(c_custkey AS varchar)) + 1)
+        FROM customer GROUP BY ALL UNION ALL
+        SELECT DISTINCT 'PBJ_Daily_Nurse_Staffing_Q2_2024', day(l_shipdate) % 3, 0, NULL FROM lineitem UNION ALL
+        SELECT 'NH_ProviderInfo_Oct2024', 0, 0, NULL)
+        SELECT dataset, file || '.csv' AS file_name, ['gone', 'changed', 'new'][file + 1] AS change,
+            cast(CASE file WHEN 0 THEN -n - header WHEN 1 THEN n ELSE n + header END AS bigint) AS more_bytes FROM f""",
+    "rewritten_file": """SELECT cast(o_orderkey AS varchar) AS number,
+        CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority ELSE 'anew' END AS said
+        FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 3 <> 0""",
+    "columns_by_name": """SELECT cast(o_orderkey AS varchar) AS number, o_orderstatus AS status,
+        CASE WHEN o_orderkey % 3 = 2 THEN o_orderpriority END AS priority,
+        ['a.csv', 'b.csv', 'c.csv'][o_orderkey % 3 + 1] AS _source_file FROM orders""",
+    "layouts": """SELECT * FROM (VALUES (1, 2, 'number', 1), (1, 2, 'status', 2), (1, 2, 'priority', NULL),
+        (2, 1, 'number', 3), (2, 1, 'status', 2), (2, 1, 'priority', 1)) AS t(layout, n_files, column_name, position)""",
+    "large_totals": """
+        WITH v AS (SELECT l_returnflag, l_linestatus, l_orderkey = 1 AND l_linenumber = 1 AS nan,
+            cast(round(round(l_extendedprice * 10000000::double) * 1000000::double) AS hugeint) AS units FROM lineitem),
+        g AS (SELECT l_returnflag, l_linestatus, bool_or(nan) AS spoiled, cast(sum(units) AS double) / 1000000::double AS total,
+            count(*) AS n FROM v GROUP BY ALL)
+        SELECT l_returnflag, l_linestatus, spoiled, CASE WHEN NOT spoiled THEN total END AS total,
+            CASE WHEN NOT spoiled THEN total / n END AS mean FROM g""",
+    "state_tops_of_pressure": _with(FACILITY, _state_tops("facility", "STAFFING_PRESSURE_INDEX", 3)),
+    "state_tops_of_volume": _with(f"{PBJ}, {VOLUME}", _state_tops("volume", "TOTAL_PATIENT_DAYS", 2)),
+    "facility_sketches": _with(PBJ, f"""
+        SELECT 'all' AS scope, count(DISTINCT PROVNUM) AS exact, true AS close FROM pbj
+        UNION ALL SELECT '{STATE}', count(DISTINCT PROVNUM), true FROM pbj{_IN_STATE}"""),
+    "null_counts_of_files": _with(PBJ, "SELECT " + ", ".join(
+        f"cast(count(*) - count({c}) AS bigint) AS {c}" for c in PBJ_COLUMNS) + " FROM pbj"),
+    "duplicate_documents_by_digest":
+        "SELECT text, lang, source, n_chars, count(*) AS dup_count FROM documents "
+        "GROUP BY ALL HAVING count(*) > 1",
+    "row_count_of_days": 'SELECT count(*) AS "count" FROM lineitem',
     "preview_staffing": _staffing + f" ORDER BY {FIRST}, YEAR, MONTH LIMIT 10",
     "preview_facility": _facility + " ORDER BY PROVNUM LIMIT 10",
     "preview_quality": _quality + " ORDER BY PROVNUM LIMIT 10",

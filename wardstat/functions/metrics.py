@@ -6,8 +6,9 @@ from operator import add
 from pyspark.sql import functions as F
 
 DECIMALS = 2
-# Parts of one that sums keep.
+# Parts of one that sums keep, and bits of the lower half of such a sum.
 UNIT = 1e6
+HALF = 24
 
 
 def zero_if_null(col):
@@ -34,10 +35,8 @@ def mean_of_present(*cols):
     return F.round(F.try_divide(null_safe_sum(*cols), present), DECIMALS)
 
 
-def _units(name):
-    """A column in whole millionths. Null, not finite or beyond nine million million: null."""
-    value = F.col(name) if isinstance(name, str) else name
-    return F.rint(value * F.lit(UNIT)).try_cast("bigint")
+def _value(name):
+    return F.col(name) if isinstance(name, str) else name
 
 
 def exact_sum(name):
@@ -45,11 +44,22 @@ def exact_sum(name):
 
     Doubles summed as they come give a last digit that depends on the tasks.
     Whole millionths do not; published hours and rounded ratios have two
-    decimals. Null if nothing can be summed.
+    decimals. They are added up in two halves, so that a total of any size is
+    exact. Values that are no such number, beyond nine million million or not
+    finite, are added as doubles: a NaN or an infinity shows in the result. So
+    does, as NaN, a total that even the halves cannot hold. Null only if there is
+    no value.
     """
-    return F.try_sum(_units(name)).cast("double") / F.lit(UNIT)
+    value = _value(name)
+    units = F.rint(value * F.lit(UNIT)).try_cast("bigint")
+    high = F.try_sum(F.shiftright(units, HALF))
+    low = F.try_sum(units.bitwiseAND(F.lit((1 << HALF) - 1)))
+    whole = high.cast("decimal(20,0)") * F.lit(1 << HALF).cast("decimal(9,0)") + low.cast("decimal(20,0)")
+    held = F.when(high.isNull() == low.isNull(), whole.cast("double") / F.lit(UNIT)).otherwise(float("nan"))
+    rest = F.sum(F.when(units.isNull(), value))
+    return F.coalesce(held + rest, held, rest)
 
 
 def exact_mean(name):
     """Aggregate: mean of the values that ``exact_sum`` sums, null without any."""
-    return F.try_divide(exact_sum(name), F.count(_units(name)))
+    return F.try_divide(exact_sum(name), F.count(_value(name)))

@@ -17,7 +17,7 @@ from wardstat.operators.columns import (
 from wardstat.operators.profiling import most_nulls_first, null_summary
 from wardstat.plans import gold as G
 from wardstat.sources.catalog import save_table
-from wardstat.sources.files import CSV_FILES, first_lines, literal_path, read_csv, with_lineage
+from wardstat.sources.files import layouts, literal_path, read_csv, with_lineage
 from wardstat.sources.sinks import write_dataset
 
 
@@ -42,9 +42,7 @@ def landed_datasets(spark, raw_dir):
     Pass ``run_bronze`` globs, one per data set, to save the pass. An empty file
     has no header and is left out.
     """
-    grouped = first_lines(spark, raw_dir, CSV_FILES).groupBy("first_line").agg(
-        F.sort_array(F.collect_list("relative_path")).alias("paths"))
-    return {dataset_name(r.paths[0]): [literal_path(p) for p in r.paths] for r in grouped.collect()}
+    return {dataset_name(paths[0]): [literal_path(p) for p in paths] for paths in layouts(spark, raw_dir)}
 
 
 def load_bronze(spark, raw_dir, paths=None):

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardstat import schemas as S
 from wardstat.functions.metrics import exact_mean, exact_sum, zero_if_null
 from wardstat.operators.columns import coerce_numeric, require_columns, standardize_columns
-from wardstat.operators.ranking import top_k
+from wardstat.operators.ranking import top_k, top_k_of_each
 from wardstat.operators.reshape import aggregates_as_rows, to_long
 
 ALL_STATES = "All States"
@@ -64,6 +64,26 @@ def kpi_cards(facility, staffing, quality):
     return cards.agg(*[F.max(n).alias(n) for n in names])
 
 
+#: Log of the number of a sketch's cells; an estimate is off by about one in the root of that number.
+SKETCH_BITS = 12
+
+
+def facility_sketches(facility, by="STATE"):
+    """``STATE, FACILITIES``: a sketch of the facility numbers of each state, a few kilobytes each.
+
+    Save them once: the facilities of any states together are counted from their
+    sketches, without reading the states again or any other.
+    """
+    sketch = F.hll_sketch_agg("PROVNUM", F.lit(SKETCH_BITS)).alias("FACILITIES")
+    return facility.groupBy(by).agg(sketch)
+
+
+def estimated_facilities(sketches):
+    """One row: the number of different facilities in all the sketches, about."""
+    return sketches.agg(F.coalesce(
+        F.hll_sketch_estimate(F.hll_union_agg("FACILITIES")), F.lit(0).cast("long")).alias("TOTAL_FACILITIES"))
+
+
 def hours_by_staff_type(staffing):
     measures = {s: _total(f"{s}_HOURS") for s in S.STAFF_TYPES}
     return aggregates_as_rows(staffing, measures, "STAFF_TYPE", "HOURS")
@@ -102,6 +122,11 @@ def top_volume(volume, k=10):
     return top_k(volume, "TOTAL_PATIENT_DAYS", k)
 
 
+def state_tops(table, metric, k=10):
+    """The top list of every state at once."""
+    return top_k_of_each(table, metric, "STATE", k)
+
+
 def mean_nurse_ratio(staffing):
     """Mean monthly ratio per facility; rows with a null key take no part."""
     rows = staffing.dropna(subset=["NURSE_TO_PATIENT_RATIO", *S.FACILITY_KEYS])

@@ -33,15 +33,29 @@ def file_manifest(spark, root, pattern=CSV_FILES):
     )
 
 
+def manifest_changes(before, now):
+    """What has happened between two listings: ``relative_path, change`` and length and time of both.
+
+    ``change`` is ``new``, ``gone`` or ``changed``; a file that has the same length
+    and time in both is left out. The listings meet by path in one full join.
+    """
+    old, new = (listing.select("relative_path", *(F.col(c).alias(f"{side}_{c}") for c in ("length", "modification_time")))
+                for side, listing in (("old", before), ("new", now)))
+    same = (F.col("old_length") == F.col("new_length")) & (F.col("old_modification_time") == F.col("new_modification_time"))
+    change = F.when(F.col("old_length").isNull(), "new").when(F.col("new_length").isNull(), "gone").when(~same, "changed")
+    return old.join(new, "relative_path", "full").withColumn("change", change).where("change is not null")
+
+
 def _below(root):
     """The part of a listed path that stands for ``root``, without its scheme."""
     return posixpath.normpath(re.sub(r"^[A-Za-z][\w+.-]*:/*", "/", root)) + "/"
 
 
-def first_lines(spark, root, pattern=CSV_FILES):
-    """``relative_path, first_line`` of every file below ``root`` that has a line."""
+def first_lines(spark, root, pattern=CSV_FILES, paths=None):
+    """``relative_path, first_line`` of every file below ``root``, or of the named ones, that has a line."""
+    where = root if paths is None else [f"{root.rstrip('/')}/{literal_path(p)}" for p in paths]
     lines = (
-        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(root)
+        spark.read.option("pathGlobFilter", pattern).option("recursiveFileLookup", "true").text(where)
         .select("value", F.col("_metadata.file_path").alias("path"),
                 F.col("_metadata.file_block_start").alias("start"),
                 F.monotonically_increasing_id().alias("row"))
@@ -59,6 +73,45 @@ def _relative(path, root):
     return F.when(start > 0, below).otherwise(F.element_at(F.split(path, "/"), -1))
 
 
+def layouts(spark, root, pattern=CSV_FILES, paths=None):
+    """The files below ``root``, or the named ones, as a list of lists: those of one header together.
+
+    Their paths come to the driver, nothing else. An empty file has no header and
+    is left out.
+    """
+    grouped = first_lines(spark, root, pattern, paths).groupBy("first_line").agg(
+        F.sort_array(F.collect_list("relative_path")).alias("paths"))
+    return sorted(r.paths for r in grouped.collect())
+
+
+def read_layouts(spark, root, pattern=CSV_FILES, paths=None, unfit=None):
+    """Headered CSV files whose headers differ in order or in columns, as one table with lineage columns.
+
+    Files of one header are read by that header; the layouts meet by name. A
+    column that a layout does not have is null in its rows, and the columns of the
+    first file come first. None if there is no file with a header.
+    """
+    made = None
+    for group in layouts(spark, root, pattern, paths):
+        where = [f"{root.rstrip('/')}/{literal_path(p)}" for p in group]
+        part = with_lineage(read_csv(spark, where, unfit=unfit), root)
+        made = part if made is None else made.unionByName(part, allowMissingColumns=True)
+    return made
+
+
+def layout_report(spark, root, pattern=CSV_FILES):
+    """One row for each layout and column of any: ``layout, n_files, column_name, position``.
+
+    Layouts are numbered from 1 by their first file; ``position`` counts from 1 and
+    is null where the layout does not have the column.
+    """
+    found = [(len(g), read_csv(spark, f"{root.rstrip('/')}/{literal_path(g[0])}").columns) for g in layouts(spark, root, pattern)]
+    names = list(dict.fromkeys(name for _, columns in found for name in columns))
+    rows = [(number, n, name, columns.index(name) + 1 if name in columns else None)
+            for number, (n, columns) in enumerate(found, start=1) for name in names]
+    return spark.createDataFrame(rows, "layout int, n_files int, column_name string, position int")
+
+
 def literal_path(path):
     """The path with glob characters escaped."""
     return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
