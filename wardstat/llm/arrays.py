@@ -41,7 +41,7 @@ def mapped(path, rows, kinds, extra):
 
 
 class SortedTable:
-    """Sorted arrays over several files in ascending ranges; ``files`` are (path, rows, first key, extra bytes)."""
+    """Sorted arrays over several files in ascending ranges; ``files`` begin with path, rows, first key, extra bytes."""
 
     def __init__(self, files, kinds):
         self.files = sorted((f for f in files if f[1]), key=lambda f: f[2])
@@ -58,7 +58,7 @@ class SortedTable:
         values = [np.zeros(len(keys), self.kinds[i]) for i in wanted]
         bounds = np.append(np.searchsorted(keys, self.firsts), len(keys))
         for i in np.flatnonzero(np.diff(bounds)):
-            path, rows, _, extra = self.files[i]
+            path, rows, _, extra, *_ = self.files[i]
             arrays, _ = mapped(path, rows, self.kinds, extra)
             some = keys[bounds[i]:bounds[i + 1]]
             at = np.minimum(np.searchsorted(arrays[0], some), rows - 1)
@@ -67,3 +67,13 @@ class SortedTable:
             for value, k in zip(values, wanted):
                 value[bounds[i] + hit] = arrays[k][at[hit]]
         return place, values
+
+    def at(self, places, wanted=0):
+        """The values of an array at places in any order."""
+        made = np.zeros(len(places), self.kinds[wanted])
+        file = np.searchsorted(self.before, places, "right") - 1
+        for i in np.unique(file):
+            path, rows, _, extra, *_ = self.files[i]
+            some = np.flatnonzero(file == i)
+            made[some] = mapped(path, rows, self.kinds, extra)[0][wanted][places[some] - self.before[i]]
+        return made

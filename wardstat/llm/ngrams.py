@@ -1,12 +1,15 @@
-"""Interpolated modified Kneser-Ney bigram model, counted in Spark, scored from memory-mapped files.
+"""Interpolated modified Kneser-Ney n-gram model, counted in Spark, scored from memory-mapped files.
 
 Words are 64-bit hashes. The vocabulary is a sorted array of hashes over several
-files, and a word's number is its place in it. A bigram is one number of two word
-numbers; its counts are combined for each block of text, ranged over the cluster
-by that number, and end as sorted arrays with one count each. Statistics of words
-as contexts and as continuations are sorted arrays too. Workers map the files of
-the shared folder into memory and look up the sorted distinct bigrams of a block
-of texts, so a model may be far larger than a worker.
+files, and a word's number is its place in it. An n-gram is one number too: the
+place of all its words but the last among the shorter n-grams, and its last word's
+number. So each level is a sorted array of exact keys, and the n-grams after one
+context lie together. Counts are combined for each block of text and dealt by key
+to files of bounded size; where a key belongs follows from the counts of the level
+before, so no pass over the texts is spent on finding ranges. Statistics of
+n-grams as contexts and as continuations are sorted arrays as well. Workers map
+the files of the shared folder into memory and look up the sorted distinct n-grams
+of a block of texts, so a model may be far larger than a worker.
 """
 
 from __future__ import annotations
@@ -21,10 +24,12 @@ from wardstat.llm.blocks import crc_fold, saved, slices, trimmed
 from wardstat.llm.words import word_cells
 from wardstat.session import scratch_path
 
-#: Text counted or scored together, and training tokens for each file of bigrams.
-BLOCK_BYTES = 16 << 20
+#: Words in an n-gram. Text counted and scored together, and training tokens for each file of n-grams.
+ORDER = 2
+COUNT_BYTES = 16 << 20
+SCORE_BYTES = 4 << 20
 FILE_TOKENS = 4_000_000
-MOST = 255  # larger counts of a bigram are kept in a list of their own
+MOST = 255  # larger counts of an n-gram are kept in a list of their own
 # No word holds white space, so these are no words.
 END, START = b" ", b"\n"
 
@@ -36,8 +41,8 @@ def word_hash(word):
 END_HASH = int(word_hash(END))
 
 
-class Bigrams(SortedTable):
-    """Counts of bigrams, a byte each; those of ``MOST`` or more are in the extra part."""
+class Grams(SortedTable):
+    """Counts of n-grams, a byte each; those of ``MOST`` or more are in the extra part."""
 
     def __init__(self, files):
         super().__init__(files, ("<i8", "u1"))
@@ -51,10 +56,10 @@ class Bigrams(SortedTable):
         return count
 
 
-def _blocks(batches):
+def _blocks(batches, limit):
     """Ids, words of each text, codes and distinct words' hashes of blocks of text."""
     for batch in batches:
-        for part, texts in slices(batch, "text", BLOCK_BYTES):
+        for part, texts in slices(batch, "text", limit):
             counts, cells = word_cells(texts)
             hashes = np.fromiter((xxhash.xxh64_intdigest(w, 42) for w in cells.dictionary.to_pylist()),
                                  np.uint64, len(cells.dictionary)).view(np.int64)
@@ -70,26 +75,47 @@ def _lookup(table, hashes, wanted=()):
     return place[back], [v[back] for v in values]
 
 
-def _pairs(counts, numbers, start, end):
-    """Context and word of every token, the end of each text included; texts one after the other."""
+def _padded(counts, codes, start, end, order):
+    """The words of all texts in a row, ``order - 1`` starts before each and an end after it, and places of the tokens."""
     ends = np.cumsum(counts)
-    words = np.insert(numbers, ends, end)
-    contexts = np.insert(numbers, ends - counts, start)
-    return contexts, words
+    at = np.repeat((ends - counts)[:, None], order, axis=1)
+    at[:, -1] = ends
+    words = np.insert(codes, at.ravel(), np.tile([start] * (order - 1) + [end], len(counts)))
+    place = np.arange(len(words)) - np.repeat(np.cumsum(counts + order) - counts - order, counts + order)
+    return words, place
 
 
-def _written(df, folder, columns, kinds):
-    """Write a table's sorted columns as one file for each partition; the files for ``SortedTable``."""
+def _after(place, number, size):
+    """Keys of n-grams: the place of the n-gram that ends one word before, and the word; -1 if one is unknown."""
+    before = np.concatenate([[-1], place[:-1]])
+    return np.where((before < 0) | (number < 0), -1, before * (size + 1) + number)
+
+
+def _written(df, folder, columns, kinds, summed=None):
+    """Write a table's sorted columns as one file for each partition; the files for ``SortedTable``.
+
+    The column ``summed`` is replaced by the sums before each row of a file.
+    """
     def run(batches):
         held = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
         if held:
             whole = pa.concat_tables(held)
             arrays = [whole.column(c).to_numpy().astype(k) for c, k in zip(columns, kinds)]
+            mass = 0
+            if summed is not None:
+                sums = np.cumsum(arrays[summed])
+                arrays[summed], mass = sums - arrays[summed], int(sums[-1])
             yield pa.RecordBatch.from_pylist([{
-                "path": write_arrays(folder, arrays), "n_rows": len(arrays[0]), "first": int(arrays[0][0])}])
+                "path": write_arrays(folder, arrays), "n_rows": len(arrays[0]), "first": int(arrays[0][0]), "mass": mass}])
 
-    made = saved(df.select(*columns).mapInArrow(trimmed(run), "path string, n_rows long, first long"), "array-files")
-    return [(r.path, r.n_rows, r.first, 0) for r in made.collect()]
+    made = saved(df.select(*dict.fromkeys(columns)).mapInArrow(
+        trimmed(run), "path string, n_rows long, first long, mass long"), "array-files")
+    return [(r.path, r.n_rows, r.first, 0, r.mass) for r in made.collect()]
+
+
+def _bases(table):
+    """Tokens in the files before each file."""
+    return np.concatenate([[0], np.cumsum([f[4] for f in table.files])])
 
 
 def discounts(n):
@@ -101,126 +127,260 @@ def discounts(n):
     return tuple(min(max(d, 0.0), k) if d > 0 else 0.5 * k for k, d in zip((1, 2, 3), made))
 
 
+class Level:
+    """N-grams of one length: their keys, and the statistics of each, by its place, as context and as continuation."""
+
+    def __init__(self, keys):
+        self.keys, self.stats, self.discount = keys, None, (0.5, 1.0, 1.5)
+
+    def found(self, keys):
+        """Places of sorted keys."""
+        return self.keys.find(keys)[0]
+
+    def about(self, places, wanted):
+        """Statistics of places in any order; 0 for -1."""
+        distinct, inverse = np.unique(places, return_inverse=True)
+        return [x[inverse].astype(np.float64) for x in self.stats.find(distinct, wanted)[1]]
+
+
+NAMES = ("total", "once", "twice", "more", "continued")
+STATS = ", ".join(["id long", *(f"{c} long" for c in NAMES)])
+
+
+def _stat_rows(ids, continued, contexts, n):
+    """Arrow rows of statistics: for n-grams that continue something, and for the sorted contexts of counts ``n``."""
+    begin = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])) if len(contexts) else np.zeros(0, np.int64)
+    sums = [np.add.reduceat(x.astype(np.int64), begin) if len(begin) else begin for x in (n, n == 1, n == 2, n > 2)]
+    none = np.zeros(len(ids), np.int64)
+    return pa.RecordBatch.from_arrays([
+        pa.array(np.append(contexts[begin], ids)), *(pa.array(np.append(s, none)) for s in sums),
+        pa.array(np.append(np.zeros(len(begin), np.int64), continued))], names=["id", *NAMES])
+
+
 class Model:
-    """What a worker needs to score: the tables of sorted arrays and a few numbers."""
+    """What a worker needs to score: the levels of sorted arrays, the longest n-grams' counts and a few numbers."""
 
-    def __init__(self, words, stats, bigrams, n_tokens, pair, single):
-        self.words, self.stats, self.bigrams = words, stats, bigrams
-        self.n_tokens, self.pair = n_tokens, pair
-        discount, types, counts = single
-        self.single, self.types = discount, types
-        self.spread = sum(d * n for d, n in zip(discount, counts)) / types if types else 1.0
+    def __init__(self, words, order):
+        self.words, self.order = words, order
+        self.levels = {1: Level(None)}
+        self.grams, self.discount, self.n_tokens = None, None, 0
+        self.types, self.spread = 0, 1.0
 
     @property
     def size(self):
         return len(self.words)
 
+    def suffix(self, length, places):
+        """Place of the n-gram without its first word, for n-grams of two words or more."""
+        key = self.levels[length].keys.at(places)
+        word = key % (self.size + 1)
+        if length == 2:
+            return word
+        before, inverse = np.unique(key // (self.size + 1), return_inverse=True)
+        return self.suffix_of(length, self.suffix(length - 1, before)[inverse], word)
+
+    def suffix_of(self, length, before, word):
+        """The same, from the place of the words between the first and the last, and the last."""
+        if length == 2:
+            return word
+        distinct, inverse = np.unique(before * (self.size + 1) + word, return_inverse=True)
+        return self.levels[length - 1].found(distinct)[inverse]
+
+    def numbers(self, hashes):
+        """Numbers and counts of a block's distinct words, the end and the start after them."""
+        number, (seen,) = _lookup(self.words, np.append(hashes, END_HASH), (2,))
+        return np.append(number, self.size), np.append(seen, 0)
+
+    def keys(self, number, length):
+        """Keys of the n-grams of a length that end at each word of a block."""
+        place = number
+        for k in range(2, length + 1):
+            key = _after(place, number, self.size)
+            if k < length:
+                distinct, inverse = np.unique(key, return_inverse=True)
+                place = self.levels[k].found(distinct)[inverse]
+        return key
+
     @staticmethod
     def discounted(count, discount):
-        cut = np.array([0.0, *discount])[np.minimum(count, 3)]
+        cut = np.array([0.0, *discount])[np.minimum(count, 3).astype(np.int64)]
         return np.maximum(count - cut, 0)
 
-    def lower(self, continuations):
-        """Probability of words by the number of different words that they follow."""
-        own = self.discounted(continuations, self.single) / max(1, self.types)
-        return own + self.spread / (self.size + 1)
-
     def score(self, counts, codes, hashes):
         """Tokens, known tokens, base score and score of each text of a block."""
-        hashes = np.append(hashes, END_HASH)
-        number, (seen,) = _lookup(self.words, hashes, (1,))
-        start, end = self.size, len(hashes) - 1
-        place, stat = _lookup(self.stats, np.append(number, start), range(1, 6))
-        total, once, twice, more, continuations = (x.astype(np.float64) for x in stat)
-        weight = (self.pair[0] * once + self.pair[1] * twice + self.pair[2] * more)
-        gamma = np.divide(weight, total, out=np.ones_like(total), where=total > 0)
-        lower = self.lower(stat[4][:-1])
-        contexts, words = _pairs(counts, codes, len(hashes), end)
-        known = np.append(number, start)
-        key = known[contexts] * (self.size + 1) + number[words]
-        # -1 is no bigram; any other may be one.
-        key[(known[contexts] < 0) | (number[words] < 0)] = -1
-        distinct, inverse = np.unique(key, return_inverse=True)
-        found = self.bigrams.counts(distinct)
-        count = found[inverse]
-        top = self.discounted(count, self.pair)
-        p = np.divide(top, total[contexts], out=np.zeros(len(top)), where=total[contexts] > 0)
-        p += gamma[contexts] * lower[words]
-        base = np.log10((seen + 0.5) / (self.n_tokens + 0.5 * (self.size + 1)))[words]
+        numbers, seen = self.numbers(hashes)
+        words, inside = _padded(counts, codes, len(hashes) + 1, len(hashes), self.order)
+        number = numbers[words]
+        continued, = self.levels[1].about(numbers, (5,))
+        p = (self.discounted(continued, self.levels[1].discount) / max(1, self.types) + self.spread / (self.size + 1))[words]
+        place = number
+        for k in range(2, self.order + 1):
+            context = np.concatenate([[-1], place[:-1]])
+            total, once, twice, more = self.levels[k - 1].about(context, range(1, 5))
+            distinct, inverse = np.unique(_after(place, number, self.size), return_inverse=True)
+            if k < self.order:
+                found = self.levels[k].found(distinct)
+                count, place = self.levels[k].about(found, (5,))[0][inverse], found[inverse]
+                discount = self.levels[k].discount
+            else:
+                count, discount = self.grams.counts(distinct)[inverse], self.discount
+            some = total > 0
+            weight = np.where(some, discount[0] * once + discount[1] * twice + discount[2] * more, 1.0)
+            total = np.where(some, total, 1.0)
+            p = np.where(some, self.discounted(count, discount), 0) / total + weight / total * p
+        tokens = inside >= self.order - 1
+        base = np.log10((seen + 0.5) / (self.n_tokens + 0.5 * (self.size + 1)))[words][tokens]
         first = np.cumsum(counts + 1) - counts - 1
-        return (counts + 1, np.add.reduceat((seen > 0)[words].astype(np.int64), first),
-                np.add.reduceat(base, first), np.add.reduceat(np.log10(p), first))
+        return (counts + 1, np.add.reduceat((seen > 0)[words][tokens].astype(np.int64), first),
+                np.add.reduceat(base, first), np.add.reduceat(np.log10(p[tokens]), first))
+
 
+def _counted(texts, model, length, masses, n_files, folder):
+    """Files of the n-grams of a length and their counts, and the statistics that those of the longest give.
+
+    A key's file follows from the tokens in contexts before its own, so a file
+    holds at most ``FILE_TOKENS`` rows and one more for each block.
+    """
+    size, last = model.size, length == model.order
+
+    def count(batches):
+        for _, counts, codes, hashes in _blocks(batches, COUNT_BYTES):
+            numbers, _ = model.numbers(hashes)
+            words, inside = _padded(counts, codes, len(hashes) + 1, len(hashes), model.order)
+            key = model.keys(numbers[words], length)
+            keys, n = np.unique(key[inside >= length - 1], return_counts=True)
+            context, place = np.unique(keys // (size + 1), return_inverse=True)
+            before, own = masses(context)
+            at = before[place] + own[place] * ((keys % (size + 1)) / (size + 1))
+            part = np.minimum(at // FILE_TOKENS, n_files - 1).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys), pa.array(n.astype(np.int32))],
+                                             names=["part", "key", "n"])
+
+    def write(batches):
+        held = [(np.asarray(b.column(1)), np.asarray(b.column(2))) for b in batches if b.num_rows]
+        if not held:
+            return
+        keys, n = (np.concatenate(x) for x in zip(*held))
+        del held
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        keys, n = keys[first], np.add.reduceat(n.astype(np.int64), first)
+        if last:
+            large = n >= MOST
+            extra = np.concatenate([keys[large], n[large]]).astype("<i8").tobytes()
+            path = write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)
+            context = keys // (size + 1)
+            begin, inverse = np.unique(context, return_inverse=True)
+            before = model.suffix(length - 1, begin)[inverse] if length > 2 else None
+            ids, continued = np.unique(model.suffix_of(length, before, keys % (size + 1)), return_counts=True)
+            rows = _stat_rows(ids, continued, context, n)
+        else:  # the tokens before each n-gram say where the longer ones after it belong
+            extra = b""
+            path = write_arrays(folder, [keys.astype("<i8"), (np.cumsum(n) - n).astype("<i8"), n.astype("<i8")])
+            rows = _stat_rows(keys[:0], n[:0], keys[:0], n[:0])
+        for name in FILE[1:]:
+            rows = rows.append_column(name, pa.nulls(rows.num_rows, FILE_KINDS[name]))
+        yield rows
+        yield pa.RecordBatch.from_pylist([{
+            "id": -1 - int(keys[0]), "total": len(keys), "once": int((n == 1).sum()), "twice": int((n == 2).sum()),
+            "more": int((n == 3).sum()), "continued": int((n == 4).sum()), "path": path, "extra": len(extra),
+            "mass": int(n.sum())}], schema=rows.schema)
 
-def train(docs, text_col="text"):
+    rows = (texts.mapInArrow(trimmed(count), "part int, key long, n int").repartitionById(n_files, "part").select("part", "key", "n")
+            .mapInArrow(trimmed(write), f"{STATS}, path string, extra long, mass long"))
+    sums = rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in NAMES), *(F.max(c).alias(c) for c in FILE[1:]))
+    return saved(sums, f"stats-{length}")
+
+
+FILE = ("id", "path", "extra", "mass")
+FILE_KINDS = {"path": pa.string(), "extra": pa.int64(), "mass": pa.int64()}
+
+
+def _levelled(model, rows, length, folder):
+    """Take a level's statistics in, and hand on those that it gives the level before."""
+    level, size, kinds = model.levels[length], model.size, ("<i8",) * 6
+    kept = rows.where("id >= 0").select("id", *NAMES)
+    level.stats = SortedTable(_written(
+        kept.repartitionByRange("id").sortWithinPartitions("id"), folder, ("id", *NAMES), kinds), kinds)
+    # The start is a context only: it continues nothing.
+    counts = kept.where(F.col("id") != size) if length == 1 else kept
+    once, twice, thrice, four, more, types = counts.agg(
+        *(F.count_if(F.col("continued") == k) for k in (1, 2, 3, 4)), F.count_if(F.col("continued") > 2),
+        F.coalesce(F.sum("continued"), F.lit(0))).first()
+    level.discount = discounts([once, twice, thrice, four])
+    if length == 1:
+        model.types = types
+        model.spread = sum(d * n for d, n in zip(level.discount, (once, twice, more))) / types if types else 1.0
+        return None
+
+    def run(batches):
+        for batch in batches:
+            ids, n = (np.asarray(batch.column(i)).astype(np.int64) for i in range(2))
+            order = np.argsort(ids)
+            ids, n = ids[order], n[order]
+            key = level.keys.at(ids)
+            words, continued = np.unique(model.suffix(length, ids), return_counts=True)
+            yield _stat_rows(words, continued, key // (size + 1), n)
+
+    made = kept.where("continued > 0").select("id", "continued").mapInArrow(trimmed(run), STATS)
+    return saved(made.groupBy("id").agg(*(F.sum(c).alias(c) for c in NAMES)), f"stats-{length - 1}")
+
+
+class Mass:
+    """Tokens in the contexts before each context, and in it; contexts by place."""
+
+    def __init__(self, table, bases, start):
+        self.table, self.bases, self.start = table, np.array(bases, np.float64), start
+
+    def __call__(self, places):
+        own, before = np.zeros(len(places)), np.zeros(len(places))
+        known = places < len(self.table)
+        if self.start is not None:  # the start is no word of the table, it comes last
+            before[~known], own[~known] = self.start
+        file = np.searchsorted(self.table.before, places[known], "right") - 1
+        before[known] = self.bases[file] + self.table.at(places[known], 1)
+        own[known] = self.table.at(places[known], 2)
+        return before, own
+
+
+def train(docs, text_col="text", order=ORDER):
     """The model of all texts of a table. Null texts count as empty: an end alone."""
     spark = docs.sparkSession
     folder = scratch_path(spark, "ngrams")
     texts = docs.select(F.lit(0).alias("row"), F.col(text_col).cast("string").alias("text"))
 
     def count_words(batches):
-        for _, counts, codes, hashes in _blocks(batches):
+        for _, counts, codes, hashes in _blocks(batches, COUNT_BYTES):
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.append(hashes, END_HASH)),
                 pa.array(np.append(np.bincount(codes, minlength=len(hashes)), len(counts)))], names=["word", "n"])
 
     counted = saved(texts.mapInArrow(trimmed(count_words), "word long, n long").groupBy("word").agg(F.sum("n").alias("n")),
                     "word-counts")
-    n_tokens = counted.agg(F.sum("n")).first()[0] or 0
-    words = SortedTable(_written(
-        counted.repartitionByRange("word").sortWithinPartitions("word"), folder, ("word", "n"), ("<i8", "<i8")),
-        ("<i8", "<i8"))
-    size = len(words)
-
-    def count_pairs(batches):
-        for _, counts, codes, hashes in _blocks(batches):
-            number, _ = _lookup(words, np.append(hashes, END_HASH))
-            contexts, ends = _pairs(counts, number[codes], size, number[-1])
-            keys, n = np.unique(contexts * (size + 1) + ends, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n.astype(np.int32))], names=["key", "n"])
-
-    def write_pairs(batches):
-        """One file for each range; then a row for each word as context and as continuation, one for the file."""
-        held = [(np.asarray(b.column(0)), np.asarray(b.column(1))) for b in batches if b.num_rows]
-        if not held:
-            return
-        keys, n = (np.concatenate(x) for x in zip(*held))
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        keys, n = keys[first], np.add.reduceat(n.astype(np.int64), first)
-        large = n >= MOST
-        extra = np.concatenate([keys[large], n[large]]).astype("<i8").tobytes()
-        path = write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)
-        begin = np.flatnonzero(np.append(True, keys[1:] // (size + 1) != keys[:-1] // (size + 1)))
-        sums = [np.add.reduceat(x.astype(np.int64), begin) for x in (n, n == 1, n == 2, n > 2)]
-        after, continued = np.unique(keys % (size + 1), return_counts=True)
-        none = np.zeros(len(after), np.int64)
-        yield pa.RecordBatch.from_arrays([
-            pa.array(np.append(keys[begin] // (size + 1), after)),
-            *(pa.array(np.append(s, none)) for s in sums),
-            pa.array(np.append(np.zeros(len(begin), np.int64), continued)),
-            pa.nulls(len(begin) + len(after), pa.string())],
-            names=["id", "total", "once", "twice", "more", "continued", "path"])
-        yield pa.RecordBatch.from_pylist([{
-            "id": -1 - int(keys[0]), "total": len(keys), "once": int((n == 1).sum()), "twice": int((n == 2).sum()),
-            "more": int((n == 3).sum()), "continued": int((n == 4).sum()), "path": f"{len(extra)} {path}"}])
-
-    files = max(8, -(-n_tokens // FILE_TOKENS))
-    rows = (texts.mapInArrow(trimmed(count_pairs), "key long, n int").repartitionByRange(files, "key")
-            .sortWithinPartitions("key").mapInArrow(trimmed(write_pairs), "id long, total long, once long, twice long, more long, continued long, path string"))
-    names = ("total", "once", "twice", "more", "continued")
-    stats = saved(rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in names), F.max("path").alias("path")), "stats")
-    made = stats.where("id < 0").collect()  # one row for each file
-    bigrams = Bigrams([(r.path.split(" ", 1)[1], r.total, -1 - r.id, int(r.path.split(" ", 1)[0])) for r in made])
-    pair = discounts([sum(r[c] for r in made) for c in names[1:]])
-    # The start is a context only: it continues nothing.
-    once, twice, thrice, four, more, types = stats.where("id >= 0").agg(
-        *(F.count_if(F.col("continued") == k) for k in (1, 2, 3, 4)), F.count_if(F.col("continued") > 2),
-        F.coalesce(F.sum("continued"), F.lit(0))).first()
-    kinds = ("<i8",) * 6
-    table = SortedTable(_written(
-        stats.where("id >= 0").repartitionByRange("id").sortWithinPartitions("id"), folder, ("id", *names), kinds), kinds)
-    return Model(words, table, bigrams, n_tokens, pair,
-                 (discounts([once, twice, thrice, four]), types, (once, twice, more)))
+    n_tokens, n_texts = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(
+        F.max(F.when(F.col("word") == END_HASH, F.col("n"))), F.lit(0))).first()
+    kinds = ("<i8",) * 3
+    files = _written(counted.repartitionByRange("word").sortWithinPartitions("word"), folder, ("word", "n", "n"), kinds, summed=1)
+    table = SortedTable(files, kinds)
+    model = Model(table, order)
+    model.n_tokens = n_tokens
+    masses = Mass(table, _bases(table), (n_tokens, n_texts * (order - 1)))
+    total = n_tokens + n_texts * (order - 1)
+    for length in range(2, order + 1):
+        n_files = max(8, -(-total // FILE_TOKENS))
+        rows = _counted(texts, model, length, masses, n_files, folder)
+        made = rows.where("id < 0").collect()  # one row for each file
+        files = [(r.path, r.total, -1 - r.id, r.extra, r.mass) for r in made]
+        if length < order:
+            table = SortedTable(files, kinds)
+            model.levels[length] = Level(table)
+            masses = Mass(table, _bases(table), None)
+    model.grams = Grams([f[:4] for f in files])
+    model.discount = discounts([sum(r[c] for r in made) for c in NAMES[1:]])
+    for length in range(order - 1, 0, -1):
+        rows = _levelled(model, rows, length, folder)
+    return model
 
 
 SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
@@ -229,7 +389,7 @@ SCORES = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 def score(docs, model, id_col="doc_id", text_col="text", held_out=lambda doc_id: False):
     """Scores of every text, see ``perplexity_scores``."""
     def run(batches):
-        for ids, counts, codes, hashes in _blocks(batches):
+        for ids, counts, codes, hashes in _blocks(batches, SCORE_BYTES):
             made = model.score(counts, codes, hashes)
             yield pa.RecordBatch.from_arrays([
                 ids, pa.array([held_out(x) for x in ids.to_pylist()], pa.bool_()),
@@ -240,7 +400,7 @@ def score(docs, model, id_col="doc_id", text_col="text", held_out=lambda doc_id:
     return rows.mapInArrow(trimmed(run), SCORES)
 
 
-def perplexity_scores(docs, id_col="doc_id", text_col="text"):
+def perplexity_scores(docs, id_col="doc_id", text_col="text", order=ORDER):
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of every row.
 
     Learns from all rows whose crc32 of the id, modulo 5, is not 1 (the others are
@@ -252,5 +412,5 @@ def perplexity_scores(docs, id_col="doc_id", text_col="text"):
     are there. Other columns are not looked at.
     """
     rest = F.crc32(F.col(id_col).cast("string").cast("binary")) % 5
-    model = train(docs.where(F.coalesce(rest, F.lit(0)) != 1), text_col)
+    model = train(docs.where(F.coalesce(rest, F.lit(0)) != 1), text_col, order)
     return score(docs, model, id_col, text_col, lambda x: x is not None and crc_fold(x) == 1)
