@@ -96,6 +96,9 @@ def test_gone_files_and_new_providers(spark, start, tmp_path):
     L.refresh(spark, str(raw), lake)
     left = tables(spark, lake)
     assert left["staffing_metrics"] == [] and left["top_patient_volume"] == [] and len(left["facility_metrics"]) == 3
+    (raw / f"{S.PROVIDER}.csv").unlink()
+    L.refresh(spark, str(raw), lake)
+    assert not any(tables(spark, lake).values()) and L.read_silver(spark, lake, S.SURVEY_DATES).count() == 1
 
 
 def test_a_file_without_rows_is_landed_once(spark, start, tmp_path):

@@ -138,6 +138,9 @@ class _Refresh(Run):
             ratios = G.facility_mean_ratio(G.staffing_metrics(rollup))
             self._write("facility_metrics", G.facility_metrics(providers, ratios))
             self._write("quality_metrics", G.quality_metrics(providers))
+        else:  # no file of providers is left
+            for name in ("facility_metrics", "quality_metrics"):
+                self._replace(f"{GOLD}/{name}", lambda e: True, [])
         volume = G.patient_volume(rollup, census=G.CENSUS_DAYS)
         self._write("top_patient_volume", G.top_patient_volume(volume))
 
