@@ -96,12 +96,14 @@ def test_null_safe_sum(spark, either_mode):
     ([None, None], None),
     ([], None),
     ([0.004, 0.004], 0.004),
-    ([1e300, 1.0], 1.0),
-    ([math.inf, math.nan, 1.0], 1.0),
+    ([1e300, 1.0], 5e299),
+    ([math.inf, 1.0], math.inf),
+    ([math.inf, math.nan, 1.0], math.nan),
 ])
 def test_exact_mean(spark, either_mode, values, expected):
     df = spark.createDataFrame([(v,) for v in values], "a double")
-    assert df.agg(X.exact_mean("a")).first()[0] == expected
+    got = df.agg(X.exact_mean("a")).first()[0]
+    assert got == expected or math.isnan(got) and math.isnan(expected)
 
 
 def test_exact_mean_does_not_depend_on_order(spark):
