@@ -26,9 +26,9 @@ from wardstat.session import scratch_path
 
 #: Words in an n-gram. Text counted and scored together, and training tokens for each file of n-grams.
 ORDER = 2
-COUNT_BYTES = 16 << 20
-SCORE_BYTES = 4 << 20
-FILE_TOKENS = 4_000_000
+COUNT_BYTES = 8 << 20
+SCORE_BYTES = 8 << 20
+FILE_TOKENS = 2_000_000
 MOST = 255  # larger counts of an n-gram are kept in a list of their own
 # No word holds white space, so these are no words.
 END, START = b" ", b"\n"
