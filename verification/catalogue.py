@@ -188,8 +188,8 @@ def facility_sketches(spark, sf_dir):
     exact = [rows.agg(F.count_distinct("PROVNUM").alias("exact")).select(F.lit(name).alias("scope"), "exact")
              for name, rows in (("all", days), (STATE, D.in_state(days, STATE)))]
     both = parts[0].union(parts[1]).join(exact[0].union(exact[1]), "scope")
-    off = F.abs(F.col("TOTAL_FACILITIES") - F.col("exact")) / F.col("exact")
-    return both.select("scope", "exact", (off <= 0.05).alias("close"))
+    off = F.abs(F.col("TOTAL_FACILITIES") - F.col("exact"))
+    return both.select("scope", "exact", (off <= 0.05 * F.col("exact")).alias("close"))
 
 
 @query
