@@ -6,10 +6,12 @@ place of all its words but the last among the shorter n-grams, and its last word
 number. So each level is a sorted array of exact keys, and the n-grams after one
 context lie together. Counts are combined for each block of text and dealt by key
 to files of bounded size; where a key belongs follows from the counts of the level
-before, so no pass over the texts is spent on finding ranges. Statistics of
-n-grams as contexts and as continuations are sorted arrays as well. Workers map
-the files of the shared folder into memory and look up the sorted distinct n-grams
-of a block of texts, so a model may be far larger than a worker.
+before, so no pass over the texts is spent on finding ranges. What a block sends to
+one file is a single row: sorted keys as differences, their bytes in planes,
+compressed. Statistics of n-grams as contexts and as continuations travel the same
+way and are arrays by place. Workers map the files of the shared folder into memory
+and look up the sorted distinct n-grams of a block of texts, so a model may be far
+larger than a worker.
 """
 
 from __future__ import annotations
@@ -25,10 +27,11 @@ from wardstat.llm.words import word_cells
 from wardstat.session import scratch_path
 
 #: Words in an n-gram. Text counted and scored together, and training tokens for each file of n-grams.
-ORDER = 2
+ORDER = 3
 COUNT_BYTES = 8 << 20
 SCORE_BYTES = 8 << 20
 FILE_TOKENS = 2_000_000
+MERGED = 4_000_000  # rows that a task holds before it sums those of equal keys
 MOST = 255  # larger counts of an n-gram are kept in a list of their own
 # No word holds white space, so these are no words.
 END, START = b" ", b"\n"
@@ -41,6 +44,68 @@ def word_hash(word):
 END_HASH = int(word_hash(END))
 
 
+def starts_of(ordered):
+    """Where the runs of equal numbers begin."""
+    new = np.ones(len(ordered), bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    return np.flatnonzero(new)
+
+
+def pack(columns):
+    """Columns of numbers from 0, the first of them ascending, as bytes."""
+    columns = [np.diff(columns[0], prepend=0), *columns[1:]]
+    widths = [max(1, -(-int(c.max()).bit_length() // 8)) for c in columns]
+    planes = [np.ascontiguousarray(np.ascontiguousarray(c, "<i8").view("u1").reshape(-1, 8)[:, :w].T).tobytes()
+              for c, w in zip(columns, widths)]
+    return bytes(widths) + pa.compress(b"".join(planes), "zstd", asbytes=True)
+
+
+def unpack(data, rows, n_columns):
+    """The columns of ``pack``."""
+    widths = data[:n_columns]
+    planes = np.frombuffer(pa.decompress(data[n_columns:], rows * sum(widths), "zstd", asbytes=True), "u1")
+    columns, at = [], 0
+    for w in widths:
+        wide = np.zeros((rows, 8), "u1")
+        wide[:, :w] = planes[at:at + rows * w].reshape(w, rows).T
+        columns.append(wide.view("<i8").ravel())
+        at += rows * w
+    return [np.cumsum(columns[0]), *columns[1:]]
+
+
+def summed(parts):
+    """Distinct keys of several lists of columns, ascending, and the sums of the other columns."""
+    columns = [np.concatenate(c) for c in zip(*parts)]
+    order = np.argsort(columns[0], kind="stable")
+    keys = columns[0][order]
+    first = starts_of(keys)
+    return [keys[first], *(np.add.reduceat(c[order], first) if len(first) else c for c in columns[1:])]
+
+
+RUN = "part int, n long, run binary"
+
+
+def run_rows(part, columns):
+    """Rows of ``RUN`` for columns whose ascending first one goes to ascending parts."""
+    first = starts_of(part)
+    return [{"part": int(part[a]), "n": int(b - a), "run": pack([c[a:b] for c in columns])}
+            for a, b in zip(first, np.append(first[1:], len(part)))]
+
+
+def merged(batches, n_columns):
+    """``summed`` of the runs of a task's rows; memory is bounded by its distinct keys."""
+    held, size, due = [[np.zeros(0, np.int64)] * n_columns], 0, MERGED
+    for batch in batches:
+        for n, run in zip(batch.column("n").to_pylist(), batch.column("run")):
+            held.append(unpack(run.as_py(), n, n_columns))
+            size += n
+            if size >= due:
+                held = [summed(held)]
+                size = len(held[0][0])
+                due = max(MERGED, 2 * size)
+    return summed(held)
+
+
 class Grams(SortedTable):
     """Counts of n-grams, a byte each; those of ``MOST`` or more are in the extra part."""
 
@@ -113,11 +178,6 @@ def _written(df, folder, columns, kinds, summed=None):
     return [(r.path, r.n_rows, r.first, 0, r.mass) for r in made.collect()]
 
 
-def _bases(table):
-    """Tokens in the files before each file."""
-    return np.concatenate([[0], np.cumsum([f[4] for f in table.files])])
-
-
 def discounts(n):
     """The three discounts from the numbers of n-grams seen once to four times; 0.5 k where they say nothing."""
     if not (n[0] and n[1]):
@@ -127,34 +187,59 @@ def discounts(n):
     return tuple(min(max(d, 0.0), k) if d > 0 else 0.5 * k for k, d in zip((1, 2, 3), made))
 
 
+NAMES = ("total", "once", "twice", "more", "continued")
+
+
+class Stats:
+    """``NAMES`` of each n-gram of a length by its place; files of ``span`` places, in the smallest type that holds them."""
+
+    def __init__(self, span, files):
+        self.span, self.files = span, files
+
+    def find(self, places, wanted):
+        """Statistics of ascending places; 0 for -1."""
+        made = [np.zeros(len(places)) for _ in wanted]
+        file = places // self.span
+        first = starts_of(file)
+        for a, b in zip(first, np.append(first[1:], len(file))):
+            if int(file[a]) in self.files:
+                path, rows, kind = self.files[int(file[a])]
+                arrays = mapped(path, rows, (kind,) * len(NAMES), 0)[0]
+                inside = places[a:b] - file[a] * self.span
+                for m, k in zip(made, wanted):
+                    m[a:b] = arrays[NAMES.index(k)][inside]
+        return made
+
+
 class Level:
     """N-grams of one length: their keys, and the statistics of each, by its place, as context and as continuation."""
 
-    def __init__(self, keys):
+    def __init__(self, keys, places, n_files):
         self.keys, self.stats, self.discount = keys, None, (0.5, 1.0, 1.5)
+        self.places = places
+        self.span = max(1, -(-places // n_files))
 
     def found(self, keys):
         """Places of sorted keys."""
         return self.keys.find(keys)[0]
 
-    def about(self, places, wanted):
+    def about(self, places, *wanted):
         """Statistics of places in any order; 0 for -1."""
         distinct, inverse = np.unique(places, return_inverse=True)
-        return [x[inverse].astype(np.float64) for x in self.stats.find(distinct, wanted)[1]]
-
-
-NAMES = ("total", "once", "twice", "more", "continued")
-STATS = ", ".join(["id long", *(f"{c} long" for c in NAMES)])
+        return [x[inverse] for x in self.stats.find(distinct, wanted)]
 
+    def runs(self, contexts, n, suffixes):
+        """Rows of ``RUN`` with what n-grams one word longer say of this level.
 
-def _stat_rows(ids, continued, contexts, n):
-    """Arrow rows of statistics: for n-grams that continue something, and for the sorted contexts of counts ``n``."""
-    begin = np.flatnonzero(np.append(True, contexts[1:] != contexts[:-1])) if len(contexts) else np.zeros(0, np.int64)
-    sums = [np.add.reduceat(x.astype(np.int64), begin) if len(begin) else begin for x in (n, n == 1, n == 2, n > 2)]
-    none = np.zeros(len(ids), np.int64)
-    return pa.RecordBatch.from_arrays([
-        pa.array(np.append(contexts[begin], ids)), *(pa.array(np.append(s, none)) for s in sums),
-        pa.array(np.append(np.zeros(len(begin), np.int64), continued))], names=["id", *NAMES])
+        ``contexts`` are the ascending places of their words but the last, ``n`` their
+        counts, ``suffixes`` the places of their words but the first.
+        """
+        begin = starts_of(contexts)
+        sums = [np.add.reduceat(x.astype(np.int64), begin) if len(begin) else begin for x in (n, n == 1, n == 2, n > 2)]
+        ids, continued = np.unique(suffixes, return_counts=True)
+        none = [np.zeros(len(ids), np.int64)] * 4
+        columns = summed([[contexts[begin], *sums, np.zeros(len(begin), np.int64)], [ids, *none, continued]])
+        return run_rows(columns[0] // self.span, columns)
 
 
 class Model:
@@ -162,7 +247,7 @@ class Model:
 
     def __init__(self, words, order):
         self.words, self.order = words, order
-        self.levels = {1: Level(None)}
+        self.levels = {}
         self.grams, self.discount, self.n_tokens = None, None, 0
         self.types, self.spread = 0, 1.0
 
@@ -211,16 +296,16 @@ class Model:
         numbers, seen = self.numbers(hashes)
         words, inside = _padded(counts, codes, len(hashes) + 1, len(hashes), self.order)
         number = numbers[words]
-        continued, = self.levels[1].about(numbers, (5,))
+        continued, = self.levels[1].about(numbers, "continued")
         p = (self.discounted(continued, self.levels[1].discount) / max(1, self.types) + self.spread / (self.size + 1))[words]
         place = number
         for k in range(2, self.order + 1):
             context = np.concatenate([[-1], place[:-1]])
-            total, once, twice, more = self.levels[k - 1].about(context, range(1, 5))
+            total, once, twice, more = self.levels[k - 1].about(context, *NAMES[:4])
             distinct, inverse = np.unique(_after(place, number, self.size), return_inverse=True)
             if k < self.order:
                 found = self.levels[k].found(distinct)
-                count, place = self.levels[k].about(found, (5,))[0][inverse], found[inverse]
+                count, place = self.levels[k].about(found, "continued")[0][inverse], found[inverse]
                 discount = self.levels[k].discount
             else:
                 count, discount = self.grams.counts(distinct)[inverse], self.discount
@@ -235,6 +320,16 @@ class Model:
                 np.add.reduceat(base, first), np.add.reduceat(np.log10(p[tokens]), first))
 
 
+FILE = "path string, rows long, first long, extra long, mass long, once long, twice long, thrice long, four long, more long, types long"
+ROWS = pa.schema([("part", pa.int32()), ("n", pa.int64()), ("run", pa.binary()), ("path", pa.string()), *(
+    (c.split()[0], pa.int64()) for c in FILE.split(", ")[1:]), ("kind", pa.string())])
+
+
+def _kinds_of(n):
+    """How many n-grams have a count of one to four."""
+    return {c: int((n == k).sum()) for k, c in enumerate(("once", "twice", "thrice", "four"), 1)}
+
+
 def _counted(texts, model, length, masses, n_files, folder):
     """Files of the n-grams of a length and their counts, and the statistics that those of the longest give.
 
@@ -248,99 +343,101 @@ def _counted(texts, model, length, masses, n_files, folder):
             numbers, _ = model.numbers(hashes)
             words, inside = _padded(counts, codes, len(hashes) + 1, len(hashes), model.order)
             key = model.keys(numbers[words], length)
-            keys, n = np.unique(key[inside >= length - 1], return_counts=True)
-            context, place = np.unique(keys // (size + 1), return_inverse=True)
-            before, own = masses(context)
-            at = before[place] + own[place] * ((keys % (size + 1)) / (size + 1))
+            key = np.sort(key[inside >= length - 1])
+            first = starts_of(key)
+            keys, n = key[first], np.diff(np.append(first, len(key)))
+            above = keys // (size + 1)
+            begin = starts_of(above)
+            before, own = (np.repeat(x, np.diff(np.append(begin, len(above)))) for x in masses(above[begin]))
+            at = before + own * ((keys - above * (size + 1)) / (size + 1))
             part = np.minimum(at // FILE_TOKENS, n_files - 1).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(keys), pa.array(n.astype(np.int32))],
-                                             names=["part", "key", "n"])
+            yield pa.RecordBatch.from_pylist(run_rows(part, [keys, n]), schema=pa.schema(list(ROWS)[:3]))
 
     def write(batches):
-        held = [(np.asarray(b.column(1)), np.asarray(b.column(2))) for b in batches if b.num_rows]
-        if not held:
+        keys, n = merged(batches, 2)
+        if not len(keys):
             return
-        keys, n = (np.concatenate(x) for x in zip(*held))
-        del held
-        order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
-        first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-        keys, n = keys[first], np.add.reduceat(n.astype(np.int64), first)
+        about = {"rows": len(keys), "first": int(keys[0]), "mass": int(n.sum()), "extra": 0, **_kinds_of(n)}
         if last:
             large = n >= MOST
             extra = np.concatenate([keys[large], n[large]]).astype("<i8").tobytes()
-            path = write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)
+            about |= {"extra": len(extra),
+                      "path": write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)}
             context = keys // (size + 1)
-            begin, inverse = np.unique(context, return_inverse=True)
-            before = model.suffix(length - 1, begin)[inverse] if length > 2 else None
-            ids, continued = np.unique(model.suffix_of(length, before, keys % (size + 1)), return_counts=True)
-            rows = _stat_rows(ids, continued, context, n)
+            begin = starts_of(context)
+            before = None
+            if length > 2:
+                before = np.repeat(model.suffix(length - 1, context[begin]), np.diff(np.append(begin, len(context))))
+            suffixes = model.suffix_of(length, before, keys - context * (size + 1))
+            yield pa.RecordBatch.from_pylist(model.levels[length - 1].runs(context, n, suffixes), schema=ROWS)
         else:  # the tokens before each n-gram say where the longer ones after it belong
-            extra = b""
-            path = write_arrays(folder, [keys.astype("<i8"), (np.cumsum(n) - n).astype("<i8"), n.astype("<i8")])
-            rows = _stat_rows(keys[:0], n[:0], keys[:0], n[:0])
-        for name in FILE[1:]:
-            rows = rows.append_column(name, pa.nulls(rows.num_rows, FILE_KINDS[name]))
-        yield rows
-        yield pa.RecordBatch.from_pylist([{
-            "id": -1 - int(keys[0]), "total": len(keys), "once": int((n == 1).sum()), "twice": int((n == 2).sum()),
-            "more": int((n == 3).sum()), "continued": int((n == 4).sum()), "path": path, "extra": len(extra),
-            "mass": int(n.sum())}], schema=rows.schema)
-
-    rows = (texts.mapInArrow(trimmed(count), "part int, key long, n int").repartitionById(n_files, "part").select("part", "key", "n")
-            .mapInArrow(trimmed(write), f"{STATS}, path string, extra long, mass long"))
-    sums = rows.groupBy("id").agg(*(F.sum(c).alias(c) for c in NAMES), *(F.max(c).alias(c) for c in FILE[1:]))
-    return saved(sums, f"stats-{length}")
-
+            about["path"] = write_arrays(folder, [keys.astype("<i8"), (np.cumsum(n) - n).astype("<f4")])
+        yield pa.RecordBatch.from_pylist([about], schema=ROWS)
 
-FILE = ("id", "path", "extra", "mass")
-FILE_KINDS = {"path": pa.string(), "extra": pa.int64(), "mass": pa.int64()}
+    rows = texts.mapInArrow(trimmed(count), RUN).repartitionById(n_files, "part").select("n", "run")
+    return saved(rows.mapInArrow(trimmed(write), f"{RUN}, {FILE}, kind string"), f"grams-{length}")
 
 
-def _levelled(model, rows, length, folder):
+def _levelled(model, rows, length, n_files, folder):
     """Take a level's statistics in, and hand on those that it gives the level before."""
-    level, size, kinds = model.levels[length], model.size, ("<i8",) * 6
-    kept = rows.where("id >= 0").select("id", *NAMES)
-    level.stats = SortedTable(_written(
-        kept.repartitionByRange("id").sortWithinPartitions("id"), folder, ("id", *NAMES), kinds), kinds)
-    # The start is a context only: it continues nothing.
-    counts = kept.where(F.col("id") != size) if length == 1 else kept
-    once, twice, thrice, four, more, types = counts.agg(
-        *(F.count_if(F.col("continued") == k) for k in (1, 2, 3, 4)), F.count_if(F.col("continued") > 2),
-        F.coalesce(F.sum("continued"), F.lit(0))).first()
+    level, size = model.levels[length], model.size
+
+    def write(batches):
+        columns = merged(batches, 1 + len(NAMES))
+        ids, continued = columns[0], columns[-1]
+        if not len(ids):
+            return
+        part = int(ids[0]) // level.span
+        n_rows = min(level.span, level.places - part * level.span)
+        kind = next(k for k in ("<u1", "<u2", "<u4", "<i8") if max(c.max() for c in columns[1:]) <= np.iinfo(k).max)
+        arrays = np.zeros((len(NAMES), n_rows), kind)
+        arrays[:, ids - part * level.span] = columns[1:]
+        path = write_arrays(folder, [arrays])
+        # The start is a context only: it continues nothing.
+        n = continued[ids != size] if length == 1 else continued
+        yield pa.RecordBatch.from_pylist([{
+            "part": part, "path": path, "rows": n_rows, "kind": kind, **_kinds_of(n), "more": int((n > 2).sum()),
+            "types": int(n.sum())}], schema=ROWS)
+        if length > 1:
+            some = np.flatnonzero(continued)
+            ids, n = ids[some], continued[some]
+            runs = model.levels[length - 1].runs(level.keys.at(ids) // (size + 1), n, model.suffix(length, ids))
+            yield pa.RecordBatch.from_pylist(runs, schema=ROWS)
+
+    runs = rows.where("run IS NOT NULL").select(*(c.split()[0] for c in RUN.split(", ")))
+    made = saved(runs.repartitionById(n_files, "part").select("n", "run").mapInArrow(
+        trimmed(write), f"{RUN}, {FILE}, kind string"), f"stats-{length}")
+    files = made.where("path IS NOT NULL").drop("run").collect()  # one row for each file
+    level.stats = Stats(level.span, {r.part: (r.path, r.rows, r.kind) for r in files})
+    once, twice, thrice, four, more, types = (
+        sum(r[c] for r in files) for c in ("once", "twice", "thrice", "four", "more", "types"))
     level.discount = discounts([once, twice, thrice, four])
     if length == 1:
         model.types = types
         model.spread = sum(d * n for d, n in zip(level.discount, (once, twice, more))) / types if types else 1.0
-        return None
-
-    def run(batches):
-        for batch in batches:
-            ids, n = (np.asarray(batch.column(i)).astype(np.int64) for i in range(2))
-            order = np.argsort(ids)
-            ids, n = ids[order], n[order]
-            key = level.keys.at(ids)
-            words, continued = np.unique(model.suffix(length, ids), return_counts=True)
-            yield _stat_rows(words, continued, key // (size + 1), n)
-
-    made = kept.where("continued > 0").select("id", "continued").mapInArrow(trimmed(run), STATS)
-    return saved(made.groupBy("id").agg(*(F.sum(c).alias(c) for c in NAMES)), f"stats-{length - 1}")
+    return made
 
 
 class Mass:
     """Tokens in the contexts before each context, and in it; contexts by place."""
 
-    def __init__(self, table, bases, start):
-        self.table, self.bases, self.start = table, np.array(bases, np.float64), start
+    def __init__(self, table, start):
+        self.table, self.start = table, start
+        self.own = np.array([f[4] for f in table.files], np.float64)
+        self.bases = np.concatenate([[0], np.cumsum(self.own)])
 
     def __call__(self, places):
         own, before = np.zeros(len(places)), np.zeros(len(places))
         known = places < len(self.table)
         if self.start is not None:  # the start is no word of the table, it comes last
             before[~known], own[~known] = self.start
-        file = np.searchsorted(self.table.before, places[known], "right") - 1
-        before[known] = self.bases[file] + self.table.at(places[known], 1)
-        own[known] = self.table.at(places[known], 2)
+        at = places[known]
+        file = np.searchsorted(self.table.before, at, "right") - 1
+        end = self.own[file]
+        inside = np.minimum(self.table.at(at, 1), end)
+        final = at + 1 == self.table.before[file + 1]
+        after = np.where(final, end, np.minimum(self.table.at(np.where(final, at, at + 1), 1), end))
+        before[known], own[known] = self.bases[file] + inside, after - inside
         return before, own
 
 
@@ -365,21 +462,22 @@ def train(docs, text_col="text", order=ORDER):
     table = SortedTable(files, kinds)
     model = Model(table, order)
     model.n_tokens = n_tokens
-    masses = Mass(table, _bases(table), (n_tokens, n_texts * (order - 1)))
     total = n_tokens + n_texts * (order - 1)
+    n_files = max(8, -(-total // FILE_TOKENS))
+    masses = Mass(table, (n_tokens, n_texts * (order - 1)))
+    model.levels[1] = Level(None, len(table) + 1, n_files)  # the start comes after all words
     for length in range(2, order + 1):
-        n_files = max(8, -(-total // FILE_TOKENS))
         rows = _counted(texts, model, length, masses, n_files, folder)
-        made = rows.where("id < 0").collect()  # one row for each file
-        files = [(r.path, r.total, -1 - r.id, r.extra, r.mass) for r in made]
+        made = rows.where("path IS NOT NULL").drop("run").collect()  # one row for each file
+        files = [(r.path, r.rows, r.first, r.extra, r.mass) for r in made]
         if length < order:
-            table = SortedTable(files, kinds)
-            model.levels[length] = Level(table)
-            masses = Mass(table, _bases(table), None)
+            table = SortedTable(files, ("<i8", "<f4"))
+            masses = Mass(table, None)
+            model.levels[length] = Level(table, len(table), n_files)
     model.grams = Grams([f[:4] for f in files])
-    model.discount = discounts([sum(r[c] for r in made) for c in NAMES[1:]])
+    model.discount = discounts([sum(r[c] for r in made) for c in ("once", "twice", "thrice", "four")])
     for length in range(order - 1, 0, -1):
-        rows = _levelled(model, rows, length, folder)
+        rows = _levelled(model, rows, length, n_files, folder)
     return model
 
 

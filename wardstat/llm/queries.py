@@ -149,23 +149,29 @@ ORACLE = {
                 lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 5 = 1 AS held_out,
             list_append(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
                 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+'), ' ') AS w FROM documents, crc),
-        tokens AS (SELECT doc_id, held_out, unnest(w) AS w, unnest(list_prepend(chr(10), w[:-2])) AS v FROM d),
+        e AS (SELECT *, list_prepend(chr(10), w[:-2]) AS v FROM d),
+        tokens AS (SELECT doc_id, held_out, unnest(w) AS w, unnest(v) AS v, unnest(list_prepend(chr(10), v[:-2])) AS u FROM e),
         one AS (SELECT w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY w),
         total AS (SELECT coalesce(sum(c), 0)::BIGINT AS n, count(*) AS v FROM one),
-        two AS (SELECT v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY v, w),
+        three AS (SELECT u, v, w, count(*) AS c FROM tokens WHERE NOT held_out GROUP BY u, v, w),
+        two AS (SELECT v, w, count(*) AS k FROM three GROUP BY v, w),
         follow AS (SELECT w, count(*) AS k FROM two GROUP BY w),
-        high AS (SELECT {_cuts()} FROM (SELECT {_counts('c')} FROM two)),
+        high AS (SELECT {_cuts()} FROM (SELECT {_counts('c')} FROM three)),
+        mid AS (SELECT {_cuts()} FROM (SELECT {_counts('k')} FROM two)),
         low AS (SELECT {_cuts()} FROM (SELECT {_counts('k')} FROM follow)),
         spread AS (SELECT sum({_cut('k', 'low')}) / sum(k) AS s, sum(k) AS types FROM follow, low),
-        context AS (SELECT v, sum(c) AS c, sum({_cut('c', 'high')}) AS mass FROM two, high GROUP BY v),
+        pair AS (SELECT u, v, sum(c) AS c, sum({_cut('c', 'high')}) AS mass FROM three, high GROUP BY u, v),
+        single AS (SELECT v, sum(k) AS k, sum({_cut('k', 'mid')}) AS mass FROM two, mid GROUP BY v),
         chance AS (SELECT t.doc_id, t.held_out, one.c IS NOT NULL AS known,
                 log10((coalesce(one.c, 0) + 0.5) / (total.n + 0.5 * (total.v + 1))) AS base,
-                coalesce(greatest(two.c - {_cut('two.c', 'high')}, 0) / context.c, 0) + coalesce(context.mass / context.c, 1) * (
-                    coalesce(greatest(follow.k - {_cut('follow.k', 'low')}, 0) / spread.types, 0)
-                    + coalesce(spread.s, 1) / (total.v + 1)) AS p
-            FROM tokens t CROSS JOIN total CROSS JOIN high CROSS JOIN low CROSS JOIN spread
-            LEFT JOIN one USING (w) LEFT JOIN follow USING (w) LEFT JOIN context ON t.v = context.v
-            LEFT JOIN two ON t.v = two.v AND t.w = two.w)
+                coalesce(greatest(three.c - {_cut('three.c', 'high')}, 0) / pair.c, 0) + coalesce(pair.mass / pair.c, 1) * (
+                    coalesce(greatest(two.k - {_cut('two.k', 'mid')}, 0) / single.k, 0) + coalesce(single.mass / single.k, 1) * (
+                        coalesce(greatest(follow.k - {_cut('follow.k', 'low')}, 0) / spread.types, 0)
+                        + coalesce(spread.s, 1) / (total.v + 1))) AS p
+            FROM tokens t CROSS JOIN total CROSS JOIN high CROSS JOIN mid CROSS JOIN low CROSS JOIN spread
+            LEFT JOIN one USING (w) LEFT JOIN follow USING (w) LEFT JOIN single ON t.v = single.v
+            LEFT JOIN two ON t.v = two.v AND t.w = two.w LEFT JOIN pair ON t.u = pair.u AND t.v = pair.v
+            LEFT JOIN three ON t.u = three.u AND t.v = three.v AND t.w = three.w)
         SELECT doc_id, held_out, count(*) AS n_tokens, count(*) FILTER (known) AS n_known,
             (SELECT n FROM total) AS train_tokens, round(sum(base), 6) AS base_score, round(sum(log10(p)), 6) AS score
         FROM chance GROUP BY doc_id, held_out""",
