@@ -29,9 +29,9 @@ from wardstat.session import scratch_path
 #: Words in an n-gram. Text counted and scored together, and training tokens for each file of n-grams.
 ORDER = 3
 COUNT_BYTES = 8 << 20
-SCORE_BYTES = 8 << 20
-FILE_TOKENS = 2_000_000
-MERGED = 4_000_000  # rows that a task holds before it sums those of equal keys
+SCORE_BYTES = 4 << 20
+FILE_TOKENS = 1_000_000
+MERGED = 1_000_000  # rows that a task holds before it sums those of equal keys
 MOST = 255  # larger counts of an n-gram are kept in a list of their own
 # No word holds white space, so these are no words.
 END, START = b" ", b"\n"
@@ -228,6 +228,14 @@ class Level:
         distinct, inverse = np.unique(places, return_inverse=True)
         return [x[inverse] for x in self.stats.find(distinct, wanted)]
 
+    def contexts(self, places, discount):
+        """Tokens after each place, and what the discount takes from them; 1 and 1 where there are none."""
+        distinct, inverse = np.unique(places, return_inverse=True)
+        total, once, twice, more = self.stats.find(distinct, NAMES[:4])
+        some = total > 0
+        weight = np.where(some, discount[0] * once + discount[1] * twice + discount[2] * more, 1.0)
+        return np.where(some, total, 1.0)[inverse], weight[inverse]
+
     def runs(self, contexts, n, suffixes):
         """Rows of ``RUN`` with what n-grams one word longer say of this level.
 
@@ -237,9 +245,10 @@ class Level:
         begin = starts_of(contexts)
         sums = [np.add.reduceat(x.astype(np.int64), begin) if len(begin) else begin for x in (n, n == 1, n == 2, n > 2)]
         ids, continued = np.unique(suffixes, return_counts=True)
-        none = [np.zeros(len(ids), np.int64)] * 4
-        columns = summed([[contexts[begin], *sums, np.zeros(len(begin), np.int64)], [ids, *none, continued]])
-        return run_rows(columns[0] // self.span, columns)
+        none = [np.broadcast_to(0, len(ids))] * 4
+        above = contexts[begin]
+        return run_rows(above // self.span, [above, *sums, np.broadcast_to(0, len(above))]) \
+            + run_rows(ids // self.span, [ids, *none, continued])
 
 
 class Model:
@@ -300,19 +309,18 @@ class Model:
         p = (self.discounted(continued, self.levels[1].discount) / max(1, self.types) + self.spread / (self.size + 1))[words]
         place = number
         for k in range(2, self.order + 1):
-            context = np.concatenate([[-1], place[:-1]])
-            total, once, twice, more = self.levels[k - 1].about(context, *NAMES[:4])
+            before = np.concatenate([[-1], place[:-1]])
             distinct, inverse = np.unique(_after(place, number, self.size), return_inverse=True)
             if k < self.order:
                 found = self.levels[k].found(distinct)
-                count, place = self.levels[k].about(found, "continued")[0][inverse], found[inverse]
+                count, place = self.levels[k].about(found, "continued")[0], found[inverse]
                 discount = self.levels[k].discount
             else:
-                count, discount = self.grams.counts(distinct)[inverse], self.discount
-            some = total > 0
-            weight = np.where(some, discount[0] * once + discount[1] * twice + discount[2] * more, 1.0)
-            total = np.where(some, total, 1.0)
-            p = np.where(some, self.discounted(count, discount), 0) / total + weight / total * p
+                count, discount = self.grams.counts(distinct), self.discount
+            # An n-gram after a context without tokens has no count.
+            count = self.discounted(count, discount)[inverse]
+            total, weight = self.levels[k - 1].contexts(before, discount)
+            p = count / total + weight / total * p
         tokens = inside >= self.order - 1
         base = np.log10((seen + 0.5) / (self.n_tokens + 0.5 * (self.size + 1)))[words][tokens]
         first = np.cumsum(counts + 1) - counts - 1
