@@ -225,3 +225,21 @@ def test_frequent_ngrams_and_several_files(spark, monkeypatch, order):
     held = [(i, t) for i, t in odd_rows() if i is not None and fold(i) == 1][:3]
     only = spark.createDataFrame(held, "doc_id long, text string")
     assert {r.score for r in ngrams.perplexity_scores(only, order=order).collect()} == {0.0}
+
+
+def test_keys_in_halves(tmp_path):
+    """Keys whose upper halves differ, over several files."""
+    draw = np.random.default_rng(4)
+    keys = np.unique(np.concatenate([draw.integers(0, 1 << 62, 500), (7 << 32) + draw.integers(0, 1 << 32, 500), np.arange(50)]))
+    files = []
+    for part in np.array_split(keys, 3):
+        lower, extra = ngrams.halves(part)
+        path = ngrams.write_arrays(tmp_path.as_uri(), [lower, (part % 200).astype("u1")], extra.astype("<i8").tobytes())
+        files.append((path, len(part), int(part[0]), 8 * len(extra)))
+    table = ngrams.Keys(files, ("<u4", "u1"))
+    assert (table.keys_at(np.arange(len(keys))[::-1]) == keys[::-1]).all()
+    asked = np.unique(np.concatenate([[-1], keys[::2], keys + 1, keys ^ (1 << 33)]))
+    place, (value,) = table.find(asked, (1,))
+    known = {int(k): i for i, k in enumerate(keys)}
+    assert place.tolist() == [known.get(int(k), -1) for k in asked]
+    assert value.tolist() == [k % 200 if int(k) in known else 0 for k in asked.tolist()]

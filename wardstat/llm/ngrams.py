@@ -29,7 +29,7 @@ from wardstat.session import scratch_path
 #: Words in an n-gram. Text counted and scored together, and training tokens for each file of n-grams.
 ORDER = 3
 COUNT_BYTES = 8 << 20
-SCORE_BYTES = 4 << 20
+SCORE_BYTES = 8 << 20
 FILE_TOKENS = 1_000_000
 MERGED = 1_000_000  # rows that a task holds before it sums those of equal keys
 MOST = 255  # larger counts of an n-gram are kept in a list of their own
@@ -51,6 +51,73 @@ def starts_of(ordered):
     return np.flatnonzero(new)
 
 
+class Keys(SortedTable):
+    """Sorted keys, of which the files hold the lower 32 bits, and where the upper ones change in the extra part."""
+
+    def parts(self, i):
+        """Arrays of a file, the distinct upper halves, where each begins, and the rest of the extra part."""
+        path, rows, _, extra, *_ = self.files[i]
+        arrays, more = mapped(path, rows, self.kinds, extra)
+        more = more.view("<i8")
+        n = int(more[0])
+        return arrays, more[1:n + 1], more[n + 1:2 * n + 1], more[2 * n + 1:]
+
+    def find(self, keys, wanted=()):
+        place = np.full(len(keys), -1, np.int64)
+        values = [np.zeros(len(keys), self.kinds[i]) for i in wanted]
+        bounds = np.append(np.searchsorted(keys, self.firsts), len(keys))
+        for i in np.flatnonzero(np.diff(bounds)):
+            arrays, upper, begin, _ = self.parts(i)
+            some = keys[bounds[i]:bounds[i + 1]]
+            high, low = some >> 32, (some & 0xFFFFFFFF).astype("<u4")
+            edges = np.append(starts_of(high), len(high))
+            spots = np.searchsorted(upper, high[edges[:-1]])
+            ends = np.append(begin[1:], len(arrays[0]))
+            for spot, a, b in zip(spots, edges[:-1], edges[1:]):
+                if spot < len(upper) and upper[spot] == high[a]:
+                    held = arrays[0][begin[spot]:ends[spot]]
+                    at = np.minimum(np.searchsorted(held, low[a:b]), len(held) - 1)
+                    hit = np.flatnonzero(held[at] == low[a:b])
+                    at = begin[spot] + at[hit]
+                    hit += bounds[i] + a
+                    place[hit] = self.before[i] + at
+                    for value, k in zip(values, wanted):
+                        value[hit] = arrays[k][at]
+        return place, values
+
+    def keys_at(self, places):
+        """The keys at places in any order."""
+        made = np.zeros(len(places), np.int64)
+        file = np.searchsorted(self.before, places, "right") - 1
+        for i in np.unique(file):
+            arrays, upper, begin, _ = self.parts(i)
+            some = np.flatnonzero(file == i)
+            at = places[some] - self.before[i]
+            made[some] = (upper[np.searchsorted(begin, at, "right") - 1] << 32) | arrays[0][at].astype(np.int64)
+        return made
+
+
+def halves(keys):
+    """The lower halves of sorted keys, and the upper ones as ``Keys`` reads them."""
+    upper = keys >> 32
+    first = starts_of(upper)
+    return (keys & 0xFFFFFFFF).astype("<u4"), np.concatenate([[len(first)], upper[first], first])
+
+
+class Grams(Keys):
+    """Counts of n-grams, a byte each; those of ``MOST`` or more are in the extra part."""
+
+    def __init__(self, files):
+        super().__init__(files, ("<u4", "u1"))
+
+    def counts(self, keys):
+        count = self.find(keys, (1,))[1][0].astype(np.int64)
+        for i in np.flatnonzero(count == MOST):
+            large = self.parts(int(np.searchsorted(self.firsts, keys[i], "right")) - 1)[3].reshape(2, -1)
+            count[i] = large[1][np.searchsorted(large[0], keys[i])]
+        return count
+
+
 def pack(columns):
     """Columns of numbers from 0, the first of them ascending, as bytes."""
     columns = [np.diff(columns[0], prepend=0), *columns[1:]]
@@ -106,21 +173,6 @@ def merged(batches, n_columns):
     return summed(held)
 
 
-class Grams(SortedTable):
-    """Counts of n-grams, a byte each; those of ``MOST`` or more are in the extra part."""
-
-    def __init__(self, files):
-        super().__init__(files, ("<i8", "u1"))
-
-    def counts(self, keys):
-        count = self.find(keys, (1,))[1][0].astype(np.int64)
-        for i in np.flatnonzero(count == MOST):
-            file = self.files[int(np.searchsorted(self.firsts, keys[i], "right")) - 1]
-            large = mapped(file[0], file[1], self.kinds, file[3])[1].view("<i8").reshape(2, -1)
-            count[i] = large[1][np.searchsorted(large[0], keys[i])]
-        return count
-
-
 def _blocks(batches, limit):
     """Ids, words of each text, codes and distinct words' hashes of blocks of text."""
     for batch in batches:
@@ -266,7 +318,7 @@ class Model:
 
     def suffix(self, length, places):
         """Place of the n-gram without its first word, for n-grams of two words or more."""
-        key = self.levels[length].keys.at(places)
+        key = self.levels[length].keys.keys_at(places)
         word = key % (self.size + 1)
         if length == 2:
             return word
@@ -365,12 +417,12 @@ def _counted(texts, model, length, masses, n_files, folder):
         keys, n = merged(batches, 2)
         if not len(keys):
             return
-        about = {"rows": len(keys), "first": int(keys[0]), "mass": int(n.sum()), "extra": 0, **_kinds_of(n)}
+        about = {"rows": len(keys), "first": int(keys[0]), "mass": int(n.sum()), **_kinds_of(n)}
+        lower, extra = halves(keys)
         if last:
             large = n >= MOST
-            extra = np.concatenate([keys[large], n[large]]).astype("<i8").tobytes()
-            about |= {"extra": len(extra),
-                      "path": write_arrays(folder, [keys.astype("<i8"), np.minimum(n, MOST).astype("u1")], extra)}
+            extra = np.concatenate([extra, keys[large], n[large]])
+            about["path"] = write_arrays(folder, [lower, np.minimum(n, MOST).astype("u1")], extra.astype("<i8").tobytes())
             context = keys // (size + 1)
             begin = starts_of(context)
             before = None
@@ -379,8 +431,8 @@ def _counted(texts, model, length, masses, n_files, folder):
             suffixes = model.suffix_of(length, before, keys - context * (size + 1))
             yield pa.RecordBatch.from_pylist(model.levels[length - 1].runs(context, n, suffixes), schema=ROWS)
         else:  # the tokens before each n-gram say where the longer ones after it belong
-            about["path"] = write_arrays(folder, [keys.astype("<i8"), (np.cumsum(n) - n).astype("<f4")])
-        yield pa.RecordBatch.from_pylist([about], schema=ROWS)
+            about["path"] = write_arrays(folder, [lower, (np.cumsum(n) - n).astype("<f4")], extra.astype("<i8").tobytes())
+        yield pa.RecordBatch.from_pylist([about | {"extra": 8 * len(extra)}], schema=ROWS)
 
     rows = texts.mapInArrow(trimmed(count), RUN).repartitionById(n_files, "part").select("n", "run")
     return saved(rows.mapInArrow(trimmed(write), f"{RUN}, {FILE}, kind string"), f"grams-{length}")
@@ -409,7 +461,7 @@ def _levelled(model, rows, length, n_files, folder):
         if length > 1:
             some = np.flatnonzero(continued)
             ids, n = ids[some], continued[some]
-            runs = model.levels[length - 1].runs(level.keys.at(ids) // (size + 1), n, model.suffix(length, ids))
+            runs = model.levels[length - 1].runs(level.keys.keys_at(ids) // (size + 1), n, model.suffix(length, ids))
             yield pa.RecordBatch.from_pylist(runs, schema=ROWS)
 
     runs = rows.where("run IS NOT NULL").select(*(c.split()[0] for c in RUN.split(", ")))
@@ -479,7 +531,7 @@ def train(docs, text_col="text", order=ORDER):
         made = rows.where("path IS NOT NULL").drop("run").collect()  # one row for each file
         files = [(r.path, r.rows, r.first, r.extra, r.mass) for r in made]
         if length < order:
-            table = SortedTable(files, ("<i8", "<f4"))
+            table = Keys(files, ("<u4", "<f4"))
             masses = Mass(table, None)
             model.levels[length] = Level(table, len(table), n_files)
     model.grams = Grams([f[:4] for f in files])
