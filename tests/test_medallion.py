@@ -7,6 +7,7 @@ from wardstat.operators.columns import require_columns
 from wardstat.plans import medallion as M
 from wardstat.plans.serving import Dashboard
 from wardstat.sources.files import read_gold
+from wardstat.sources.sinks import write_dataset
 
 PBJ_FILE = """PROVNUM,PROVNAME,CITY,STATE,WorkDate,MDScensus,Hrs_RN,Hrs_RN_emp,Hrs_RN_ctr,Hrs_LPN,\
 Hrs_LPN_emp,Hrs_LPN_ctr,Hrs_CNA,Hrs_CNA_emp,Hrs_CNA_ctr
@@ -122,6 +123,37 @@ def test_one_month_leaves_the_others_alone(spark, lake, tmp_path):
         assert table(gold) == table(f"{lake}/gold")
 
 
+def _nodes(node):
+    """The executed plan's nodes, those of its stages too."""
+    name = node.nodeName()
+    if name == "AdaptiveSparkPlan":
+        return _nodes(node.executedPlan())
+    below = [node.plan()] if "QueryStage" in name else [node.children().apply(i) for i in range(node.children().size())]
+    return [node, *(n for b in below for n in _nodes(b))]
+
+
+def test_days_in_any_order_send_one_row_for_a_facility_and_month(spark, lake, tmp_path, monkeypatch):
+    """Each task that sums days has whole months of few facilities, not a bit of all of them."""
+    pbj = spark.read.parquet(f"{lake}/silver/{S.PBJ}").where("PROVNUM = '015009' and WorkDate = '2024-04-01'")
+    days = pbj.drop("PROVNUM", "WorkDate").crossJoin(spark.range(960).selectExpr(
+        "cast(id % 40 as string) as PROVNUM", "date_add(date'2024-04-01', cast(id / 40 as int)) as WorkDate"))
+    days.select(pbj.columns).repartition(8).write.parquet(f"{tmp_path}/silver/{S.PBJ}")
+    spark.read.parquet(f"{lake}/silver/{S.PROVIDER}").write.parquet(f"{tmp_path}/silver/{S.PROVIDER}")
+    written = {}
+
+    def noted(df, path, *args, **options):
+        written[path] = df
+        return write_dataset(df, path, *args, **options)
+
+    monkeypatch.setattr(M, "write_dataset", noted)
+    M.run_gold(spark, f"{tmp_path}/silver", f"{tmp_path}/gold")
+    rollup = written[f"{tmp_path}/gold/{M.ROLLUP}"]
+    assert [tuple(r) for r in rollup.select("AVG_PATIENT_CENSUS", "CENSUS_DAYS").collect()] == [(50, 1200)] * 40
+    rollup.collect()
+    sums = [n for n in _nodes(rollup._jdf.queryExecution().executedPlan()) if n.nodeName() == "HashAggregate"]
+    assert [n.metrics().apply("numOutputRows").value() for n in sums] == [40, 40]
+
+
 def test_missing_staffing_columns_are_named(spark, lake, tmp_path):
     pbj = spark.read.parquet(f"{lake}/silver/{S.PBJ}").drop("Hrs_RN")
     with pytest.raises(ValueError, match="Hrs_RN"):
