@@ -9,7 +9,7 @@ from wardstat import schemas as S
 from wardstat.plans import medallion as M
 from wardstat.session import scratch_path
 from wardstat.sources import catalog
-from wardstat.sources.files import file_manifest, read_csv, read_gold
+from wardstat.sources.files import file_manifest, read_csv, read_gold, with_lineage
 from wardstat.sources.sinks import write_dataset
 from wardstat.streaming import bronze
 from wardstat.streaming.bronze import incremental_bronze
@@ -88,6 +88,20 @@ def test_bronze_lands_every_file_under_its_name(spark, tmp_path):
         ("1", "x", None, "one.csv"), ("2", None, None, "one.csv")]
 
 
+@pytest.mark.parametrize("root", ["raw", "raw files+%20"])
+def test_source_files_of_any_name(spark, tmp_path, root):
+    """Below a root of plain characters only names with an escape are decoded, not every row's whole path."""
+    names = ["plain.csv", "a b.csv", "c+d.csv", "e%20f.csv", "ü/g.csv", f"deep{tmp_path}/{root}/h.csv"]
+    for name in names:
+        put(tmp_path / root / name, "k\n1\n")
+    found = spark.read.option("recursiveFileLookup", "true").text(str(tmp_path / root)).where("value = '1'")
+    landed = with_lineage(found, str(tmp_path / root))
+    assert sorted(r[S.SOURCE_FILE] for r in landed.collect()) == sorted(names)
+    assert landed.columns == ["value", S.SOURCE_FILE, S.MODIFIED_AT, S.INGESTED_AT]
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert (f"Contains({S.SOURCE_FILE}" in plan) == (root == "raw")
+
+
 @pytest.mark.parametrize("names", [("a.csv", "a/b.csv"), ("b/a.csv", "b.csv")])
 def test_no_data_set_lies_in_another(spark, tmp_path, names):
     raw, bronze = tmp_path / "raw", tmp_path / "bronze"
