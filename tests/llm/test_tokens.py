@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -91,6 +92,22 @@ def test_random_blocks_round_trip():
     assert len(b"".join(token_file.packed(np.arange(256, dtype=np.uint32) % 4))) < 256  # two bits each
 
 
+def test_blocks_are_packed_without_a_number_for_each_bit():
+    """A group of blocks costs a byte for each of 32 bits of an id at a time, and no wider copies of them."""
+    values = np.random.default_rng(1).integers(0, 1 << 17, token_file.BLOCK * 1024, dtype=np.uint32)
+    tracemalloc.start()
+    blocks = token_file.packed(values)
+    packing = tracemalloc.get_traced_memory()[1]
+    data, starts = b"".join(blocks), np.cumsum([0, *map(len, blocks)])[:-1].tolist()
+    tracemalloc.reset_peak()
+    held = tracemalloc.get_traced_memory()[0]
+    ids = token_file.unpacked(data, starts)
+    unpacking = tracemalloc.get_traced_memory()[1] - held
+    tracemalloc.stop()
+    assert (ids == values).all()
+    assert packing < 75 * len(values) and unpacking < 75 * len(values), (packing / len(values), unpacking / len(values))
+
+
 def test_token_files(spark, texts, documents, nothing):
     library = Tokenizer.from_file(WORDS)
     for frame in (texts, documents):

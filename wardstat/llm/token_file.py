@@ -52,14 +52,14 @@ def packed(values):
     rows = values.reshape(-1, BLOCK) if len(values) >= BLOCK else values.reshape(1, -1)
     least = rows.min(axis=1)
     rest = rows - least[:, None]
-    bits = np.ceil(np.log2(rest.astype(np.float64) + 1)).astype(np.int64)
+    bits = np.frexp(rest.astype(np.float64))[1].astype(np.uint8)
     width = np.sort(bits, axis=1)[:, int(np.ceil(PERCENTILE * rows.shape[1])) - 1]
     outside = bits > width[:, None]
     packs = [b""] * len(rows)
     for w in np.unique(width[width > 0]):
         some = np.flatnonzero(width == w)
-        ones = (rest[some][:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        flat = np.packbits(ones.astype(np.uint8).reshape(len(some), -1), axis=1, bitorder="little")
+        ones = np.unpackbits(rest[some].astype("<u4").view(np.uint8), axis=1, bitorder="little").reshape(len(some), -1, 32)
+        flat = np.packbits(ones[:, :, :w].reshape(len(some), -1), axis=1, bitorder="little")
         for i, line in zip(some, flat):
             packs[i] = line.tobytes()
     head = np.zeros(len(rows), HEADER)
@@ -84,9 +84,10 @@ def unpacked(data, starts):
         if w:
             raw = np.frombuffer(b"".join(
                 data[starts[i] + HEADER.itemsize:starts[i] + HEADER.itemsize + size] for i in some), np.uint8)
-            ones = np.unpackbits(raw.reshape(len(some), size), axis=1, count=count * w, bitorder="little")
-            rows = rows + (ones.reshape(len(some), count, w).astype(np.uint32)
-                           << np.arange(w, dtype=np.uint32)).sum(axis=2, dtype=np.uint32)
+            ones = np.zeros((len(some), count, 32), np.uint8)
+            ones[:, :, :w] = np.unpackbits(
+                raw.reshape(len(some), size), axis=1, count=count * w, bitorder="little").reshape(len(some), count, w)
+            rows = rows + np.packbits(ones.reshape(len(some), -1), axis=1, bitorder="little").view("<u4")
         for row, i in zip(rows, some):
             n = int(heads["exceptions"][i])
             if n:
