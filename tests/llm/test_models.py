@@ -13,6 +13,7 @@ from odd_cases import odd_rows
 
 from wardstat.llm import ngrams, quality, queries, toxicity
 from wardstat.llm.blocks import ship
+from wardstat.llm.words import word_cells
 
 
 @pytest.fixture(autouse=True)
@@ -243,3 +244,43 @@ def test_keys_in_halves(tmp_path):
     known = {int(k): i for i, k in enumerate(keys)}
     assert place.tolist() == [known.get(int(k), -1) for k in asked]
     assert value.tolist() == [k % 200 if int(k) in known else 0 for k in asked.tolist()]
+
+
+def test_lookups_do_not_go_through_upper_halves_one_by_one(tmp_path, monkeypatch):
+    """The larger the model, the fewer of a block's keys share an upper half."""
+    keys = np.arange(4000) << 32 | 5
+    lower, extra = ngrams.halves(keys)
+    path = ngrams.write_arrays(tmp_path.as_uri(), [lower, np.ones(len(keys), "u1")], extra.astype("<i8").tobytes())
+    table = ngrams.Keys([(path, len(keys), int(keys[0]), 8 * len(extra))], ("<u4", "u1"))
+    searches, search = [], np.searchsorted
+    monkeypatch.setattr(np, "searchsorted", lambda *x, **more: searches.append(1) or search(*x, **more))
+    place, (value,) = table.find(np.sort(np.concatenate([keys, keys + 1])), (1,))
+    assert len(searches) < 10
+    assert place.tolist() == [x for i in range(len(keys)) for x in (i, -1)] and value.sum() == len(keys)
+
+
+def test_places_by_file_and_in_any_order(tmp_path):
+    files = [(ngrams.write_arrays(tmp_path.as_uri(), [np.arange(a, b)]), b - a, a, 0) for a, b in ((0, 3), (3, 4), (4, 50))]
+    table = ngrams.SortedTable(files, ("<i8",))
+    places = np.random.default_rng(6).integers(0, 50, 200)
+    assert (table.at(places) == places).all() and len(table.at(places[:0])) == 0
+    assert [(int(i), some.tolist()) for i, some in table.by_file(np.array([49, 3, 4]))] == [(1, [1]), (2, [0, 2])]
+
+
+@pytest.mark.parametrize("most", [0, 5, 1 << 40, 1 << 62])
+def test_grouped_numbers(most):
+    """Numbers that fit in 64 bits beside their places, and larger ones."""
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 300):
+        keys = draw.choice(np.append(draw.integers(-1, most + 1, 100), -1), n)
+        distinct, inverse = ngrams.grouped(keys)
+        assert (distinct == np.unique(keys)).all() and (distinct[inverse] == keys).all()
+
+
+@pytest.mark.parametrize("lower", [True, False])
+def test_words_of_texts_side_by_side(lower):
+    texts = ["", "Ab", "cD e", "", "\t", " x\x0b\x0cY ", "é\x85Z\x1f\x08 \r\n[@`{", "A"]
+    counts, cells = word_cells(pa.array(texts, pa.large_string()).slice(1), lower)
+    expected = [re.findall(rb"[^\x20\x09-\x0D]+", t.encode().lower() if lower else t.encode()) for t in texts[1:]]
+    assert counts.tolist() == [len(x) for x in expected]
+    assert cells.dictionary_decode().to_pylist() == sum(expected, [])

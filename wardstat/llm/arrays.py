@@ -28,7 +28,7 @@ def mapped(path, rows, kinds, extra):
     if not size:
         return [np.zeros(0, k) for k in kinds], b""
     if isinstance(system, fs.LocalFileSystem):  # a mounted folder
-        data = np.memmap(inner, np.uint8, "r")
+        data = np.asarray(np.memmap(inner, np.uint8, "r"))  # slices of a plain array cost less
     else:
         with open_file(path) as file:
             data = np.frombuffer(file.read(), np.uint8)
@@ -68,12 +68,18 @@ class SortedTable:
                 value[bounds[i] + hit] = arrays[k][at[hit]]
         return place, values
 
+    def by_file(self, places):
+        """Each file that holds some of the places, and which of them it holds."""
+        file = np.searchsorted(self.before, places, "right") - 1
+        order = np.argsort(file, kind="stable")
+        ends = np.cumsum(np.bincount(file, minlength=len(self.files)))
+        for i in np.flatnonzero(np.diff(ends, prepend=0)):
+            yield i, order[ends[i - 1] if i else 0:ends[i]]
+
     def at(self, places, wanted=0):
         """The values of an array at places in any order."""
         made = np.zeros(len(places), self.kinds[wanted])
-        file = np.searchsorted(self.before, places, "right") - 1
-        for i in np.unique(file):
+        for i, some in self.by_file(places):
             path, rows, _, extra, *_ = self.files[i]
-            some = np.flatnonzero(file == i)
             made[some] = mapped(path, rows, self.kinds, extra)[0][wanted][places[some] - self.before[i]]
         return made
