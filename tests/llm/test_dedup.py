@@ -224,6 +224,71 @@ def test_equal_windows_have_equal_units():
     assert all(made[0][p] == made[1][p] for p in made[0])
 
 
+def test_suffixes_are_compared_once(monkeypatch):
+    """Of two suffixes that meet in a merge one is compared, not each with the other."""
+    draw = random.Random(4)
+    data = np.frombuffer("".join(draw.choices("ab", k=2100)).encode(), np.uint8)
+    compared = []
+    before = suffixes.SuffixSort.before
+    monkeypatch.setattr(suffixes.SuffixSort, "before", lambda self, a, b, ties: compared.append(len(a)) or before(self, a, b, ties))
+    starts, group = np.arange(2000), np.arange(2000) // 2
+    order = suffixes.SuffixSort(data).sort(starts, group)
+    assert [data[i:i + 50].tobytes() for i in order] == [
+        x for i in range(0, 2000, 2) for x in sorted(data[j:j + 50].tobytes() for j in (i, i + 1))]
+    assert sum(compared) == 1000
+
+
+def test_texts_are_hashed_in_small_blocks(monkeypatch):
+    """Three megabytes in texts of 1000 letters: no pass hashes much more at once than a core's cache holds."""
+    draw = random.Random(5)
+    batch = pa.RecordBatch.from_pydict({
+        "doc_id": pa.array(range(3000), pa.int64()),
+        "text": ["".join(draw.choices("abcdefgh ", k=1000)) for _ in range(3000)]})
+    sizes = []
+    start = suffixes.PrefixHashes.__init__
+    monkeypatch.setattr(suffixes.PrefixHashes, "__init__", lambda self, data: sizes.append(len(data)) or start(self, data))
+    (rows,) = suffixes._units_rows([batch])
+    assert max(sizes) <= 1 << 18 and sum(sizes) == 3_000_000
+    assert rows.num_rows > 3000
+
+
+def test_units_that_are_sent():
+    """Equal units of a block go once, plain, and once for each later document, covered; ids may be null or repeat."""
+    draw = random.Random(6)
+    lines = ["".join(draw.choices("abcdefgh ", k=80)) for _ in range(12)]
+    ids = [draw.choice([None, *range(9)]) for _ in range(60)]
+    texts = ["".join(draw.choices(lines, k=draw.randint(0, 4))) for _ in ids]
+    (rows,) = suffixes._units_rows([pa.RecordBatch.from_pydict({"doc_id": pa.array(ids, pa.int64()), "text": texts})])
+    seen = {}
+    for i, text in zip(ids, texts):
+        units = suffixes.Units(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+        for unit in zip(units.h.tolist(), units.g.tolist()):
+            seen.setdefault(unit, set()).add(suffixes.LAST if i is None else i)
+    sent = {}
+    for h, g, doc in zip(*(c.to_numpy().view(np.uint64).tolist() for c in rows.columns)):
+        sent.setdefault((h, g & ~3), []).append((g & 3, doc))
+    assert set(sent) == set(seen)
+    for unit, docs in seen.items():
+        first, *others = sorted(docs)
+        assert sorted(doc for flag, doc in sent[unit] if flag == 2) == others
+        assert [doc for flag, doc in sent[unit] if flag != 2] == [first]
+
+
+def test_runs_of_ranges():
+    draw = random.Random(7)
+    offsets = np.array([0, 0, 40, 40, 90, 120])
+    for _ in range(50):
+        spans = [(a, draw.randint(a + 1, high)) for low, high in ((0, 40), (40, 90), (90, 120))
+                 for a in draw.choices(range(low, high), k=draw.randint(0, 4))]
+        draw.shuffle(spans)
+        begin, end = (np.array([x[k] for x in spans], np.int64) for k in (0, 1))
+        whole = {(t, p) for a, b in spans for p in range(a, b) for t in [int(np.searchsorted(offsets, a, "right")) - 1]}
+        made = list(zip(*(x.tolist() for x in suffixes._merged(begin, end, offsets))))
+        assert {(t, p) for a, b, t in made for p in range(a, b)} == whole
+        assert sum(b - a for a, b, _ in made) == len(whole)
+        assert len(made) == sum((t, p - 1) not in whole for t, p in whole)
+
+
 def tokens(text):
     return re.findall(r"[^\W_]+", text.lower())
 

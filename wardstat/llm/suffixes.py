@@ -39,6 +39,8 @@ LENGTH = 50
 GRAM = 24
 HOT_BLOCK = 32
 HOT = 256
+#: Bytes of text that are hashed together, but for one longer text: the arrays stay in a core's cache.
+HASHED = 1 << 18
 #: Suffixes that are sorted together, but for one anchor's, which are at most ``HOT`` units.
 SORTED = 400_000
 LAST = np.iinfo(np.int64).max  # stands for a null id: after all others
@@ -72,9 +74,9 @@ class PrefixHashes:
     """Polynomial hashes of any part of some bytes, from sums over their prefixes."""
 
     def __init__(self, data):
-        self.up, down = powers(len(data))
+        self.up, self.down = powers(len(data))
         self.sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(LETTERS[data] * down[:len(data)], out=self.sums[1:])
+        np.cumsum(LETTERS[data] * self.down[:len(data)], out=self.sums[1:])
 
     def of(self, starts, lengths):
         return (self.sums[starts + lengths] - self.sums[starts]) * self.up[starts]
@@ -112,11 +114,11 @@ class Units:
         if span < width:
             least = np.minimum(least[:span - width], least[width - span:])
         # Windows that run over the end of their text are none.
-        ends = offsets[1:]
-        out = np.zeros(len(data) + 1, np.int32)
-        np.add.at(out, np.maximum(offsets[:-1], ends - LENGTH + 1), 1)
-        np.add.at(out, ends, -1)
-        window = np.flatnonzero(np.cumsum(out[:len(least)]) == 0)
+        ends = np.minimum(offsets[1:], len(least))
+        over = np.minimum(np.maximum(offsets[:-1], offsets[1:] - LENGTH + 1), ends)
+        inside = np.ones(len(least), bool)
+        inside[ranges(over, ends - over)] = False
+        window = np.flatnonzero(inside)
         if not len(window):
             return
         anchor = (least[window] & LOW).astype(np.int64)
@@ -152,6 +154,18 @@ def _spread(values, starts, total):
     return np.repeat(values, np.diff(np.append(starts, total)))
 
 
+def _repeated(grouped):
+    """Whether each of the values, of which equal ones are neighbours, is there more than once."""
+    same = grouped[1:] == grouped[:-1]
+    return np.append(False, same) | np.append(same, False) if len(grouped) else np.zeros(0, bool)
+
+
+def _equal_cells(data, a, b, length):
+    """Whether the bytes from places ``a`` on are those from ``b`` on."""
+    cells = np.lib.stride_tricks.sliding_window_view(data, length)
+    return (cells[a] == cells[b]).all(axis=1)
+
+
 def _units_rows(batches):
     """Pass 1: rows ``h, g, doc``, the flag in the last bits of ``g``.
 
@@ -160,34 +174,34 @@ def _units_rows(batches):
     """
     for batch in batches:
         held = []
-        for part, texts in slices(batch, "text"):
+        for part, texts in slices(batch, "text", HASHED):
             offsets, data = byte_block(texts)
             units = Units(data, offsets)
             held.append((units.h, units.g, _ids(part.column(0))[units.text]))
         if not held:
             continue
         h, g, doc = (np.concatenate(x) for x in zip(*held))
-        order = np.lexsort((doc, g, h))
-        h, g, doc = h[order], g[order], doc[order]
-        starts = _starts(h, g)
-        first = _spread(doc[starts], starts, len(doc))
-        covered = doc > first
-        gone = np.flatnonzero(covered)
+        # A unit that is alone with its anchor goes as it is.
+        order = np.argsort(h)
+        some = order[_repeated(h[order])]
+        some = some[np.lexsort((doc[some], g[some], h[some]))]
+        starts = _starts(h[some], g[some])
+        lead = some[starts]
+        gone = some[doc[some] > _spread(doc[lead], starts, len(some))]
         # One row for each unit in each document, of the covered ones too.
         gone = gone[_starts(h[gone], g[gone], doc[gone])]
-        gone_h, gone_g, gone_doc = h[gone], g[gone], doc[gone]
-        h, g, doc = h[starts], g[starts], doc[starts]
-        order = np.lexsort((doc, h))
-        h, g, doc = h[order], g[order], doc[order]
-        starts = _starts(h)
-        place = np.arange(len(h)) - _spread(starts, starts, len(h))
-        size = _spread(np.diff(np.append(starts, len(h))), starts, len(h))
+        lead = lead[np.lexsort((doc[lead], h[lead]))]
+        starts = _starts(h[lead])
+        place = np.arange(len(lead)) - _spread(starts, starts, len(lead))
+        size = _spread(np.diff(np.append(starts, len(lead))), starts, len(lead))
         flag = np.where(size <= HOT_BLOCK, 0, np.where(place < HOT_BLOCK, 1, 3)).astype(np.uint64)
-        h, g = np.concatenate([h, gone_h]), np.concatenate([g | flag, gone_g | np.uint64(2)])
-        doc = np.concatenate([doc, gone_doc])
-        order = np.argsort(doc, kind="stable")
+        sent = np.ones(len(h), bool)
+        sent[some] = False
+        sent[lead] = sent[gone] = True
+        g[lead] |= flag
+        g[gone] |= np.uint64(2)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(h[order].view(np.int64)), pa.array(g[order].view(np.int64)), pa.array(doc[order])],
+            [pa.array(h[sent].view(np.int64)), pa.array(g[sent].view(np.int64)), pa.array(doc[sent])],
             names=["h", "g", "doc"])
 
 
@@ -220,9 +234,11 @@ def _verdicts(bounds):
             g, flag = g & ~FLAGS, (g & FLAGS).astype(np.int64)
             passed = flag >= 2
             out = [(h[passed], g[passed], doc[passed], np.where(flag[passed] == 2, COVERED, DOUBT_HOT))]
-            h, g, doc, flag = h[~passed], g[~passed], doc[~passed], flag[~passed]
-            order = np.lexsort((doc, g, h))
-            h, g, doc, flag = h[order], g[order], doc[order], flag[order]
+            # Nothing is said of a unit that is alone with its anchor.
+            some = np.flatnonzero(~passed)
+            some = some[_repeated(h[some]) | (flag[some] == 1)]
+            some = some[np.lexsort((doc[some], g[some], h[some]))]
+            h, g, doc, flag = h[some], g[some], doc[some], flag[some]
             if len(h):
                 starts, anchors = _starts(h, g), _starts(h)
                 first = _spread(doc[starts], starts, len(h))
@@ -276,34 +292,54 @@ class ByDocument(SortedTable):
         self.columns = columns
 
     def rows(self, docs):
-        """For each document of sorted distinct ids that has rows, its place and its columns."""
+        """For sorted distinct ids the number of rows of each, and their columns one id after the other."""
         place, (start, count) = self.find(docs, (1, 2))
-        for i in np.flatnonzero(place >= 0):
-            file = self.files[int(np.searchsorted(self.firsts, docs[i], "right")) - 1]
-            extra = mapped(file[0], file[1], self.kinds, file[3])[1].view("<i8").reshape(self.columns, -1)
-            yield i, extra[:, start[i]:start[i] + count[i]]
+        made = [np.zeros((self.columns, 0), np.int64)]
+        known = np.flatnonzero(place >= 0)
+        for i, some in self.by_file(place[known]):
+            path, size, _, length = self.files[i]
+            extra = mapped(path, size, self.kinds, length)[1].view("<i8").reshape(self.columns, -1)
+            made.append(extra[:, ranges(start[known[some]], count[known[some]])])
+        return count, np.concatenate(made, axis=1)
 
 
-def _asked(units, docs, verdicts, distinct):
-    """What is said of each unit of a block: 0 or a verdict."""
+def _asked(units, owner, count, known):
+    """What is said of each unit of a block: 0 or a verdict. ``owner`` is the place of each text's id in ``count``."""
     said = np.zeros(len(units.h), np.int64)
+    if not len(known):
+        return said
+    known = known.view(np.uint64)
+    names, of = known & ~FLAGS, np.repeat(np.arange(len(count)), count)
+    order = np.lexsort((of, names))
+    names, of, known = names[order], of[order], known[order]
     name = units.name
-    of = docs[units.text]
-    order = np.argsort(of, kind="stable")
-    low, high = np.searchsorted(of[order], distinct), np.searchsorted(of[order], distinct, "right")
-    for i, (rows,) in verdicts.rows(distinct):
-        mine = order[low[i]:high[i]]
-        known = rows.view(np.uint64)
-        names = known & ~FLAGS
-        # Sorted as signed numbers in the file.
-        at = np.argsort(names, kind="stable")
-        names, known = names[at], known[at]
-        spot = np.minimum(np.searchsorted(names, name[mine]), len(names) - 1)
-        hit = names[spot] == name[mine]
-        said[mine[hit]] = (known[spot[hit]] & FLAGS).astype(np.int64)
+    # Most units are unknown: a table of the first bits of names tells nearly all of them.
+    table = np.zeros(1 << 16, bool)
+    table[names >> np.uint64(48)] = True
+    some = np.flatnonzero(table[name >> np.uint64(48)])
+    mine, name = owner[units.text[some]], name[some]
+    low, high = np.searchsorted(names, name), np.searchsorted(names, name, "right")
+    # A name that several documents hold stands once for each, in their order.
+    while (low < high).any():
+        middle = (low + high) >> 1
+        ahead = of[np.minimum(middle, len(of) - 1)] < mine
+        open_ = low < high
+        low, high = np.where(open_ & ahead, middle + 1, low), np.where(open_ & ~ahead, middle, high)
+    low = np.minimum(low, len(names) - 1)
+    hit = (names[low] == name) & (of[low] == mine)
+    said[some[hit]] = (known[low[hit]] & FLAGS).astype(np.int64)
     return said
 
 
+def _pieces(offsets):
+    """First and next text of pieces of at most ``HASHED`` bytes or one text."""
+    first = 0
+    while first < len(offsets) - 1:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + HASHED, "right")) - 1)
+        yield first, last
+        first = last
+
+
 def _doubt_rows(verdicts):
     """Pass 2: rows ``key, relative, bytes, doc, crc, place, flag`` of units and windows in doubt; flag 1: covered."""
     names = ["key", "relative", "bytes", "doc", "crc", "place", "flag"]
@@ -320,26 +356,32 @@ def _doubt_rows(verdicts):
         for batch in batches:
             for part, texts in slices(batch, "text"):
                 docs = _ids(part.column(0))
-                distinct = np.unique(docs)
-                found = [i for i, _ in verdicts.rows(distinct)]
-                some = np.flatnonzero(np.isin(docs, distinct[found]))
-                if not len(some):
-                    continue
+                distinct, owner = np.unique(docs, return_inverse=True)
+                rows, (known,) = verdicts.rows(distinct)
+                some = np.flatnonzero(rows[owner])
                 docs, texts = docs[some], texts.take(pa.array(some))
                 offsets, data = byte_block(texts)
-                units = Units(data, offsets)
-                said = _asked(units, docs, verdicts, np.unique(docs))
                 crc = np.array([zlib.crc32(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:])], np.int64)
-                a = np.flatnonzero(said == DOUBT)
-                if len(a):
-                    text, first = units.text[a], units.first[a]
-                    yield made(units.h[a], units.anchor[a] - first, first, units.last[a] - first + LENGTH, data,
-                               docs[text], crc[text], first - offsets[text], 0)
-                a = np.flatnonzero(said == DOUBT_HOT)
-                if len(a):
-                    count = units.last[a] - units.first[a] + 1
-                    at, text = ranges(units.first[a], count), np.repeat(units.text[a], count)
-                    key = mix(units.hashes.of(at, LENGTH))
+                hot = []
+                for low, high in _pieces(offsets):
+                    inner, begin = offsets[low:high + 1] - offsets[low], offsets[low]
+                    units = Units(data[begin:offsets[high]], inner)
+                    mine = owner[some[low:high]]
+                    ids, mine = np.unique(mine, return_inverse=True)
+                    ends = np.cumsum(rows)[ids]
+                    said = _asked(units, mine, rows[ids], known[ranges(ends - rows[ids], rows[ids])])
+                    a = np.flatnonzero(said == DOUBT)
+                    if len(a):
+                        text, first = units.text[a] + low, units.first[a] + begin
+                        yield made(units.h[a], units.anchor[a] - units.first[a], first, units.last[a] - units.first[a] + LENGTH,
+                                   data, docs[text], crc[text], first - offsets[text], 0)
+                    a = np.flatnonzero(said == DOUBT_HOT)
+                    if len(a):
+                        count = units.last[a] - units.first[a] + 1
+                        at = ranges(units.first[a], count)
+                        hot.append((at + begin, np.repeat(units.text[a] + low, count), mix(units.hashes.of(at, LENGTH))))
+                if hot:
+                    at, text, key = (np.concatenate(x) for x in zip(*hot))
                     order = np.lexsort((docs[text], key))
                     at, text, key = at[order], text[order], key[order]
                     starts = _starts(key)
@@ -347,9 +389,8 @@ def _doubt_rows(verdicts):
                     covered = docs[text] > docs[text][lead]
                     check = np.flatnonzero(covered)
                     for j in range(0, len(check), 100_000):  # the bytes decide
-                        some = check[j:j + 100_000]
-                        cells = np.arange(LENGTH)
-                        covered[some] = (data[at[some][:, None] + cells] == data[at[lead[some]][:, None] + cells]).all(axis=1)
+                        few = check[j:j + 100_000]
+                        covered[few] = _equal_cells(data, at[few], at[lead[few]], LENGTH)
                     for keep, flag in ((~covered, 0), (covered, 1)):
                         sizes = np.full(int(keep.sum()), 0 if flag else LENGTH)
                         yield made(key[keep], np.zeros(len(sizes)), at[keep], sizes, data,
@@ -366,10 +407,14 @@ class SuffixSort:
 
     def extension(self, a, b):
         """Length of the common extension of suffixes at ``a`` and ``b``, up to the limit."""
+        up, down, sums = self.hashes.up, self.hashes.down, self.hashes.sums
+        # Hashes of both, brought to the place of b: equal if their sums differ by ``shift``.
+        factor = up[a] * down[b]
+        shift = sums[a] * factor - sums[b]
         low, high = np.zeros(len(a), np.int64), np.full(len(a), self.limit)
         while (low < high).any():
-            middle = (low + high + 1) // 2
-            same = self.hashes.of(a, middle) == self.hashes.of(b, middle)
+            middle = (low + high + 1) >> 1
+            same = sums[a + middle] * factor - sums[b + middle] == shift
             low, high = np.where(same, middle, low), np.where(same, high, middle - 1)
         return low
 
@@ -386,46 +431,46 @@ class SuffixSort:
         edges = _starts(group)
         base = _spread(edges, edges, n)
         end = base + _spread(np.diff(np.append(edges, n)), edges, n)
-        inside = np.arange(n) - base
-        run, most = 1, int((end - base).max()) if n else 0
-        while run < most:
-            number = inside // run
-            mine = base + number * run
-            other = base + (number ^ 1) * run
-            stop = np.minimum(other + run, end)
-            low, high = np.minimum(other, stop), stop
-            rank = low.copy()
+        run, open_ = 1, np.flatnonzero(end - base > 1)
+        while len(open_):
+            number = (open_ - base[open_]) // run
+            left = open_[(number & 1) == 0]
+            right = open_[(number & 1) == 1]
+            # Count the other run's suffixes that come before each of the left run.
+            first = np.minimum(base[left] + ((left - base[left]) // run + 1) * run, end[left])
+            low, high = first.copy(), np.minimum(first + run, end[left])
             todo = np.flatnonzero(low < high)
-            left = (number & 1) == 0
-            low, high = low[todo], high[todo]
+            mine, below, above = starts[order[left[todo]]], low[todo], high[todo]
             while len(todo):
-                # Count the other run's suffixes that come before this one.
-                middle = (low + high) // 2
-                ahead = self.before(starts[order[middle]], starts[order[todo]], ~left[todo])
-                low, high = np.where(ahead, middle + 1, low), np.where(ahead, high, middle)
-                rank[todo] = low
-                on = low < high
-                todo, low, high = todo[on], low[on], high[on]
-            target = np.minimum(mine, other) + (np.arange(n) - mine) + (rank - np.minimum(other, stop))
-            merged = np.empty(n, np.int64)
-            merged[target] = order
+                middle = (below + above) >> 1
+                ahead = self.before(starts[order[middle]], mine, False)
+                below, above = np.where(ahead, middle + 1, below), np.where(ahead, above, middle)
+                low[todo] = below
+                on = below < above
+                todo, mine, below, above = todo[on], mine[on], below[on], above[on]
+            # The right run's suffixes take the places between, in their order.
+            place = left + low - first
+            merged = order.copy()
+            merged[place] = order[left]
+            free = np.zeros(n, bool)
+            free[open_] = True
+            free[place] = False
+            merged[free] = order[right]
             order = merged
             run *= 2
+            open_ = open_[end[open_] - base[open_] > run]
         return order
 
     def classes(self, starts, group):
         """Order, and the class of each place in it: equal up to the limit, proven by the bytes."""
         order = self.sort(starts, group)
         at, of = starts[order], group[order]
+        whole = self.hashes.of(at, self.limit)
+        same = np.flatnonzero((whole[1:] == whole[:-1]) & (of[1:] == of[:-1]))
         new = np.ones(len(at), bool)
-        for j in range(1, len(at), 100_000):
-            a, b = at[j - 1:j + 99_999], at[j:j + 100_000]
-            a = a[:len(b)]
-            same = (of[j - 1:j - 1 + len(b)] == of[j:j + len(b)]) & (self.extension(a, b) == self.limit)
-            check = np.flatnonzero(same)
-            cells = np.arange(self.limit)
-            same[check] = (self.data[a[check][:, None] + cells] == self.data[b[check][:, None] + cells]).all(axis=1)
-            new[j:j + len(b)] = ~same
+        for j in range(0, len(same), 100_000):
+            some = same[j:j + 100_000]
+            new[some + 1] = ~_equal_cells(self.data, at[some], at[some + 1], self.limit)
         return order, np.cumsum(new) - 1
 
 
@@ -477,6 +522,30 @@ def _covered_runs(bounds):
     return run
 
 
+def _merged(begin, end, offsets):
+    """The maximal runs of ranges within texts, and the text of each."""
+    order = np.argsort(begin)
+    begin, end = begin[order], end[order]
+    text = np.searchsorted(offsets, begin, "right") - 1
+    reach = np.maximum.accumulate(end)
+    new = np.ones(len(begin), bool)
+    new[1:] = (begin[1:] > reach[:-1]) | (text[1:] != text[:-1])
+    starts = np.flatnonzero(new)
+    return begin[starts], reach[np.append(starts[1:], len(begin))[:len(starts)] - 1], text[starts]
+
+
+def _pieces_left(data, offsets, begin, end, spans):
+    """The bytes of each text without its runs."""
+    bytes_ = memoryview(np.ascontiguousarray(data))
+    begin, end, at = begin.tolist(), end.tolist(), 0
+    kept = []
+    for a, b, n in zip(offsets[:-1].tolist(), offsets[1:].tolist(), spans.tolist()):
+        cuts = [a, *(x for run in zip(begin[at:at + n], end[at:at + n]) for x in run), b]
+        kept.append(b"".join([bytes_[x:y] for x, y in zip(cuts[::2], cuts[1::2])]))
+        at += n
+    return kept
+
+
 REMOVED = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
 
@@ -484,39 +553,40 @@ def _without(verdicts, runs, keep_bytes):
     """Pass 3: lay covered windows over each text."""
     def run(batches):
         for batch in batches:
-            for part, texts in slices(batch, "text"):
+            for part, texts in slices(batch, "text", HASHED):
                 docs = _ids(part.column(0))
                 offsets, data = byte_block(texts)
-                distinct = np.unique(docs)
-                lines = {int(distinct[i]): rows for i, rows in runs.rows(distinct)}
-                found = {int(distinct[i]) for i, _ in verdicts.rows(distinct)} | set(lines)
-                step = np.zeros(len(data) + 1, np.int32)
-                some = np.flatnonzero([int(d) in found for d in docs])
+                distinct, owner = np.unique(docs, return_inverse=True)
+                count, (known,) = verdicts.rows(distinct)
+                begins, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+                some = np.flatnonzero(count[owner])
                 if len(some):
                     inner, bytes_ = byte_block(texts.take(pa.array(some)))
                     units = Units(bytes_, inner)
-                    said = _asked(units, docs[some], verdicts, np.unique(docs[some])) == COVERED
+                    said = _asked(units, owner[some], count, known) == COVERED
                     text = units.text[said]
                     shift = offsets[some][text] - inner[text]
-                    np.add.at(step, units.first[said] + shift, 1)
-                    np.add.at(step, units.last[said] + LENGTH + shift, -1)
-                for i in some:
-                    if int(docs[i]) in lines:
-                        crc, place, n = lines[int(docs[i])]
-                        mine = crc == zlib.crc32(data[offsets[i]:offsets[i + 1]])
-                        np.add.at(step, offsets[i] + place[mine], 1)
-                        np.add.at(step, offsets[i] + place[mine] + n[mine] - 1 + LENGTH, -1)
-                gone = np.cumsum(step[:-1]) > 0
-                sums = np.concatenate([[0], np.cumsum(gone)])
-                removed = sums[offsets[1:]] - sums[offsets[:-1]]
-                begins = gone.copy()
-                begins[1:] &= ~gone[:-1]
-                heads = offsets[:-1][np.diff(offsets) > 0]
-                begins[heads] = gone[heads]
-                sums = np.concatenate([[0], np.cumsum(begins)])
-                spans = sums[offsets[1:]] - sums[offsets[:-1]]
-                kept = [data[a:b][~gone[a:b]].tobytes() if r else data[a:b].tobytes()
-                        for a, b, r in zip(offsets[:-1], offsets[1:], removed)]
+                    begins.append(units.first[said] + shift)
+                    ends.append(units.last[said] + LENGTH + shift)
+                # Runs of each text: those of its id and its bytes.
+                count, (crc, place, n) = runs.rows(distinct)
+                some = np.flatnonzero(count[owner])
+                if len(some):
+                    mine = owner[some]
+                    line = ranges((np.cumsum(count) - count)[mine], count[mine])
+                    text = np.repeat(some, count[mine])
+                    own = np.zeros(len(docs), np.int64)
+                    own[some] = [zlib.crc32(data[offsets[i]:offsets[i + 1]]) for i in some]
+                    fits = crc[line] == own[text]
+                    line, text = line[fits], text[fits]
+                    begins.append(offsets[text] + place[line])
+                    ends.append(offsets[text] + place[line] + n[line] - 1 + LENGTH)
+                begin, end, text = _merged(np.concatenate(begins), np.concatenate(ends), offsets)
+                spans = np.bincount(text, minlength=len(docs))
+                sums = np.concatenate([[0], np.cumsum(end - begin)])
+                last = np.cumsum(spans)
+                removed = sums[last] - sums[last - spans]
+                kept = _pieces_left(data, offsets, begin, end, spans)
                 yield pa.RecordBatch.from_arrays([
                     part.column(0), pa.array(np.diff(offsets)), pa.array(removed), pa.array(spans),
                     pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
