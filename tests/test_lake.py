@@ -2,11 +2,13 @@
 
 import pytest
 from pyspark.sql import functions as F
+from settings import session_settings
 from test_medallion import PBJ_FILE, PROVIDER_FILE
 
+from verification.catalogue import _named_files
 from wardstat import schemas as S
 from wardstat.plans import lake as L
-from wardstat.sources.files import file_manifest, layout_report, manifest_changes
+from wardstat.sources.files import file_manifest, layout_report, manifest_changes, read_csv
 from wardstat.sources.versions import current, folders, live, read_published, values
 
 HEAD, *DAYS = PBJ_FILE.strip().split("\n")
@@ -175,3 +177,18 @@ def test_the_fewest_folders():
     assert folders(live_ones, []) == [""] and folders([""], []) == [""]
     assert folders(live_ones, ["a=2/b=2"]) == ["a=1", "a=2/b=1", "a=3"]
     assert folders(live_ones, ["a=4/b=2", "a=1/b=3"]) == ["a=1/b=1", "a=1/b=2", "a=2", "a=3"]
+
+
+def test_named_files_hold_all_parts(spark, tmp_path):
+    """Rows that are written in several parts, and a name without rows whose old file goes."""
+    put(tmp_path / "raw", "2.csv", "old\n1\n")
+    rows = spark.range(40_000).select(
+        F.col("id").alias("number"), F.sha2(F.col("id").cast("string"), 256).alias('a "name", quoted'), (F.col("id") % 10 == 0).cast("int").alias("file"))
+    with session_settings(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}):
+        _named_files(spark, rows, str(tmp_path / "raw"), ["0.csv", "1.csv", "2.csv"])
+    assert sorted(p.name for p in (tmp_path / "raw").glob("*.csv")) == ["0.csv", "1.csv"]
+    header, *lines = (tmp_path / "raw/0.csv").read_text().splitlines()
+    assert len(lines) == len(set(lines)) == 36_000 and header not in lines
+    made = read_csv(spark, str(tmp_path / "raw"))
+    expected = rows.select(F.col("number").cast("string"), 'a "name", quoted')
+    assert made.count() == 40_000 and made.exceptAll(expected).count() == 0
