@@ -206,6 +206,65 @@ def test_beams_widen_until_the_audit_passes(monkeypatch):
     assert exact >= counts[0][1].sum() >= 0.98 * exact
 
 
+def test_work_of_shards_grows_with_their_rows(monkeypatch):
+    """Classes meet the members of cells that are near, not all of the other shard; found links are as good as all."""
+    draw = np.random.default_rng(8)
+    base = near_vectors.units(draw.standard_normal((9000, 64)))
+    copies = base[:3000] + draw.uniform(0.05, 0.4, (3000, 1)) * draw.standard_normal((3000, 64)) / 8
+    vectors = np.concatenate([base, copies]).astype(np.float32)
+    rows = draw.integers(1, 4, len(vectors))
+    plan = near_vectors.Plan.build(vectors, np.arange(len(vectors)), len(vectors), 6500)
+    cell, shard = plan.dealt(vectors, np.arange(len(vectors)))
+    shards = []
+    for number in range(shard.max() + 1):
+        mine = np.flatnonzero(shard == number)
+        some, at = np.unique(cell[mine], return_inverse=True)
+        shards.append(near_vectors.Shard.build(vectors[mine], mine, rows[mine], plan.graph.points[some], at))
+    met, plain = [], near_vectors.Shard.linked_to
+    monkeypatch.setattr(near_vectors.Found, "_block", lambda self, one, some, other, members, *more, block=near_vectors.Found._block: (
+        met.append(len(some) * (members.stop - members.start)), block(self, one, some, other, members, *more)))
+    links, edges = np.zeros(len(vectors), np.int64), []
+    for i, one in enumerate(shards):
+        for other in shards[i:]:
+            some, counts = near_vectors.linked(one, other, 0.93, one is other)
+            edges.append(some)
+            for node, n in counts:
+                links[node] += n
+    unit = near_vectors.units(vectors.astype(np.float64))
+    true = unit @ unit.T >= 0.93
+    np.fill_diagonal(true, False)
+    assert len(shards) > 1 and plain is near_vectors.Shard.linked_to and sum(met) < 0.1 * len(vectors) ** 2
+    assert (links <= true @ rows).all() and links.sum() >= 0.999 * (true @ rows).sum()
+    assert all(true[a, b] or links[a] for a, b in np.concatenate(edges))
+
+
+def test_the_widest_beam_misses_nothing(monkeypatch):
+    """Few dimensions, where a first beam loses many links."""
+    draw = np.random.default_rng(3)
+    vectors = draw.standard_normal((3000, 6)).astype(np.float32)
+    shard = near_vectors.Shard.build(vectors, np.arange(3000), np.ones(3000, np.int64))
+    monkeypatch.setattr(near_vectors, "BEAM", near_vectors.WHOLE)
+    _, counts = near_vectors.linked(shard, shard, 0.93, True)
+    unit = near_vectors.units(vectors.astype(np.float64))
+    expected = (unit @ unit.T >= 0.93).sum(axis=1) - 1
+    assert (counts[0][1] == expected[counts[0][0]]).all()
+
+
+def test_walked_centres(spark, monkeypatch):
+    """Centres with a graph that is walked; a hot cell is dealt over several shards."""
+    monkeypatch.setattr(near_vectors, "WALKED", 50)
+    draw = np.random.default_rng(6)
+    vectors = near_vectors.units(draw.standard_normal((2000, 16))).astype(np.float32)
+    plan = near_vectors.Plan.build(vectors, np.arange(2000), 2000, 5)
+    assert plan.graph.layers and (plan.parts > 1).any()
+    cell, shard = plan.dealt(vectors, np.arange(2000))
+    best = np.argmax(vectors @ plan.graph.points.T, axis=1)
+    assert np.mean(cell == best) > 0.95
+    assert (shard >= plan.first[cell]).all() and (shard < plan.first[cell] + plan.parts[cell]).all()
+    again = near_vectors.Plans({"x": plan.written(f"{spark.conf.get('spark.checkpoint.dir')}/plans")}).of("x")
+    assert (again.dealt(vectors, np.arange(2000))[1] == shard).all()
+
+
 @pytest.mark.parametrize("width", [2, 30])
 def test_graph_finds_the_nearest(width):
     draw = np.random.default_rng(width)

@@ -38,8 +38,17 @@ def _padded(rows, values, scores, height):
     return ids, best
 
 
+def held_by(matrix):
+    """Rows and columns of the entries of a matrix that are set; much faster than ``nonzero`` where they are few."""
+    return np.divmod(np.flatnonzero(matrix), max(1, matrix.shape[1]))
+
+
 class Graph:
-    """``points`` are unit vectors as floats, ``layers`` their links from the top layer down, -1 for none."""
+    """``points`` are unit vectors as floats, ``layers`` their links from the top layer down, -1 for none.
+
+    To walk costs a query as much as some ten thousand comparisons at once. A graph
+    of few points needs no layers: without them all points are looked at.
+    """
 
     def __init__(self, points, layers=()):
         self.points, self.layers = points, list(layers)
@@ -148,13 +157,23 @@ class Graph:
             rows, met = rows[fresh], met[fresh]
         return ids, scores
 
+    def nearest(self, queries):
+        """The best point that a search finds for each query."""
+        queries = queries.astype(np.float32)
+        if not self.layers:
+            return np.argmax(queries @ self.points.T, axis=1)
+        n = len(self.points)
+        return self._search(queries, self._entries(queries, n), self.layers[-1], n, BEAM)[0][:, 0]
+
     def near(self, queries, least, beam):
         """Rows of the queries and points with a score of ``least`` or more, as a search of this beam finds them.
 
         A beam that such points fill is widened, for its query alone, until one
-        below ``least`` is in it.
+        below ``least`` is in it. Without layers ``least`` may be a matrix.
         """
         queries = queries.astype(np.float32)
+        if not self.layers:
+            return held_by(queries @ self.points.T >= least)
         todo, found = np.arange(len(queries)), []
         while len(todo):
             some = queries[todo]
