@@ -199,9 +199,10 @@ class Found:
         self.classes = np.zeros(len(self.rows), np.int64)
         self.edges = [np.zeros((2, 0), np.int64)]
 
-    def add(self, who, whom):
-        np.add.at(self.links, who, self.rows[whom])
-        np.add.at(self.classes, who, 1)
+    def add(self, row, column, who, whom):
+        """Add the links of some classes with others; ``who`` holds a class once."""
+        self.links[who] += np.bincount(row, self.rows[whom][column], len(who)).astype(np.int64)
+        self.classes[who] += np.bincount(row, minlength=len(who))
 
     def span(self, row, column, who, whom):
         """Edges for links between some classes and others, no more than there are classes if they have many links."""
@@ -242,10 +243,10 @@ class Found:
             return
         who, whom = some + shifts[0], np.arange(members.start, members.stop) + shifts[1]
         once = slice(None) if back is None else ~back[members.start + column, one.cell[some[row]]]
-        self.add(whom[column[once]], who[row[once]])
+        self.add(column[once], row[once], whom, who)
         if not same:
             row, column = row[once], column[once]
-        self.add(who[row], whom[column])
+        self.add(row, column, who, whom)
         self.span(row, column, who, whom)
 
 
